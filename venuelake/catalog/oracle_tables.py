@@ -70,7 +70,7 @@ CTES: dict[str, str] = {
         CASE o_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN (2000000000 + o_custkey) || '.0' WHEN 2 THEN '5555555555' ELSE '1' || (3000000000 + o_custkey) END AS phone,
         CASE WHEN o_custkey % 3 = 0 THEN 'g' || o_custkey || '@mail.test' END AS email,
         CASE WHEN o_orderkey % 7 = 0 THEN 0.0::DOUBLE ELSE (cents // 1000) / 100.0::DOUBLE END AS total,
-        CASE WHEN o_orderkey % 2 = 0 THEN (cents // 20000) / 100.0::DOUBLE ELSE 0.0::DOUBLE END AS discount,
+        CASE WHEN o_orderkey % 2 = 0 THEN (cents // 2000) / 100.0::DOUBLE ELSE 0.0::DOUBLE END AS discount,
         {_list(si.REASONS, 'o_orderkey')} AS reason, {_list(si.TABS, 'o_orderkey')} AS tab_name,
         (o_orderkey * 37 % 1440) // 60 AS opened_hour, (o_orderkey * 37 % 1440) % 60 AS opened_minute FROM {_O}""",
     "v_kitchen": """

@@ -19,6 +19,7 @@ def build_session(app: str = "venuelake", cpus: str | int = "*", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("VENUELAKE_DRIVER_MEMORY", "12g"))
     )
     for k, v in conf.items():

@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
 MENU = [
     "Wings Basket", "OWNER Reserve Rose", "Bottle Cola", "BTL Gold 1942", "Lamb Chops",
@@ -83,8 +86,10 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def rows(self, data: list[tuple], schema: str) -> DataFrame:
-        """A small parameter table (rules, caps, targets)."""
-        return self.spark.createDataFrame(data, schema)
+        """A small parameter table (rules, caps, targets), kept local so its size is known to the optimizer."""
+        fields = _parse_datatype_string(schema)
+        columns = [pa.array([r[i] for r in data], type=to_arrow_type(f.dataType)) for i, f in enumerate(fields)]
+        return self.spark.createDataFrame(pa.Table.from_arrays(columns, names=fields.fieldNames()), schema=fields)
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -187,7 +192,7 @@ class Tables:
                 "WHEN 2 THEN '5555555555' ELSE concat('1', 3000000000 + o_custkey) END AS phone",
                 "CASE WHEN o_custkey % 3 = 0 THEN concat('g', o_custkey, '@mail.test') END AS email",
                 "CASE WHEN o_orderkey % 7 = 0 THEN 0.0D ELSE (cents div 1000) / 100.0D END AS total",
-                "CASE WHEN o_orderkey % 2 = 0 THEN (cents div 20000) / 100.0D ELSE 0.0D END AS discount",
+                "CASE WHEN o_orderkey % 2 = 0 THEN (cents div 2000) / 100.0D ELSE 0.0D END AS discount",
                 pick(REASONS, "o_orderkey") + " AS reason", pick(TABS, "o_orderkey") + " AS tab_name",
                 "date_format(o_orderdate + make_dt_interval(0, 0, CAST(o_orderkey * 37 % 1440 AS INT), 0), 'h:mm a') AS opened_time",
             )

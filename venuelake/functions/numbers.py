@@ -49,3 +49,13 @@ def sum_if(cond: Column, value: Column | str) -> Column:
 def dec_key(c: Column) -> Column:
     """Money as a join key: rounded decimal, never a raw double."""
     return F.round(c, 2).cast("decimal(18,2)")
+
+
+def mean_money(amount: Column | str, count: Column) -> Column:
+    """Mean of a money column from its sum in whole cents, NULL for no rows."""
+    return F.round(F.try_divide(F.round(F.sum(amount), 2), count), 2)
+
+
+def portion(amount: Column, share: float) -> Column:
+    """A share of an amount, computed in cents so that halves round the same way everywhere."""
+    return F.round(F.round(amount * 100) * F.lit(round(share * 100, 6)) / 100) / 100

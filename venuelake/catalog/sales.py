@@ -15,14 +15,14 @@ PAID = _BD.format("paid_ts")
 @query("rep_revenue_by_dow", f"""
   WITH b AS (SELECT {PAID} AS business_date, * FROM v_payments WHERE void_ts IS NULL)
   SELECT dayname(business_date) AS day, CAST(dayofweek(business_date) + 1 AS INT) AS dow_num, count(*) AS txn_count, round(sum(amount), 2) AS net_sales, round(sum(tip), 2) AS tips,
-    round(sum(gratuity), 2) AS gratuity, round(sum(total), 2) AS gross_revenue, round(round(sum(total), 2) / count(*), 2) AS avg_check, count(DISTINCT business_date) AS num_days,
+    round(sum(gratuity), 2) AS gratuity, round(sum(total), 2) AS gross_revenue, round(round(sum(total) * 100) / count(*)) / 100 AS avg_check, count(DISTINCT business_date) AS num_days,
     round(round(sum(total), 2) / count(DISTINCT business_date), 2) AS avg_daily_revenue FROM b GROUP BY 1, 2""")
 def _(t):
     return sales.revenue_by_dow(t.payments)
 
 
 @query("rep_hourly_profile", f"""
-  SELECT CAST(extract(hour FROM paid_ts) AS INT) AS hour, count(*) AS txn_count, round(sum(total), 2) AS gross_revenue, round(round(sum(total), 2) / count(*), 2) AS avg_check, count(DISTINCT {PAID}) AS num_days,
+  SELECT CAST(extract(hour FROM paid_ts) AS INT) AS hour, count(*) AS txn_count, round(sum(total), 2) AS gross_revenue, round(round(sum(total) * 100) / count(*)) / 100 AS avg_check, count(DISTINCT {PAID}) AS num_days,
     round(round(sum(total), 2) / count(DISTINCT {PAID}), 2) AS avg_daily_revenue FROM v_payments WHERE void_ts IS NULL GROUP BY 1""")
 def _(t):
     return sales.hourly_profile(t.payments)
@@ -78,7 +78,7 @@ def _(t):
 
 for _by, _key in (("dow", f"dayname({PAID})"), ("hour", "CAST(extract(hour FROM paid_ts) AS INT)")):
     @query(f"rep_server_performance_{_by}", f"""
-      SELECT server, {_key} AS {_by}, count(*) AS orders, round(sum(amount), 2) AS revenue, round(round(sum(amount), 2) / count(*), 2) AS avg_check FROM v_payments
+      SELECT server, {_key} AS {_by}, count(*) AS orders, round(sum(amount), 2) AS revenue, round(round(sum(amount) * 100) / count(*)) / 100 AS avg_check FROM v_payments
       WHERE status IN ('CAPTURED', 'AUTHORIZED', 'CAPTURE_IN_PROGRESS') AND server IS NOT NULL AND trim(server) <> '' GROUP BY 1, 2""")
     def _(t, by=_by):
         return sales.server_profile(t.payments, by)

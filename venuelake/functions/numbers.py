@@ -53,7 +53,7 @@ def dec_key(c: Column) -> Column:
 
 def mean_money(amount: Column | str, count: Column) -> Column:
     """Mean of a money column from its sum in whole cents, NULL for no rows."""
-    return F.round(F.try_divide(F.round(F.sum(amount), 2), count), 2)
+    return F.round(F.try_divide(F.round(F.sum(amount) * 100), count)) / 100
 
 
 def portion(amount: Column, share: float) -> Column:

@@ -291,7 +291,7 @@ def vendor_event_costs(bank: DataFrame, vendor_map: DataFrame, words: list[str])
 
 def split_evenly(costs: DataFrame, amount: str = "amount", events: str = "events") -> DataFrame:
     """Each cost divided by the number of its events, rounded per share as booked."""
-    share = R2(F.col(amount) / F.size(events))
+    share = F.round(F.round(F.col(amount) * 100) / F.size(events)) / 100
     return costs.filter(F.col(events).isNotNull()).withColumn("event", F.explode(events)).withColumn("share", share)
 
 
@@ -627,7 +627,7 @@ def gratuity_scenarios(buckets: DataFrame, target: float, raise_buckets: list[st
     gap = F.col("total") * target - F.col("current")
     pool = sum((F.col(f"g{i}") for i in range(len(raise_buckets))), F.lit(0.0))
     rows = [F.struct(F.lit(f"raise {b}").alias("scenario"), F.lit(b).alias("bucket"), F.when(F.col(f"g{i}") > 0, F.round((F.col(f"h{i}") + gap) / F.col(f"g{i}"), 4)).alias("house_share")) for i, b in enumerate(raise_buckets)]
-    rows += [F.struct(F.lit("raise all").alias("scenario"), F.lit(b).alias("bucket"), F.when(pool > 0, F.round(F.col(f"s{i}") + gap / pool, 4)).alias("house_share")) for i, b in enumerate(raise_buckets)]
+    rows += [F.struct(F.lit("raise all").alias("scenario"), F.lit(b).alias("bucket"), F.when(F.col(f"g{i}") > 0, F.round(F.col(f"s{i}") + gap / pool, 4)).alias("house_share")) for i, b in enumerate(raise_buckets)]
     return t.select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter("house_share IS NOT NULL")
 
 

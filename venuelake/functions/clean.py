@@ -17,12 +17,16 @@ TRUE_WORDS = ["true", "yes", "1", "y"]
 FALSE_WORDS = ["false", "no", "0", "n"]
 
 
+# What becomes of the characters of a header that has no known name.
+_HEADER_CHARS = str.maketrans({" ": "_", "/": "_", "-": "_", ".": "_", "#": "number"})
+
+
 def clean_name(name: str, known: dict[str, str] | None = None) -> str:
-    """Known header to its column name; other headers to snake case safe for any store."""
+    """Known header to its column name; other headers to lower case letters, digits and underscores."""
     if known and name in known:
         return known[name]
-    s = re.sub(r"[^0-9a-z]+", "_", name.strip().lower()).strip("_")
-    return f"col_{s}" if not s or s[0].isdigit() else s
+    plain = re.sub(r"[^0-9a-z_]", "", name.lower().translate(_HEADER_CHARS))
+    return "_" + plain if plain[:1].isdigit() else plain
 
 
 def rename_columns(df: DataFrame, known: dict[str, str] | None = None) -> DataFrame:

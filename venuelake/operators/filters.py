@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.text import contains_any
 
 SORTS = {
-    "date_desc": [F.desc("transaction_date"), F.asc("description")],
-    "date_asc": [F.asc("transaction_date"), F.asc("description")],
-    "amount_desc": [F.desc("abs_amount"), F.asc("description")],
-    "amount_asc": [F.asc("abs_amount"), F.asc("description")],
+    "date_desc": ("transaction_date DESC", "description"),
+    "date_asc": ("transaction_date", "description"),
+    "amount_desc": ("abs_amount DESC", "description"),
+    "amount_asc": ("abs_amount", "description"),
 }
 
 
@@ -46,7 +46,7 @@ def search_transactions(bank: DataFrame, status: str | None = None, text: str |
         df = df.filter(F.col("transaction_date") >= F.lit(start).cast("date"))
     if end:
         df = df.filter(F.col("transaction_date") <= F.lit(end).cast("date"))
-    return df.orderBy(*SORTS[sort])
+    return df.orderBy(*[F.expr(c.removesuffix(" DESC")).desc() if c.endswith(" DESC") else F.expr(c) for c in SORTS[sort]])
 
 
 def history(df: DataFrame, equals: dict[str, str | None], date_col: str, start: str | None, end: str | None,

@@ -88,6 +88,8 @@ def merge_bank_fill(target: DataFrame, incoming: DataFrame, order: list[Column])
     choose = {c: F.col(f"t.{c}") for c in target.columns}
     choose["category"] = F.coalesce("t.category", "s.category")
     choose["vendor_normalized"] = F.coalesce("t.vendor_normalized", "s.vendor_normalized")
+    choose["category_source"] = F.coalesce(F.nullif(F.col("t.category_source"), F.lit("")), F.col("s.category_source"))
+    choose["source_file"] = F.col("s.source_file")
     when = F.coalesce(F.col("t.category_source"), F.lit("")) != MANUAL
     return upsert(with_bank_key(target), with_bank_key(incoming), BANK_KEY, order, choose, when).drop("amount_key")
 

@@ -20,7 +20,10 @@ from ..operators.rules import case_rules
 from ..operators.windows import latest_per_key, top_per_key
 
 R2 = lambda c: F.round(c, 2)
-CASH = F.col("payment_type").eqNullSafe("Cash") | F.coalesce(F.col("payment_type").contains("CASH"), F.lit(False))
+
+
+def is_cash(kind: Column) -> Column:
+    return kind.eqNullSafe("Cash") | F.coalesce(kind.contains("CASH"), F.lit(False))
 
 
 def _kept(orders: DataFrame) -> DataFrame:
@@ -339,7 +342,7 @@ def discount_reasons(checks: DataFrame, orders: DataFrame) -> DataFrame:
 def cash_control(payments: DataFrame, cash: DataFrame) -> DataFrame:
     a = F.col("action")
     e = cash.agg(F.struct(F.count_if(a == "NO_SALE").alias("n"), sum_if(a == "CLOSE_OUT_OVERAGE", "amount").alias("o"), sum_if(a == "CLOSE_OUT_SHORTAGE", "amount").alias("s"))).scalar()
-    g = payments.agg(F.count_if(CASH).alias("cash_payments"), F.count_distinct("payment_id").alias("total_payments")).withColumn("e", e)
+    g = payments.agg(F.count_if(is_cash(F.col("payment_type"))).alias("cash_payments"), F.count_distinct("payment_id").alias("total_payments")).withColumn("e", e)
     g = g.withColumns({"cash_pct": pct(F.col("cash_payments"), F.col("total_payments")), "total_variance": F.abs("e.o") + F.abs("e.s")})
     return g.select("cash_payments", "total_payments", "cash_pct", F.when(F.col("cash_pct").between(14, 20), "OK").otherwise("REVIEW").alias("cash_status"),
                     F.col("e.n").alias("no_sale_count"), F.when(F.col("e.n") > 100, "FLAG - HIGH NO_SALE").otherwise("OK").alias("no_sale_status"),

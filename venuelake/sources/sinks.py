@@ -7,7 +7,6 @@ partition overwrite, which touches only the days written and may be repeated at
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
@@ -15,11 +14,11 @@ from ..session import shared_dir
 def write_days(df: DataFrame, path: str, day: str = "processing_date") -> None:
     """Replace in ``path`` exactly the days present in ``df``; other days stay untouched.
 
-    Rows are spread by day and a hash of the row, so one heavy day is written by many tasks.
+    The rebalance hint groups rows by day, splits a heavy day over several tasks and merges
+    light ones, from the sizes Spark measures.
     """
-    spread = df.withColumn("_h", F.pmod(F.xxhash64(*df.columns), F.lit(16)))
     (
-        spread.repartition(day, "_h").drop("_h").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(day).parquet(path)
     )
 

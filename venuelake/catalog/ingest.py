@@ -19,34 +19,33 @@ from .registry import query
 @query("src_daily_csv", """
   SELECT CAST(order_id AS DOUBLE) AS order_id, server, CAST(guest_count AS DOUBLE) AS guest_count, table_loc, opened, amount, tax, tip, gratuity, voided, processing_date, amount + tax + tip + gratuity AS calculated_total FROM (
     SELECT order_id, nullif(trim(server), '') AS server, guest_count, revenue_center AS table_loc, strftime(opened, '%Y-%m-%d %H:%M:%S') AS opened, amount, tax, CASE WHEN order_id % 10 = 0 THEN NULL ELSE tip END AS tip, gratuity, CASE voided WHEN 'true' THEN TRUE WHEN 'false' THEN FALSE END AS voided,
-      CAST(date_trunc('month', processing_date) AS DATE) AS processing_date FROM v_orders)""")
+      CAST(date_trunc('year', processing_date) AS DATE) AS processing_date FROM v_orders)""")
 def _(t):
     raw = t.orders.select(
         F.col("order_id").alias("Order Id"), F.col("server").alias("Server"), F.col("guest_count").alias("# of Guests"), F.col("revenue_center").alias("Table"), F.date_format("opened", "M/d/yyyy h:mm a").alias("Opened"),
         F.col("amount").alias("Amount"), F.col("tax").alias("Tax"), F.when(F.col("order_id") % 10 == 0, "n/a").otherwise(F.col("tip").cast("string")).alias("Tip"), F.col("gratuity").alias("Gratuity"), F.col("voided").alias("Voided"),
-        F.date_format(F.trunc("processing_date", "month"), "yyyyMMdd").alias("load"))
+        F.date_format(F.trunc("processing_date", "year"), "yyyyMMdd").alias("load"))
     path = shared_dir(t.spark, "daily")
     raw.hint("rebalance", "load").write.partitionBy("load").option("header", True).csv(path)
     return files.read_daily_csv(t.spark, f"{path}/load=*/", ("opened",), ("voided",))
 
 
-def _statement_files(t):
-    """One statement text per vendor and half-month of bank lines: preamble, guessed header, quoted amounts."""
-    b = t.bank.filter("description NOT LIKE '%\"%'").withColumn("file", F.concat(F.coalesce("vendor_normalized", F.lit("none")), F.lit("-"), F.date_format("transaction_date", "yyyyMM"), F.lit("-"), F.ceil(F.dayofmonth("transaction_date") / 16)))
-    line = F.concat(F.date_format("transaction_date", "M/d/yyyy"), F.lit(',"'), "description", F.lit('","'), F.format_number("amount", 2), F.lit('",'), F.lit(""))
-    body = b.groupBy("file").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("body"))
-    head = "﻿Account summary,,\nTotal credits,1.00\n\nDate,Description,Amount,Running Bal.\n"
-    return body.select(F.concat(F.lit(head), "body", F.lit("\n\n")).alias("value"), F.col("file").alias("source_file"))
+def _land_statements(t):
+    """One statement file per quarter of bank lines: preamble, header, quoted text, amounts with commas."""
+    b = t.bank.withColumn("file", F.date_format(F.trunc("transaction_date", "quarter"), "yyyyMM"))
+    line = F.concat(F.date_format("transaction_date", "M/d/yyyy"), F.lit(',"'), "description", F.lit('","'), F.format_number("amount", 2), F.lit('",'))
+    body = b.select("file", F.lit(9).alias("pos"), line.alias("value"))
+    top = ["\ufeffAccount summary,,", "Total credits,1.00", "", "Date,Description,Amount,Running Bal."]
+    head = b.select("file").distinct().select("file", F.posexplode(F.array(*[F.lit(x) for x in top])).alias("pos", "value"))
+    path = shared_dir(t.spark, "statements")
+    head.unionByName(body).repartition("file").sortWithinPartitions("file", "pos", "value").drop("pos").write.partitionBy("file").text(path)
+    return path
 
 
 @query("src_bank_csv", """
   SELECT transaction_date, description, amount, NULL::DOUBLE AS running_balance, transaction_type, abs_amount FROM v_bank""")
 def _(t):
-    path = shared_dir(t.spark, "statements")
-    texts = _statement_files(t)
-    # Each text becomes a file by itself: the partition folder is the file, its only part the text.
-    texts.select("value", "source_file").write.partitionBy("source_file").option("lineSep", "\u0003").text(path)
-    return files.read_bank_csv(t.spark, f"{path}/source_file=*/").drop("source_file").withColumn("description", F.col("description"))
+    return files.read_bank_csv(t.spark, f"{_land_statements(t)}/file=*/").drop("source_file")
 
 
 @query("src_check_register", """

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import tune
 from ..stand_ins import Tables
 from .oracle_tables import with_tables
 
@@ -19,7 +20,7 @@ def query(name: str, sql: str | None = None):
     def wrap(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Tables(tune(spark), sf_dir))
         QUERIES[name].__doc__ = fn.__doc__
         if sql:
             ORACLES[name] = with_tables(sql)

@@ -34,19 +34,24 @@ def whole_word(words: list[str]) -> str:
 
 
 def normalize_description(c: Column) -> Column:
-    """The vendor part of a bank line: payee of a person-to-person transfer, else boilerplate removed."""
+    """The vendor part of a bank line: payee of a person-to-person transfer, else boilerplate removed.
+
+    Plain prefix and substring tests guard the regular expressions, which most lines never need.
+    """
     d = F.trim(c)
+    low = F.lower(d)
     payee = F.regexp_extract(d, r'(?i)^zelle\s+payment\s+(?:to|from)\s+(.+?)(?:\s+for\s+.*|\s+conf#.*|[";]+.*)$', 1)
     plain = d
-    for junk in (
-        r"(?i)^ach\s+(?:debit|credit|hold)\s+",
-        r"(?i)^purchase\s+(?:authorized\s+)?on\s+\d{2}/\d{2}\s+",
-        r"(?i)^checkcard\s+\d{4}\s+",
-        r"\s+ID:\S*$",
-        r"\s+Conf#.*$",
+    for prefix, junk in (
+        ("ach", r"(?i)^ach\s+(?:debit|credit|hold)\s+"),
+        ("purchase", r"(?i)^purchase\s+(?:authorized\s+)?on\s+\d{2}/\d{2}\s+"),
+        ("checkcard", r"(?i)^checkcard\s+\d{4}\s+"),
     ):
-        plain = F.regexp_replace(plain, junk, "")
-    return F.when(payee != "", F.regexp_replace(F.trim(payee), r'[";]+$', "")).otherwise(F.trim(plain))
+        plain = F.when(low.startswith(prefix), F.regexp_replace(d, junk, "")).otherwise(plain)
+    plain = F.when(F.contains(d, F.lit("ID:")), F.regexp_replace(plain, r"\s+ID:\S*$", "")).otherwise(plain)
+    plain = F.when(F.contains(d, F.lit("Conf#")), F.regexp_replace(plain, r"\s+Conf#.*$", "")).otherwise(plain)
+    named = F.when(low.startswith("zelle"), F.nullif(F.regexp_replace(F.trim(payee), r'[";]+$', ""), F.lit("")))
+    return F.coalesce(named, F.trim(plain))
 
 
 def wire_party(c: Column) -> Column:

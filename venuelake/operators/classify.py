@@ -24,7 +24,7 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
         F.col("category").alias("rule_category"), F.col("vendor_normalized").alias("rule_vendor"))
     base = bank.drop("category", "category_source", "vendor_normalized")
     d = F.trim(text_col)
-    check_no = F.nullif(F.regexp_extract(d, r"(?i)^check\s+(\d+)$", 1), F.lit(""))
+    check_no = F.when(F.lower(d).startswith("check"), F.nullif(F.regexp_extract(d, r"(?i)^check\s+(\d+)$", 1), F.lit("")))
     reg = register.select(
         F.col("check_number").cast("string").alias("_check"), F.col("payee").alias("_payee"),
         F.nullif(F.col("category"), F.lit("")).alias("_reg_category"), F.nullif(F.col("vendor_normalized"), F.lit("")).alias("_reg_vendor"),
@@ -50,7 +50,10 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
         (is_check & listed, answer(none, "uncategorized", F.coalesce(F.nullif(F.col("_payee"), F.lit("")), desc))),
         (is_check, answer(none, "uncategorized", desc)),
     ]
-    cases += [(up.rlike(p), answer(F.lit(c), "auto", F.lit(v))) for p, c, v in rb.PROCESSOR_LINES]
+    processor = F.lit(True)
+    for w in rb.PROCESSOR_WORDS:
+        processor = processor & up.contains(w)
+    cases += [(processor & up.rlike(p), answer(F.lit(c), "auto", F.lit(v))) for p, c, v in rb.PROCESSOR_LINES]
     cases += [(ruled, answer(F.col("rule_category"), "auto", F.coalesce(wire, F.col("rule_vendor"), desc)))]
     default = answer(none, "uncategorized", F.coalesce(wire, F.nullif(F.col("_norm"), F.lit("")), desc))
     return step.withColumn("_a", case_rules(cases, default)).select(*base.columns, "_a.*")

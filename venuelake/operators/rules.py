@@ -45,7 +45,7 @@ def first_match(df: DataFrame, rules: DataFrame, text_col: str, outputs: list[st
     """
     equal = equal or {}
     r = rules.select(
-        F.col(priority).alias("_p"), _prepared(F.col(keyword), mode, True).alias("_k"),
+        F.col(priority).alias("_p"), _prepared(F.col(keyword), mode, True).alias("_k"), F.upper(F.trim(keyword)).alias("_u"),
         *[F.col(c).alias(f"_e_{c}") for c in equal], *[F.col(c).alias(f"_o_{c}") for c in outputs],
     )
     if is_small(rules, inline_bound):
@@ -57,7 +57,11 @@ def _inline(df, r, text_col, outputs, mode, equal):
     table = r.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("rules")).scalar()
 
     def hit(text: Column, rule: Column) -> Column:
-        cond = F.contains(text, rule["_k"])
+        if mode == "contains":
+            cond = F.contains(text, rule["_k"])
+        else:
+            # The word-edge form is worked out only for texts that contain the keyword at all.
+            cond = F.contains(text, rule["_u"]) & F.contains(F.regexp_replace(text, r"\b", _EDGE), rule["_k"])
         for rule_col, df_col in equal.items():
             cond = cond & (rule[f"_e_{rule_col}"] == F.col(df_col))
         return cond
@@ -65,7 +69,7 @@ def _inline(df, r, text_col, outputs, mode, equal):
     # The one-element array binds the prepared text to a variable, so it is computed once per
     # row and not once per rule. A subquery must be a column before a lambda may use it.
     found = F.transform(
-        F.array(_prepared(F.col(text_col), mode, False)),
+        F.array(F.upper(text_col)),
         lambda text: F.get(F.filter(F.col("_rules"), lambda rule: hit(text, rule)), F.lit(0)),
     )
     return df.withColumn("_rules", table).withColumn("_hit", F.get(found, F.lit(0))).select(
@@ -81,6 +85,7 @@ def _by_substring(df, r, text_col, outputs, mode, equal):
         lambda n: F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda i: F.substring(F.col("_t"), i, n)),
     )))
     cut = texts.select(*keys, F.explode(pieces).alias("_k"))
+    r = r.drop("_u")
     cond = [F.col("_k") == F.col("_rk")]
     cond += [F.col(df_col).eqNullSafe(F.col(f"_e_{rule_col}")) for rule_col, df_col in equal.items()]
     on = cond[0]

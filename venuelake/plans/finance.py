@@ -320,14 +320,21 @@ def monthly_cost(bank: DataFrame, words: list[str], name: str) -> DataFrame:
     return month_of(debits(bank).filter(contains_any(F.col("category"), words)), "transaction_date").groupBy("month").agg(R2(F.sum("abs_amount")).alias(name))
 
 
+def monthly_costs(bank: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """Several kinds of monthly cost in one pass over the bank lines."""
+    g = any_match_sums(month_of(debits(bank), "transaction_date"), groups, "category", "abs_amount", ["month"])
+    return g.withColumns({c: R2(c) for c in groups})
+
+
 def event_grid(revenue, costs, bank, shares, shared_words, labor_words, ops_words, fixed_labor: float) -> DataFrame:
     """(event, month) with revenue and the four cost kinds."""
-    shared = allocate_by_revenue(revenue, monthly_cost(bank, shared_words, "c"), "c", "shared_costs")
+    costs_m = monthly_costs(bank, {"shared": shared_words, "gross": labor_words, "ops": ops_words})
+    shared = allocate_by_revenue(revenue, costs_m.filter("shared <> 0"), "shared", "shared_costs")
     passed = revenue.groupBy("month").agg(R2(F.sum(F.col("tips") + F.col("gratuity") - F.col("grat_retained"))).alias("passed"))
-    labor = align_periods(monthly_cost(bank, labor_words, "gross"), passed, "month")
+    labor = align_periods(costs_m.select("month", "gross"), passed, "month")
     variable = F.greatest(F.greatest(F.col("gross") - F.col("passed"), F.lit(0.0)) - fixed_labor, F.lit(0.0))
     labor = allocate_by_pct(labor, variable, shares, "labor_costs")
-    ops = allocate_by_pct(monthly_cost(bank, ops_words, "ops"), F.col("ops"), shares, "ops_costs")
+    ops = allocate_by_pct(costs_m, F.col("ops"), shares, "ops_costs")
     k = ["event", "month"]
     g = revenue.select(*k, "net_sales", "adj_revenue", "nights", "txns").join(event_direct(costs).select(*k, "direct_costs"), k, "full_outer")
     g = g.join(shared, k, "full_outer").join(labor, k, "full_outer").join(ops, k, "full_outer").na.fill(0)
@@ -341,7 +348,8 @@ def event_roi(grid: DataFrame) -> DataFrame:
     sums = ["net_sales", "adj_revenue", "direct_costs", "shared_costs", "labor_costs", "ops_costs", "nights", "txns"]
     g = grid.rollup("event").agg(*[R2(F.sum(c)).alias(c) for c in sums]).withColumn("event", F.coalesce("event", F.lit("(all)")))
     g = g.withColumn("total_costs", R2(F.col("direct_costs") + F.col("shared_costs") + F.col("labor_costs") + F.col("ops_costs"))).withColumn("net", R2(F.col("adj_revenue") - F.col("total_costs")))
-    total = grid.agg(F.sum("adj_revenue")).scalar()
+    # The total stands in the rolled-up row itself; the window sees one row per event.
+    total = F.max(F.when(F.col("event") == "(all)", F.col("adj_revenue"))).over(W.partitionBy())
     z = lambda n, d, digits=1, f=100: F.round(F.when(F.col(d) > 0, F.col(n) / F.col(d) * f).otherwise(0.0), digits)
     return g.withColumn("_t", total).withColumns({
         "roi_pct": z("net", "total_costs"), "margin_pct": z("net", "adj_revenue"), "avg_nightly": z("adj_revenue", "nights", 2, 1), "cost_per_night": z("total_costs", "nights", 2, 1),

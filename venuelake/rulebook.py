@@ -49,6 +49,8 @@ OPEX_WORDS = ["operating expenses", "opex"]
 GRAT_RETAIN = 0.35
 LABOR_RATE_PER_HOUR = 18.0
 
+# Words every processor line contains.
+PROCESSOR_WORDS = ["TOAST", "DES:"]
 # Processor settlement lines: (regex on the upper-case text, category, vendor).
 PROCESSOR_LINES = [
     (r"TOAST.*DES:DEP|DES:DEP.*TOAST", "1. Revenue/Sales Revenue", "Toast Deposit"),

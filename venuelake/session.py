@@ -9,6 +9,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Classifier reports compile into long methods; above HotSpot's own limit such a method is
+# never compiled to machine code, so whole-stage code past it is slower than none.
+TUNING = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings the reports rely on."""
+    for k, v in TUNING.items():
+        if spark.conf.get(k) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def build_session(app: str = "venuelake", cpus: str | int = "*", **conf: str) -> SparkSession:
     """A local session for tests and the bench. On a cluster use the submitted session."""
     b = (
@@ -16,8 +33,6 @@ def build_session(app: str = "venuelake", cpus: str | int = "*", **conf: str) ->
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("VENUELAKE_DRIVER_MEMORY", "12g"))
@@ -26,7 +41,7 @@ def build_session(app: str = "venuelake", cpus: str | int = "*", **conf: str) ->
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

@@ -86,13 +86,13 @@ def read_bank_csv(spark: SparkSession, paths: str | list[str], encoding: str = "
 
     Output: transaction_date, description, amount, running_balance, transaction_type, abs_amount, source_file.
     """
-    files = spark.read.option("wholetext", True).option("encoding", encoding).text(paths).select("value", F.col("_metadata.file_name").alias("source_file"))
+    files = spark.read.option("encoding", encoding).text(paths, wholetext=True).select("value", F.col("_metadata.file_name").alias("source_file"))
     return parse_bank_text(files)
 
 
 def parse_bank_text(files: DataFrame) -> DataFrame:
     """Rows of statement texts (``value``, ``source_file``)."""
-    text = F.regexp_replace("value", "^﻿", "")
+    text = F.regexp_replace("value", "^\ufeff", "")
     lines = files.select("source_file", F.split(text, "\r?\n").alias("_l"))
     is_head = lambda x: F.lower(F.trim(x)).startswith("date,")
     at = F.array_position(F.transform("_l", is_head), True)

@@ -35,9 +35,8 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
     step = step.join(reg, F.col("_key") == F.col("_check"), "left")
     step = step.withColumn("_rule_text", F.when(F.col("_no").isNotNull(), F.col("_payee")).otherwise(F.col("_norm")))
     step = first_match(step, ranked, "_rule_text", ["rule_category", "rule_vendor"], mode="word")
-    up, desc = F.upper(d), F.col(text_col)
+    desc = F.col(text_col)
     is_check, listed, ruled = F.col("_no").isNotNull(), F.col("_check").isNotNull(), F.col("rule_category").isNotNull()
-    wire = wire_party(desc)
 
     def answer(category, source, vendor):
         return F.struct(category.alias("category"), F.lit(source).alias("category_source"), vendor.alias("vendor_normalized"))
@@ -50,15 +49,21 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
         (is_check & listed, answer(none, "uncategorized", F.coalesce(F.nullif(F.col("_payee"), F.lit("")), desc))),
         (is_check, answer(none, "uncategorized", desc)),
     ]
+    # Shared parts become columns of their own, so that each is worked out once per line.
+    step = step.withColumns({"_up": F.upper(d), "_wire": wire_party(desc)})
     processor = F.lit(True)
     for w in rb.PROCESSOR_WORDS:
-        processor = processor & up.contains(w)
-    cases += [(processor & up.rlike(p), answer(F.lit(c), "auto", F.lit(v))) for p, c, v in rb.PROCESSOR_LINES]
-    cases += [(ruled, answer(F.col("rule_category"), "auto", F.coalesce(wire, F.col("rule_vendor"), desc)))]
-    default = answer(none, "uncategorized", F.coalesce(wire, F.nullif(F.col("_norm"), F.lit("")), desc))
+        processor = processor & F.col("_up").contains(w)
+    known = case_rules([(F.col("_up").rlike(p), answer(F.lit(c), "auto", F.lit(v))) for p, c, v in rb.PROCESSOR_LINES])
+    step = step.withColumn("_processor", F.when(processor & ~is_check, known))
+    cases.append((F.col("_processor").isNotNull(), F.col("_processor")))
+    cases.append((ruled, answer(F.col("rule_category"), "auto", F.coalesce("_wire", "rule_vendor", desc))))
+    default = answer(none, "uncategorized", F.coalesce(F.col("_wire"), F.nullif(F.col("_norm"), F.lit("")), desc))
     return step.withColumn("_a", case_rules(cases, default)).select(*base.columns, "_a.*")
 
 
+# --- bank deposits and expense groups ---
+
 def deposit_type(desc: Column, amount: Column, settlement: str = "NET SETLMT", transfer: str = "Online Banking transfer from CHK") -> Column:
     return case_rules([
         (desc.contains(settlement) & (amount > 0), "card_settlement"),

@@ -81,13 +81,15 @@ def transform_daily(raw: DataFrame, datetime_columns: tuple[str, ...] = (), flag
     return clean.with_total(df, name="calculated_total")
 
 
-def read_bank_csv(spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8") -> DataFrame:
-    """Bank statements: preamble dropped, header names guessed, amounts with commas, several date layouts.
+def read_bank_csv(spark: SparkSession, paths: str) -> DataFrame:
+    """Bank statements: UTF-8 or Latin-1, preamble dropped, header names guessed, amounts with commas, several date layouts.
 
     Output: transaction_date, description, amount, running_balance, transaction_type, abs_amount, source_file.
     """
-    files = spark.read.option("encoding", encoding).text(paths, wholetext=True).select("value", F.col("_metadata.file_name").alias("source_file"))
-    return parse_bank_text(files)
+    raw = spark.read.format("binaryFile").load(paths)
+    text = F.col("content").cast("string")
+    value = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", F.lit("ISO-8859-1")))
+    return parse_bank_text(raw.select(value.alias("value"), F.element_at(F.split("path", "/"), -1).alias("source_file")))
 
 
 def parse_bank_text(files: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def test_feed_a(spark):
 def test_reservations(spark):
     line = '{"id":"r1","date":"2026-04-20","arrival_time":"20:00","max_guests":"many","is_vip":true,"updated":"2026-04-20T01:02:03Z","tags":[{"name":"Birthday"}],"pos_tickets":[],"check_numbers":"1, 2","total_payment":12.5}'
     out = feeds.read_reservations(spark, land(spark, "r.json", line + '\n{"date":"2026-04-20"}\n'))
-    assert len(out.columns) == 51
+    assert len(out.columns) == 56
     r = out.first()
     assert out.count() == 1 and r.max_guests is None and r.is_vip is True and r.tags_json == '[{"name":"Birthday"}]' and r.pos_tickets_json is None and r.raw_json == line and r.total_payment == 12.5
 

@@ -94,7 +94,7 @@ def reservations(raw_lines: DataFrame, value: str = "value") -> DataFrame:
             else:
                 out.append((v if kind == "string" else F.nullif(v, F.lit("")).try_cast(kind)).alias(c))
     out.append(F.to_date(F.try_to_timestamp(F.substring(F.col("_r.date"), 1, 10), F.lit("yyyy-MM-dd"))).alias("date"))
-    return one.select(*out, F.col(value).alias("raw_json")).filter(F.coalesce(F.col("id"), F.lit("")) != "")
+    return one.select(*out, F.col(value).alias("raw_json"), F.current_timestamp().alias("synced_at")).filter(F.coalesce(F.col("id"), F.lit("")) != "")
 
 
 def read_reservations(spark: SparkSession, paths: str | list[str]) -> DataFrame:

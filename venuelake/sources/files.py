@@ -88,7 +88,7 @@ def read_bank_csv(spark: SparkSession, paths: str) -> DataFrame:
     """
     raw = spark.read.format("binaryFile").load(paths)
     text = F.col("content").cast("string")
-    value = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", F.lit("ISO-8859-1")))
+    value = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
     return parse_bank_text(raw.select(value.alias("value"), F.element_at(F.split("path", "/"), -1).alias("source_file")))
 
 

@@ -33,7 +33,9 @@ def table_status(tables: dict[str, DataFrame], date_cols: dict[str, str]) -> Dat
 
 def freshness(status: DataFrame, today: str, stale_days: dict[str, int], default: int = 3) -> DataFrame:
     """Age of the latest date per feed with a stale flag by threshold."""
-    limit = F.coalesce(F.create_map(*[F.lit(x) for kv in stale_days.items() for x in kv])[F.col("table")], F.lit(default))
+    limit = F.lit(default)
+    for name, days in stale_days.items():
+        limit = F.when(F.col("table") == name, F.lit(days)).otherwise(limit)
     age = F.datediff(F.lit(today).cast("date"), F.col("latest"))
     return status.select("table", "latest", age.alias("age_days"), (age > limit).alias("stale"))
 

@@ -62,7 +62,21 @@ def pnl(orders: DataFrame, bank: DataFrame, key: str, floor: str = "zero") -> Da
     ``floor`` decides what adjusted expenses become when tips exceed expenses: 'zero', 'gross'
     (keep the unadjusted total) or 'half' (never below half of it).
     """
-    p = align_periods(revenue_by(orders, key), expenses_by(bank, key), key)
+    return _derive_pnl(align_periods(revenue_by(orders, key), expenses_by(bank, key), key), floor)
+
+
+def pnl_total(orders: DataFrame, bank: DataFrame, floor: str = "zero") -> DataFrame:
+    """The same for all rows at once; the one-row expense side is a scalar, not a join."""
+    one = lambda d: d.withColumn("period", F.lit("all"))
+    return _derive_pnl(_beside(revenue_by(one(orders), "period"), expenses_by(one(bank), "period").drop("period")), floor)
+
+
+def _beside(row: DataFrame, other: DataFrame) -> DataFrame:
+    """Columns of a one-row frame added to another."""
+    return row.withColumn("_o", other.select(F.struct("*")).scalar()).select("*", "_o.*").drop("_o").na.fill(0)
+
+
+def _derive_pnl(p: DataFrame, floor: str) -> DataFrame:
     raw = F.col("total_exp") - F.col("pass_through")
     adj = {"zero": F.greatest(raw, F.lit(0.0)), "gross": F.when(raw < 0, F.col("total_exp")).otherwise(raw),
            "half": F.greatest(raw, F.col("total_exp") * 0.5)}[floor]
@@ -109,12 +123,13 @@ def monthly_pnl(orders: DataFrame, payments: DataFrame, bank: DataFrame) -> Data
 def profit_summary(orders, payments, bank, cash) -> DataFrame:
     """One row for the period: P&L, cash-adjusted margin and drawer activity."""
     one = lambda d: d.withColumn("period", F.lit("all"))
-    p = pnl(one(orders), one(bank), "period", floor="gross")
+    p = pnl_total(orders, bank, floor="gross")
     a = F.col("action")
-    d = one(cash).groupBy("period").agg(
+    d = cash.agg(
         R2(sum_if(a == "CASH_COLLECTED", "amount")).alias("drawer_collected"), R2(sum_if(a == "PAY_OUT", F.abs("amount"))).alias("payouts"),
         R2(sum_if(a == "CLOSE_OUT_OVERAGE", "amount")).alias("overages"), R2(sum_if(a == "CLOSE_OUT_SHORTAGE", F.abs("amount"))).alias("shortages"), F.count_if(a == "NO_SALE").alias("no_sale_count"))
-    out = p.join(cash_collected(one(payments), "period"), "period", "left").join(cash_deposited(one(bank), "period", *CASH_IN_WORDS), "period", "left").join(d, "period", "left").na.fill(0)
+    out = _beside(p, cash_collected(one(payments), "period").drop("period"))
+    out = _beside(_beside(out, cash_deposited(one(bank), "period", *CASH_IN_WORDS).drop("period")), d)
     out = out.withColumn("undeposited_cash", R2(F.col("cash_collected") - F.col("cash_deposited")))
     out = out.withColumn("cash_adj_profit", R2(F.col("net_profit") + F.col("undeposited_cash")))
     return out.withColumn("cash_adj_margin", pct_of_positive(F.col("cash_adj_profit"), F.col("adj_revenue")))
@@ -261,8 +276,7 @@ def budget_path(lines: DataFrame, margin: DataFrame, target_margin: float) -> Da
 
 
 def budget_totals(orders, bank, target_margin: float) -> DataFrame:
-    one = lambda d: d.withColumn("period", F.lit("all"))
-    p = pnl(one(orders), one(bank), "period")
+    p = pnl_total(orders, bank)
     return p.select("adj_revenue", "adj_expenses", "net_profit", "margin_pct", F.when(F.col("margin_pct") >= target_margin, "on_target").otherwise("below_target").alias("margin_status"),
                     R2(F.greatest(F.col("adj_revenue") * target_margin / 100 - F.col("net_profit"), F.lit(0.0))).alias("gap_to_target"))
 

@@ -204,7 +204,7 @@ COST = [("Food", 0.32), ("Liquor", 0.22), ("Beer", 0.25), ("Wine", 0.3), ("Hooka
 
 
 @query("rep_comp_cogs_drag", f"""
-  WITH {EL} SELECT sales_category, round(sum(discount), 2) AS retail, round(sum(discount * coalesce(rate::DOUBLE, 0.28::DOUBLE)), 2) AS drag FROM el LEFT JOIN (VALUES {', '.join(str(x) for x in COST)}) AS r(cat, rate) ON cat = sales_category
+  WITH {EL} SELECT sales_category, round(sum(discount), 2) AS retail, round(round(sum(discount) * 100) * round(coalesce(max(rate::DOUBLE), 0.28::DOUBLE) * 100, 4) / 100) / 100 AS drag FROM el LEFT JOIN (VALUES {', '.join(str(x) for x in COST)}) AS r(cat, rate) ON cat = sales_category
   WHERE discount > 0 AND bucket NOT IN {_IN(rb.INTENT_BUCKETS)} GROUP BY 1""")
 def _(t):
     return cp.cogs_drag(elog(t), t.rows(COST, "sales_category string, rate double"), 0.28)

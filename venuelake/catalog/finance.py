@@ -92,7 +92,7 @@ CASH_SQL = f"""SELECT coalesce(a.month, b.month) AS month, coalesce(cash_collect
   FULL OUTER JOIN (SELECT {BM} AS month, round(sum(abs_amount), 2) AS cash_deposited FROM v_bank WHERE {DEPOSIT} GROUP BY 1) b ON a.month = b.month"""
 
 
-@query("rep_monthly_pnl", f"SELECT p.*, c.cash_collected, c.cash_txns, c.cash_deposited, round(c.cash_collected - c.cash_deposited, 2) AS unreconciled_cash FROM ({PNL_M}) p JOIN ({CASH_SQL}) c ON c.month = p.month")
+@query("rep_monthly_pnl", f"SELECT p.*, coalesce(c.cash_collected, 0) AS cash_collected, coalesce(c.cash_txns, 0) AS cash_txns, coalesce(c.cash_deposited, 0) AS cash_deposited, round(coalesce(c.cash_collected, 0) - coalesce(c.cash_deposited, 0), 2) AS unreconciled_cash FROM ({PNL_M}) p LEFT JOIN ({CASH_SQL}) c ON c.month = p.month")
 def _(t):
     return fin.monthly_pnl(t.orders, t.payments, t.bank)
 
@@ -206,7 +206,9 @@ _ACT = "SELECT key, round(coalesce(sum(abs_amount), 0), 2) AS actual FROM v_bank
 def _act(words):
     # One row per line and category, so overlapping words count a category once.
     v = ", ".join(f"('{k}', '{w}')" for k, ws in words for w in ws)
-    return f"SELECT key, round(sum(v), 2) AS actual FROM (SELECT DISTINCT key, category, v FROM (SELECT category, sum(abs_amount) AS v FROM v_bank WHERE transaction_type = 'debit' GROUP BY 1) JOIN (VALUES {v}) AS w(key, word) ON contains(lower(category), word)) GROUP BY 1"
+    keys = ", ".join(f"('{k}')" for k, _ in words)
+    return f"""SELECT k.key, round(coalesce(sum(v), 0), 2) AS actual FROM (VALUES {keys}) AS k(key) LEFT JOIN (SELECT DISTINCT key, category, v FROM (SELECT category, sum(abs_amount) AS v FROM v_bank WHERE transaction_type = 'debit' GROUP BY 1)
+      JOIN (VALUES {v}) AS w(key, word) ON contains(lower(category), word)) x ON x.key = k.key GROUP BY 1"""
 
 
 ALLREV = rev_sql("1")

@@ -230,7 +230,8 @@ def actions(scores: DataFrame, elog: DataFrame, cap_rows: DataFrame, comps: Data
 def cogs_drag(elog: DataFrame, rates: DataFrame, default: float) -> DataFrame:
     """Comp dollars times category cost, for comps that are not by intent. ``rates``: sales_category, rate."""
     d = elog.filter((F.col("discount") > 0) & ~F.col("bucket").isin(rb.INTENT_BUCKETS)).join(rates, "sales_category", "left")
-    return d.groupBy("sales_category").agg(R2(F.sum("discount")).alias("retail"), R2(F.sum(F.col("discount") * F.coalesce("rate", F.lit(default)))).alias("drag"))
+    return d.groupBy("sales_category").agg(R2(F.sum("discount")).alias("retail"), (
+        F.round(F.round(F.sum("discount") * 100) * F.round(F.coalesce(F.max("rate"), F.lit(default)) * 100, 4) / 100) / 100).alias("drag"))
 
 
 def dayparts(checks: DataFrame, orders: DataFrame) -> DataFrame:

@@ -345,10 +345,10 @@ def event_grid(revenue, costs, bank, shares, shared_words, labor_words, ops_word
     costs_m = monthly_costs(bank, {"shared": shared_words, "gross": labor_words, "ops": ops_words})
     shared = allocate_by_revenue(revenue, costs_m.filter("shared <> 0"), "shared", "shared_costs")
     passed = revenue.groupBy("month").agg(R2(F.sum(F.col("tips") + F.col("gratuity") - F.col("grat_retained"))).alias("passed"))
-    labor = align_periods(costs_m.select("month", "gross"), passed, "month")
+    labor = align_periods(costs_m.filter("gross <> 0").select("month", "gross"), passed, "month")
     variable = F.greatest(F.greatest(F.col("gross") - F.col("passed"), F.lit(0.0)) - fixed_labor, F.lit(0.0))
     labor = allocate_by_pct(labor, variable, shares, "labor_costs")
-    ops = allocate_by_pct(costs_m, F.col("ops"), shares, "ops_costs")
+    ops = allocate_by_pct(costs_m.filter("ops <> 0"), F.col("ops"), shares, "ops_costs")
     k = ["event", "month"]
     g = revenue.select(*k, "net_sales", "adj_revenue", "nights", "txns").join(event_direct(costs).select(*k, "direct_costs"), k, "full_outer")
     g = g.join(shared, k, "full_outer").join(labor, k, "full_outer").join(ops, k, "full_outer").na.fill(0)

@@ -15,6 +15,7 @@ from venuelake.llm import stages
 from venuelake.llm.common import stage, table
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", stages.quality),
     ("bpe", stages.encoding),
 ]
 

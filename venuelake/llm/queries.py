@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .common import table
+from .quality_crf import classify
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +21,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op5_bpe": op5_bpe,
 }
 

@@ -6,7 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
+from .common import table
+from .quality_crf import classify
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the field doesn't reject."""
+    return classify(docs, table(spark, sf_dir, "labels"), keep=("text", "lang", "source", "n_chars")).where("predicted = 1").select("doc_id", "text", "lang", "source", "n_chars")

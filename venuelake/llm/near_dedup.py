@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, map_arrow, stage
-from .components import components
+from .components import link_groups
 from .words import Words, mix
 
 SKETCH = 64
@@ -98,7 +98,7 @@ def sketch_table(docs: DataFrame, n: int) -> DataFrame:
 
 
 def run_keys(classes: DataFrame, percent: int) -> DataFrame:
-    """key, rep, n: one row for each run of retained values of each class."""
+    """key, node, n: one row for each run of retained values of each class."""
     long, small = run_lengths(percent)
 
     def run(batches):
@@ -117,9 +117,9 @@ def run_keys(classes: DataFrame, percent: int) -> DataFrame:
                         rows.append(np.full(len(keys[-1]), i))
             if keys:
                 at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), batch.column("rep").take(at), batch.column("n").take(at)], ["key", "rep", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), batch.column("rep").take(at), batch.column("n").take(at)], ["key", "node", "n"])
 
-    return map_arrow(classes.select("rep", "n", "sketch"), run, "key long, rep long, n long")
+    return map_arrow(classes.select("rep", "n", "sketch"), run, "key long, node long, n long")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -183,23 +183,9 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = round(100 *
         named.join(first.withColumnRenamed("rep", "doc_id"), [*marks, "doc_id"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "mark_a", "mark_b", "sketch").dropDuplicates(["rep", "n", "mark_a", "mark_b"]),
         f"{purpose}-classes",
     )
-    keys = stage(run_keys(classes, percent), f"{purpose}-keys")
-    heads = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("members")).where("members > 1")
-    alike = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    lists = stage(keys.join(heads.select("key", "head"), "key").select("key", "rep", "n", F.col("head.rep").alias("a"), F.col("head.n").alias("n_a")), f"{purpose}-lists")
-    star = stage(estimated(lists.where((F.col("a") != F.col("rep")) & alike(F.col("n"), F.col("n_a"))).select("a", F.col("rep").alias("b")).distinct(), classes, percent), f"{purpose}-star")
-    links = stage(verified(star, docs, classes, words, percent, f"{purpose}-star"), f"{purpose}-links")
-    root = components(links, purpose)
-    # Lists that still hold several groups: the pairs between their groups, each pair once.
-    label = F.coalesce("root", "rep").alias("group")
-    labelled = lists.join(root.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", "a", label)
-    mixed = labelled.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
-    rest = stage(labelled.join(mixed, "key"), f"{purpose}-mixed")
-    left, right = rest.select("key", F.col("rep").alias("x"), F.col("n").alias("n_x"), F.col("group").alias("g_x")), rest.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("g_b"), "a")
-    between = left.join(right, "key").where((F.col("x") < F.col("b")) & (F.col("g_x") != F.col("g_b")) & (F.col("x") != F.col("a")) & alike(F.col("n_x"), F.col("n_b"))).select(F.col("x").alias("a"), "b").distinct()
-    more = stage(estimated(between, classes, percent), f"{purpose}-between")
-    further = stage(verified(more, docs, classes, words, percent, f"{purpose}-between"), f"{purpose}-further")
-    root = components(links.union(further), f"{purpose}-all")
+    near = lambda pairs: pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    links = lambda pairs, name: verified(stage(estimated(pairs, classes, percent), f"{name}-estimated"), docs, classes, words, percent, name)
+    root = link_groups(run_keys(classes, percent), near, links, purpose, ("n",))
     grouped = first.join(root.withColumnRenamed("node", "rep"), "rep", "left").select(*marks, F.coalesce("root", "rep").alias("component"))
     return (
         sketches.select("doc_id", *marks).join(grouped, marks, "left")

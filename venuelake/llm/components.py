@@ -58,7 +58,7 @@ def link_groups(keys: DataFrame, near: Callable[[DataFrame], DataFrame], links_o
         grouped = lists.withColumn("group", F.col("node"))
     else:
         root = components(links, purpose)
-        grouped = lists.join(root.withColumnRenamed("node", "n"), F.col("n") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node"))
+        grouped = lists.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node"))
     mixed = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
     rest = stage(grouped.join(mixed, "key").select("key", "node", "group", F.col("head.node").alias("head"), *payload), f"{purpose}-mixed")
     side = lambda s: rest.select("key", "head", F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(x).alias(f"{x}_{s}") for x in payload))

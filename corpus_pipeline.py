@@ -16,6 +16,9 @@ from venuelake.llm.common import stage, table
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_classifier", stages.quality),
+    ("line_dedup", stages.lines),
+    ("near_dedup", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
     ("bpe", stages.encoding),
 ]
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, map_arrow
-from .words import Words, mix, prefix_sums, range_hash
+from .words import Lookup, Words, mix, prefix_sums, range_hash
 
 STORE_WORDS = 500_000
 STORE_BYTES = 160 << 20
@@ -53,33 +53,6 @@ LETTERS = _byte_letters()
 BYTES = {c: b for b, c in enumerate(LETTERS)}
 
 
-class Lookup:
-    """Integer keys to non-negative values as an open hash table that takes arrays."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(len(keys) * 4).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int64)
-        at, left = (mix(keys) >> self.shift).astype(np.int64), np.arange(len(keys))
-        while left.size:
-            free = left[self.values[at[left]] < 0]
-            self.keys[at[free]], self.values[at[free]] = keys[free], values[free]
-            left = left[self.keys[at[left]] != keys[left]]
-            at[left] = (at[left] + 1) & self.mask
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """The value of each key, -1 where there is none."""
-        keys = keys.astype(np.uint64, copy=False)
-        at = (mix(keys) >> self.shift).astype(np.int64)
-        out = self.values[at]
-        wrong = np.flatnonzero((out >= 0) & (self.keys[at] != keys))
-        while wrong.size:
-            at[wrong] = (at[wrong] + 1) & self.mask
-            out[wrong] = self.values[at[wrong]]
-            wrong = wrong[(out[wrong] >= 0) & (self.keys[at[wrong]] != keys[wrong])]
-        return out
-
-
 _VALUES = mix(np.arange(1000, 1257, dtype=np.uint64))
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import table
 from .decontaminate import contaminated
+from .langid import identify
 from .line_dedup import dedup_lines
 from .near_dedup import near_groups
+from .perplexity_rules import judge
 from .quality_crf import classify
 
 
@@ -31,6 +33,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
@@ -40,6 +50,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
+    "op7_langid": op7_langid,
+    "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }
 

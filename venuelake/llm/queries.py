@@ -12,6 +12,7 @@ from .common import table
 from .decontaminate import contaminated
 from .langid import identify
 from .line_dedup import dedup_lines
+from .maxent_lm import score_texts
 from .near_dedup import near_groups
 from .perplexity_rules import judge
 from .quality_crf import classify
@@ -25,6 +26,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +53,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_near_dedup": op2_near_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
     "op7_langid": op7_langid,

@@ -38,32 +38,40 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         current = stage(_small_star(_large_star(current)).distinct(), f"{purpose}-round")
 
 
-def link_groups(keys: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, payload: tuple[str, ...] = ()) -> DataFrame:
+def link_groups(
+    keys: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, payload: tuple[str, ...] = (), between: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """node and root of all nodes linked to another one; nodes are candidates if they share a key.
 
     keys: key, node and ``payload`` columns. near: keeps the rows (a, b, payload as x_a and x_b) worth testing, without a
     shuffle. links_of(pairs, purpose): the pairs (a, b) that are truly linked.
 
-    In each list every node is first tested against the smallest one. Only lists that still hold several groups then
-    have the pairs between their groups tested. So a group of alike nodes costs its size, not its square, and no
-    link that could join two groups stays untested.
+    In each list every node is first tested against its head, the smallest one. Lists of one head then form one circle. Only
+    circles whose members are still in different groups go on, and only their pairs between groups: ``between(members,
+    purpose)`` finds links among members (head, node, group, payload), by default from the pairs as rows. So a group of
+    alike nodes costs its size, not its square, and no link that could join two groups stays untested.
     """
     keys = stage(keys, f"{purpose}-keys")
     heads = keys.groupBy("key").agg(F.min(F.struct("node", *payload)).alias("head"), F.count("*").alias("members")).where("members > 1")
-    lists = stage(keys.join(heads.select("key", "head"), "key"), f"{purpose}-lists")
-    star = lists.where("node <> head.node").select(F.col("head.node").alias("a"), F.col("node").alias("b"), *(F.col(f"head.{x}").alias(f"{x}_a") for x in payload), *(F.col(x).alias(f"{x}_b") for x in payload))
-    links = stage(links_of(stage(near(star).select("a", "b").distinct(), f"{purpose}-star"), f"{purpose}-star"), f"{purpose}-links")
+    lists = keys.join(heads.select("key", "head"), "key").where("node <> head.node")
+    star = stage(lists.select(F.col("head.node").alias("a"), F.col("node").alias("b"), *(F.col(f"head.{x}").alias(f"{x}_a") for x in payload), *(F.col(x).alias(f"{x}_b") for x in payload)).distinct(), f"{purpose}-star")
+    links = stage(links_of(near(star).select("a", "b").distinct(), f"{purpose}-star"), f"{purpose}-links")
     if links.isEmpty():
-        root = None
-        grouped = lists.withColumn("group", F.col("node"))
+        root = keys.select("node", F.col("node").alias("root")).limit(0)
     else:
         root = components(links, purpose)
-        grouped = lists.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node"))
-    mixed = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
-    rest = stage(grouped.join(mixed, "key").select("key", "node", "group", F.col("head.node").alias("head"), *payload), f"{purpose}-mixed")
-    side = lambda s: rest.select("key", "head", F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(x).alias(f"{x}_{s}") for x in payload))
-    between = side("a").join(side("b").drop("head"), "key").where("a < b and group_a <> group_b and a <> head")
-    more = stage(near(between).select("a", "b").distinct(), f"{purpose}-between")
-    if more.isEmpty():
-        return root if root is not None else keys.select("node", F.col("node").alias("root")).limit(0)
-    return components(links.union(links_of(more, f"{purpose}-between")), f"{purpose}-all")
+    member = lambda s: star.select(F.col("a").alias("head"), F.col(s).alias("node"), *(F.col(f"{x}_{s}").alias(x) for x in payload))
+    circles = member("b").union(member("a").distinct())
+    grouped = circles.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node"))
+    mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where("low < high and members > 2").select("head")
+    rest = stage(grouped.join(mixed, "head").select("head", "node", "group", *payload), f"{purpose}-mixed")
+    if rest.isEmpty():
+        return root
+    if between is None:
+        side = lambda s: rest.select("head", F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(x).alias(f"{x}_{s}") for x in payload))
+        pairs = near(side("a").join(side("b"), "head").where("a < b and group_a <> group_b and a <> head and b <> head"))
+        further = links_of(stage(pairs.select("a", "b").distinct(), f"{purpose}-pairs"), f"{purpose}-between")
+    else:
+        further = between(rest, f"{purpose}-between")
+    further = stage(further, f"{purpose}-further")
+    return root if further.isEmpty() else components(links.union(further), f"{purpose}-all")

@@ -9,10 +9,10 @@ sets that share one common passage hardly share any, so a frequent passage makes
 sketch the run length is the one that the similarity guarantees; for larger ones it is the longest with a chance below
 ``MISS`` that two sets at the threshold share no run.
 
-Within a list every member is compared with the first member. Only lists whose members are then still in different
-groups go on to the pairs between those groups, so a group of copies costs as many pairs as it has members. Each
-pair passes the estimate from the sketch of the union (``MARGIN`` below the threshold) and then the exact Jaccard
-of the full sets.
+Within a list every member is compared with the first member: the pair passes the estimate from the sketch of the
+union (``MARGIN`` below the threshold) and then the exact Jaccard of the full sets. Only lists whose members are then
+still in different groups go on; the full sets of these groups are compared block by block in place. So a group
+of copies costs as many pairs as it has members, and no pair within a group becomes a row.
 
 Defined results: a text without words (or NULL) has an empty set and stands alone. Rows that share a doc_id are one
 node of the graph; each row is returned. A NULL id is kept and never linked.
@@ -34,6 +34,8 @@ from .words import Words, mix
 SKETCH = 64
 MARGIN = 0.25
 MISS = 1e-6
+BLOCK = 128
+SLICE = 4096
 WORDS, SIMILARITY = 5, 0.8
 
 
@@ -144,18 +146,23 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sketch_a", "sketch_b"), run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int, purpose: str) -> DataFrame:
-    """The pairs whose full sets have intersection * 100 >= percent * union."""
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct().join(classes.select("rep", "mark_a", "mark_b"), "rep")
+def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, n: int, purpose: str) -> DataFrame:
+    """rep and members (its whole set) of the classes in ``nodes`` (rep)."""
+    wanted = nodes.distinct().join(classes.select("rep", "mark_a", "mark_b"), "rep")
     rows = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(wanted, "rep")
 
-    def sets(batches):
+    def run(batches):
         for batch, texts in chunks(batches):
             found = shingle_sets(texts, n)
             mine = [i for i, (s, a, b) in enumerate(zip(found, batch.column("mark_a").to_pylist(), batch.column("mark_b").to_pylist())) if fingerprint(s) == (a, b)]
             yield pa.RecordBatch.from_arrays([batch.column("rep").take(pa.array(mine, pa.int64())), pa.array([found[i].tobytes() for i in mine], pa.binary())], ["rep", "members"])
 
-    full = stage(map_arrow(rows.select("rep", "mark_a", "mark_b", "text"), sets, "rep long, members binary"), f"{purpose}-sets")
+    return stage(map_arrow(rows.select("rep", "mark_a", "mark_b", "text"), run, "rep long, members binary"), f"{purpose}-sets")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int, purpose: str) -> DataFrame:
+    """The pairs whose full sets have intersection * 100 >= percent * union."""
+    full = full_sets(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))), docs, classes, n, purpose)
     side = lambda x: full.select(F.col("rep").alias(x), F.col("members").alias(f"members_{x}"))
 
     def compare(batches):
@@ -172,6 +179,67 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perc
     return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "members_a", "members_b"), compare, "a long, b long")
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of each set on the left with each on the right, by products of incidence matrices in slices of the values."""
+    values, owner = np.concatenate(left + right), np.repeat(np.arange(len(left) + len(right)), [len(s) for s in left + right])
+    _, back, count = np.unique(values, return_inverse=True, return_counts=True)
+    common = count[back] > 1
+    rank = np.cumsum(count > 1) - 1
+    column, owner = rank[back[common]], owner[common]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, SLICE):
+        part = slice(*np.searchsorted(column, [first, first + SLICE]))
+        held = np.zeros((len(left) + len(right), SLICE), np.float32)
+        held[owner[part], column[part] - first] = 1
+        out += held[: len(left)] @ held[len(left) :].T
+    return out
+
+
+def links_between(members: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int, purpose: str) -> DataFrame:
+    """Links that join different groups of one circle, enough of them to connect all that are connected.
+
+    A circle is cut into blocks of about ``BLOCK`` sets, those of its largest group and those of all others apart. Blocks of
+    others meet one another and the blocks of the largest group, each meeting in a task of its own, where full sets are
+    compared in place; no pair becomes a row.
+    """
+    full = full_sets(members.select(F.col("node").alias("rep")), docs, classes, n, purpose)
+    by_group = members.groupBy("head", "group").count()
+    shape = by_group.groupBy("head").agg(F.max_by("group", F.struct("count", "group")).alias("main"), F.max("count").alias("most"), F.sum("count").alias("total"))
+    blocks = lambda c: F.greatest(F.lit(1), F.ceil(c / F.lit(BLOCK))).cast("int")
+    shape = shape.select("head", "main", blocks(F.col("total") - F.col("most")).alias("others"), blocks(F.col("most")).alias("mains"))
+    rows = members.select("head", "node", "group").join(shape, "head").withColumn("main", F.col("group") == F.col("main"))
+    rows = rows.withColumn("block", F.when(F.col("main"), F.col("others") + F.pmod(F.xxhash64("node"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("node"), F.col("others"))).cast("int"))
+    meets = F.when(F.col("main"), F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1))
+    cells = rows.withColumn("other", F.explode(meets)).select("head", "node", "group", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    cells = cells.join(full.withColumnRenamed("rep", "node"), "node")
+
+    def compare(cell: pa.Table) -> pa.Table:
+        node, group, block = (np.array(cell.column(c).to_pylist()) for c in ("node", "group", "block"))
+        sets = [np.frombuffer(v, np.uint64) for v in cell.column("members").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        shared = shared_counts([sets[i] for i in left], [sets[i] for i in right])
+        union = size[left][:, None] + size[right][None] - shared
+        root = {g: g for g in group.tolist()}
+
+        def find(g):
+            while root[g] != g:
+                root[g] = g = root[root[g]]
+            return g
+
+        found = []
+        for i, j in zip(*np.nonzero((100 * shared >= percent * union) & (group[left][:, None] != group[right][None]))):
+            a, b = find(int(group[left[i]])), find(int(group[right[j]]))
+            if a != b:
+                root[a] = b
+                found.append((int(node[left[i]]), int(node[right[j]])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return cells.groupBy("head", "x", "y").applyInArrow(compare, "a long, b long")
+
+
 def near_groups(docs: DataFrame, words: int = WORDS, percent: int = round(100 * SIMILARITY), purpose: str = "near") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
     sketches = stage(sketch_table(docs, words), f"{purpose}-sketches")
@@ -185,7 +253,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = round(100 *
     )
     near = lambda pairs: pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     links = lambda pairs, name: verified(stage(estimated(pairs, classes, percent), f"{name}-estimated"), docs, classes, words, percent, name)
-    root = link_groups(run_keys(classes, percent), near, links, purpose, ("n",))
+    between = lambda members, name: links_between(members, docs, classes, words, percent, name)
+    root = link_groups(run_keys(classes, percent), near, links, purpose, ("n",), between)
     grouped = first.join(root.withColumnRenamed("node", "rep"), "rep", "left").select(*marks, F.coalesce("root", "rep").alias("component"))
     return (
         sketches.select("doc_id", *marks).join(grouped, marks, "left")

@@ -39,36 +39,34 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
 
 
 def link_groups(
-    keys: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, payload: tuple[str, ...] = (), between: Callable[[DataFrame, str], DataFrame] | None = None
+    keys: DataFrame, traits: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, between: Callable[[DataFrame, str], DataFrame] | None = None
 ) -> DataFrame:
     """node and root of all nodes linked to another one; nodes are candidates if they share a key.
 
-    keys: key, node and ``payload`` columns. near: keeps the rows (a, b, payload as x_a and x_b) worth testing, without a
-    shuffle. links_of(pairs, purpose): the pairs (a, b) that are truly linked.
+    keys: key, node (made twice, never kept: most keys are met once and go no further). traits: node and columns x that
+    ``near`` needs. near: keeps the rows (a, b, x_a, x_b) worth testing, without a shuffle. links_of(pairs, purpose): the
+    pairs (a, b) that are truly linked.
 
     In each list every node is first tested against its head, the smallest one. Lists of one head then form one circle. Only
     circles whose members are still in different groups go on, and only their pairs between groups: ``between(members,
-    purpose)`` finds links among members (head, node, group, payload), by default from the pairs as rows. So a group of
+    purpose)`` finds links among members (head, node, group), by default from the pairs as rows. So a group of
     alike nodes costs its size, not its square, and no link that could join two groups stays untested.
     """
-    keys = stage(keys, f"{purpose}-keys")
-    heads = keys.groupBy("key").agg(F.min(F.struct("node", *payload)).alias("head"), F.count("*").alias("members")).where("members > 1")
-    lists = keys.join(heads.select("key", "head"), "key").where("node <> head.node")
-    star = stage(lists.select(F.col("head.node").alias("a"), F.col("node").alias("b"), *(F.col(f"head.{x}").alias(f"{x}_a") for x in payload), *(F.col(x).alias(f"{x}_b") for x in payload)).distinct(), f"{purpose}-star")
-    links = stage(links_of(near(star).select("a", "b").distinct(), f"{purpose}-star"), f"{purpose}-links")
-    if links.isEmpty():
-        root = keys.select("node", F.col("node").alias("root")).limit(0)
-    else:
-        root = components(links, purpose)
-    member = lambda s: star.select(F.col("a").alias("head"), F.col(s).alias("node"), *(F.col(f"{x}_{s}").alias(x) for x in payload))
-    circles = member("b").union(member("a").distinct())
-    grouped = circles.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node"))
+    kept = [c for c in traits.columns if c != "node"]
+    with_traits = lambda pairs, s: pairs.join(traits.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in kept)), s)
+    heads = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1").select("key", "a")
+    star = stage(keys.join(heads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{purpose}-star")
+    links = stage(links_of(near(with_traits(with_traits(star, "b"), "a")).select("a", "b"), f"{purpose}-star"), f"{purpose}-links")
+    root = keys.select("node", F.col("node").alias("root")).limit(0) if links.isEmpty() else components(links, purpose)
+    circles = star.select(F.col("a").alias("head"), F.col("b").alias("node")).union(star.select(F.col("a").alias("head"), F.col("a").alias("node")).distinct())
+    grouped = circles.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").select("head", "node", F.coalesce("root", "node").alias("group"))
     mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where("low < high and members > 2").select("head")
-    rest = stage(grouped.join(mixed, "head").select("head", "node", "group", *payload), f"{purpose}-mixed")
+    rest = stage(grouped.join(mixed, "head"), f"{purpose}-mixed")
     if rest.isEmpty():
         return root
     if between is None:
-        side = lambda s: rest.select("head", F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(x).alias(f"{x}_{s}") for x in payload))
+        members = rest.join(traits, "node")
+        side = lambda s: members.select("head", F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in kept))
         pairs = near(side("a").join(side("b"), "head").where("a < b and group_a <> group_b and a <> head and b <> head"))
         further = links_of(stage(pairs.select("a", "b").distinct(), f"{purpose}-pairs"), f"{purpose}-between")
     else:

@@ -123,11 +123,11 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str
     """doc_id, text without the repeated lines, n_lines, n_removed, and the columns named in ``keep``."""
     lines = stage(line_table(docs), f"{purpose}-table")
     classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first"), F.min("words").alias("words"), F.min("size").alias("size"), F.min("simhash").alias("simhash")), f"{purpose}-classes")
-    keys = classes.where(F.col("words") >= LONG).select(F.explode(block_keys(F.col("simhash"))).alias("key"), F.col("mark").alias("node"), "size", "simhash")
+    keys = classes.where(F.col("words") >= LONG).select(F.explode(block_keys(F.col("simhash"))).alias("key"), F.col("mark").alias("node"))
     near = lambda pairs: pairs.where(
         (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(similarity)) & (F.bit_count(F.col("simhash_a").bitwiseXOR(F.col("simhash_b"))) <= RADIUS)
     )
-    root = link_groups(keys, near, lambda pairs, name: similar(pairs, classes, docs, similarity, name), purpose, ("size", "simhash"))
+    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "simhash"), near, lambda pairs, name: similar(pairs, classes, docs, similarity, name), purpose)
     # A group's keeper is the least first occurrence of its classes, its root's own class included.
     tied = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
     tied = classes.select("mark", "first").join(tied, F.col("mark") == F.col("node")).select("mark", "root", "first")

@@ -100,7 +100,7 @@ def sketch_table(docs: DataFrame, n: int) -> DataFrame:
 
 
 def run_keys(classes: DataFrame, percent: int) -> DataFrame:
-    """key, node, n: one row for each run of retained values of each class."""
+    """key, node: one row for each run of retained values of each class."""
     long, small = run_lengths(percent)
 
     def run(batches):
@@ -119,9 +119,9 @@ def run_keys(classes: DataFrame, percent: int) -> DataFrame:
                         rows.append(np.full(len(keys[-1]), i))
             if keys:
                 at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), batch.column("rep").take(at), batch.column("n").take(at)], ["key", "node", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), batch.column("rep").take(at)], ["key", "node"])
 
-    return map_arrow(classes.select("rep", "n", "sketch"), run, "key long, node long, n long")
+    return map_arrow(classes.select("rep", "n", "sketch"), run, "key long, node long")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -254,7 +254,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = round(100 *
     near = lambda pairs: pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     links = lambda pairs, name: verified(stage(estimated(pairs, classes, percent), f"{name}-estimated"), docs, classes, words, percent, name)
     between = lambda members, name: links_between(members, docs, classes, words, percent, name)
-    root = link_groups(run_keys(classes, percent), near, links, purpose, ("n",), between)
+    root = link_groups(run_keys(classes, percent), classes.select(F.col("rep").alias("node"), "n"), near, links, purpose, between)
     grouped = first.join(root.withColumnRenamed("node", "rep"), "rep", "left").select(*marks, F.coalesce("root", "rep").alias("component"))
     return (
         sketches.select("doc_id", *marks).join(grouped, marks, "left")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import table
 from .decontaminate import contaminated
+from .html_trees import extract_pages
 from .langid import identify
 from .line_dedup import dedup_lines
 from .maxent_lm import score_texts
@@ -42,6 +43,10 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
     "op7_langid": op7_langid,
+    "op8_html": op8_html,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -16,6 +16,7 @@ from .line_dedup import dedup_lines
 from .maxent_lm import score_texts
 from .near_dedup import near_groups
 from .perplexity_rules import judge
+from .pii_crf import find
 from .quality_crf import classify
 
 
@@ -39,6 +40,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find(table(spark, sf_dir, "documents"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_score": op3_lm_score,
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
+    "op6_pii": op6_pii,
     "op7_langid": op7_langid,
     "op8_html": op8_html,
     "op9_quality_rules": op9_quality_rules,

@@ -90,14 +90,15 @@ def token_counts(docs: DataFrame) -> DataFrame:
 class Model:
     """Weights and token tables; ``rows``: class-level weights, ``inner``: slot-level weights."""
 
-    def __init__(self, known: list, kinds: dict[int, tuple[int, int]], n: int, v: int):
+    def __init__(self, known: np.ndarray, counts: np.ndarray, kinds: dict[int, tuple[int, int]], n: int, v: int):
         self.n, self.v = n, v
-        top = np.array([r.token for r in known[: HEAD * SLOTS]], np.int64).view(np.uint64)
+        known = known.view(np.uint64)
+        top = known[: HEAD * SLOTS]
         self.places = len(top)
         self.slot = Lookup(top, np.arange(len(top)))
-        self.count = Lookup(np.array([r.token for r in known], np.int64).view(np.uint64), np.array([r["count"] for r in known], np.int64))
+        self.count = Lookup(known, counts)
         head = np.zeros(HEAD * SLOTS)
-        head[: len(top)] = [r["count"] for r in known[: HEAD * SLOTS]]
+        head[: len(top)] = counts[: HEAD * SLOTS]
         tail = np.array([kinds.get(k, (0, 0)) for k in range(TAIL)], float).reshape(TAIL, 2)
         self.tail_size = tail.sum(1) + 1
         by_class = np.concatenate([head.reshape(HEAD, SLOTS).sum(1), tail[:, 0]])
@@ -245,10 +246,11 @@ def score_texts(docs: DataFrame, purpose: str = "lm") -> DataFrame:
     training = rows.where("not held_out")
     counts = stage(token_counts(training), f"{purpose}-counts")
     n, v = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
-    known = counts.orderBy(F.desc("count"), "token").limit(KNOWN).collect()  # a fixed number of rows
-    heads = [r.token for r in known[: HEAD * SLOTS]]
+    known = counts.orderBy(F.desc("count"), "token").limit(KNOWN).select("token", "count").toArrow()  # a fixed number of rows
+    tokens_, counts_ = (np.array(known.column(c).to_numpy(), np.int64) for c in ("token", "count"))
+    heads = tokens_[: HEAD * SLOTS].tolist()
     kinds = {r.kind: (r.n, r.v) for r in counts.where(~F.col("token").isin(heads)).groupBy("kind").agg(F.sum("count").alias("n"), F.count("*").alias("v")).collect()}
-    model = Model(known, kinds, n, v)
+    model = Model(tokens_, counts_, kinds, n, v)
     fit(training, model)
     parts = stage(scored(rows, model).withColumn("row", F.monotonically_increasing_id()), f"{purpose}-parts")
     logs = F.log10(F.col("count") + 1.0)

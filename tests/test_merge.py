@@ -69,3 +69,24 @@ def test_rules_delete_seed_and_bulk_delete(spark):
     assert merge.seed_rules(empty, r).count() == 2 and merge.seed_rules(r, r).count() == 2
     b = spark.createDataFrame([(D, "A", None), (D, "A", 1.0)], "transaction_date date, description string, amount double")
     assert rows(merge.delete_transactions(b, spark.createDataFrame([(D, "A", 0.0)], b.schema))) == [(D, "A", 1.0)]
+
+
+def test_posted_feed_keeps_what_it_does_not_bring(spark):
+    schema = BANK + ", running_balance double"
+    t = spark.createDataFrame([(D, "A", -10.0, "old", "auto", "V", "f0", 100.0), (D, "B", -1.0, "x", None, "V", "f0", 5.0)], schema)
+    s = spark.createDataFrame([(D, "A", -10.0, "new", "auto", "W", "f1", None), (D, "B", -1.0, "new", "auto", "W", "f1", None)], schema)
+    got = merge.merge_bank_posted(t, s, [F.asc("category")])
+    assert rows(got) == [(D, "A", -10.0, "new", "auto", "W", "f1", 100.0), (D, "B", -1.0, "x", None, "V", "f0", 5.0)]
+
+
+def test_two_edits_of_one_line_agree_with_the_log(spark):
+    bank = spark.createDataFrame([(D, "A", -10.0, "old", "auto", "V", "f0")], BANK)
+    edits = spark.createDataFrame([(D, "A", -10.0, "first", 1), (D, "A", -10.0, "second", 2)], "transaction_date date, description string, amount double, category string, at int")
+    newest = [F.desc("at")]
+    assert merge.recategorize(bank, edits, newest).first().category == merge.recategorize_audit(bank, edits, newest).first().new_category == "second"
+
+
+def test_twins_of_earlier_batches_stay(spark):
+    b = spark.createDataFrame([(D, "a", -1.0, "c", "auto", "V", "csv"), (D, "a!", -1.0, "c", "feed", "V", "batch1"), (D, "b", -2.0, "c", "auto", "V", "csv"), (D, "b!", -2.0, "c", "feed", "V", "batch2")], BANK)
+    got = merge.drop_cross_source_twins(b, F.col("category_source") == "feed", F.col("source_file") == "batch2")
+    assert sorted(r.description for r in got.collect()) == ["a", "a!", "b!"]

@@ -61,3 +61,10 @@ def test_drift_and_freshness(spark):
     assert status.schema_drift(a, a).count() == 0
     s = status.table_status({"t": spark.createDataFrame([(date(2025, 1, 1),)], "d date")}, {"t": "d"})
     assert status.freshness(s, "2025-01-05", {}).first().stale is True
+
+
+def test_statement_of_ten_columns(spark):
+    from venuelake.sources.files import parse_bank_text
+    text = "Preamble\nDate,a,b,c,d,e,f,Description,Amount,Running Bal.\n1/2/2025,1,2,3,4,5,6,\"Say \"\"hi\"\", friend\",\"1,234.50\",99.25\n1/3/2025,,,,,,,plain,-2.00,"
+    got = parse_bank_text(spark.createDataFrame([(text, "f")], "value string, source_file string")).orderBy("transaction_date").collect()
+    assert [(r.description, r.amount, r.running_balance, r.transaction_type) for r in got] == [('Say "hi", friend', 1234.5, 99.25, "credit"), ("plain", -2.0, None, "debit")]

@@ -29,3 +29,23 @@ def test_stream_restarts_from_its_checkpoint(spark):
     run()
     now = jobs.current_rows(jobs.read_changes(spark, path, rows.schema), ["k"], [F.desc("v")]).collect()
     assert sorted(map(tuple, now)) == [(1, 10), (2, 7)]
+
+
+def _files_out_of_order(spark):
+    """Four files of one event each, the newest first."""
+    src = shared_dir(spark, "disorder")
+    for k, ts in enumerate(["2025-01-05 20:00:00", "2025-01-05 10:30:00", "2025-01-01 10:10:00", "2025-01-05 10:00:00"]):
+        spark.createDataFrame([(k % 3, ts, 1.0)], "id int, ts string, value double").selectExpr("id", "CAST(ts AS timestamp) AS ts", "value").write.mode("append").parquet(src)
+    return src, spark.read.parquet(src).schema
+
+
+def test_late_files_count_in_the_hourly_totals(spark):
+    src, schema = _files_out_of_order(spark)
+    got = jobs.windowed_revenue(spark, src, schema, lambda s: s, "ts", "value", max_files=1).collect()
+    assert sorted((str(r.hour_start), r.txns, r.revenue) for r in got) == [("2025-01-01 10:00:00", 1, 1.0), ("2025-01-05 10:00:00", 2, 2.0), ("2025-01-05 20:00:00", 1, 1.0)]
+
+
+def test_late_repeats_are_dropped_once(spark):
+    src, schema = _files_out_of_order(spark)
+    got = jobs.deduplicated(spark, [src, src], schema, "id", "ts", max_files=1).collect()
+    assert sorted((r.id, str(r.ts)) for r in got) == [(0, "2025-01-05 20:00:00"), (1, "2025-01-05 10:30:00"), (2, "2025-01-01 10:10:00")]

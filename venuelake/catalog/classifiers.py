@@ -204,13 +204,13 @@ def _(t):
     return t.items.groupBy("menu_item", cl.is_premium(F.col("menu_item")).alias("is_premium")).agg(F.count("*").alias("n"))
 
 
-PRICES = [("BTL Gold 1942", 900.0), ("Cristal Magnum", 1500.0), ("Moet House", 300.0), ("Reserve Rose", 250.0)]
+PRICES = [("BTL Gold 1942", 900.0, "premium"), ("Cristal Magnum", 1500.0, "premium"), ("Moet House", 300.0, "premium"), ("Reserve Rose", 250.0, "premium"), ("Steak Dinner", 60.0, "standard")]
 ALIASES = [("OWNER Moet", "Moet House"), ("OWNER Reserve Rose", "Reserve Rose"), ("$Blue Agave BTL", "Unlisted")]
-RETAIL_SQL = "CASE menu_item WHEN 'BTL Gold 1942' THEN 900.0::DOUBLE WHEN 'Cristal Magnum' THEN 1500.0::DOUBLE WHEN 'OWNER Moet' THEN 300.0::DOUBLE WHEN 'OWNER Reserve Rose' THEN 250.0::DOUBLE END"
+RETAIL_SQL = "CASE menu_item WHEN 'BTL Gold 1942' THEN 900.0::DOUBLE WHEN 'Cristal Magnum' THEN 1500.0::DOUBLE WHEN 'OWNER Moet' THEN 300.0::DOUBLE WHEN 'OWNER Reserve Rose' THEN 250.0::DOUBLE WHEN 'Steak Dinner' THEN 60.0::DOUBLE END"
 
 
 def price_tables(t):
-    return t.rows(PRICES, "menu_item string, retail double"), t.rows(ALIASES, "menu_item string, retail_item string")
+    return t.rows(PRICES, "menu_item string, retail double, tier string"), t.rows(ALIASES, "menu_item string, retail_item string")
 
 
 @query("r_retail_price", f"SELECT item_selection_id, menu_item, {RETAIL_SQL} AS retail_price FROM v_items")

@@ -12,7 +12,7 @@ from .registry import query
 ROSTER = [("srv_3", "Manager"), ("srv_7", "Manager"), ("srv_11", "Bar Lead"), ("srv_20", "Manager"), ("nobody", "Manager")]
 ROSTER_SQL = "(VALUES " + ", ".join(f"('{s}', '{r}')" for s, r in ROSTER) + ") AS ro(server, role)"
 _IN = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
-LISTED = _IN([p for p, _ in PRICES] + [a for a, _ in ALIASES])
+LISTED = _IN([p for p, *_ in PRICES] + [a for a, _ in ALIASES])
 VALID = "status IN ('CAPTURED', 'AUTHORIZED', 'CAPTURE_IN_PROGRESS')"
 
 LOG = f"""il AS (SELECT * FROM v_check_items WHERE discount > 0 OR menu_item IN {LISTED} OR (starts_with(upper(menu_item), 'OWNER ') AND (contains(lower(tab_name), 'owner_a') OR contains(lower(tab_name), 'owner_b'))))"""
@@ -135,11 +135,11 @@ def _(t):
 
 PM = f"""pm AS (SELECT *, round(greatest(retail_value - recovered, 0), 2) AS foregone FROM (SELECT menu_item, count(*) AS rings, round(coalesce(sum(retail_price), 0), 2) AS retail_value, count(*) FILTER (collected <= 0.01) AS house_comped, count(*) FILTER (collected > 0.01 AND owner IS NOT NULL) AS owner_paid,
     count(*) FILTER (collected > 0.01 AND owner IS NULL) AS other_paid, round(coalesce(sum(CASE WHEN collected > 0.01 THEN CASE WHEN owner IS NOT NULL THEN gross_price ELSE coalesce(retail_price, gross_price) END END), 0), 2) AS recovered
-    FROM el WHERE retail_price IS NOT NULL OR premium OR menu_item IN {_IN([a for a, _ in ALIASES])} GROUP BY 1))"""
+    FROM el WHERE premium OR menu_item IN {_IN([a for a, _ in ALIASES] + [p for p, _, tier in PRICES if tier == 'premium'])} GROUP BY 1))"""
 
 
 def movement(t):
-    return cp.premium_movement(elog(t), price_tables(t)[1])
+    return cp.premium_movement(elog(t), *price_tables(t))
 
 
 @query("rep_comp_premium", f"WITH {EL}, {PM} SELECT * FROM pm")
@@ -197,7 +197,7 @@ def _(t):
   UNION ALL SELECT * FROM (SELECT 'foregone', menu_item, foregone, '' FROM pm WHERE house_comped > 0 AND foregone >= 500 ORDER BY foregone DESC, menu_item LIMIT 3)""")
 def _(t):
     c, e = comp_rows(t), elog(t)
-    return cp.actions(cp.roster_scores(cp.by_server(c), roster(t)), e, cp.caps(e, house(t), "sun_brunch"), c, cp.premium_movement(e, price_tables(t)[1]))
+    return cp.actions(cp.roster_scores(cp.by_server(c), roster(t)), e, cp.caps(e, house(t), "sun_brunch"), c, cp.premium_movement(e, *price_tables(t)))
 
 
 COST = [("Food", 0.32), ("Liquor", 0.22), ("Beer", 0.25), ("Wine", 0.3), ("Hookah", 0.1)]
@@ -305,9 +305,9 @@ def _(t):
 
 PROG_SQL = "(VALUES " + ", ".join(f"({d}, '{w}', '{m}')" for d, w, m in rb.BIRTHDAY_PROGRAM) + ") AS pg(dow, word, mode)"
 _W = lambda c, ws: "(" + " OR ".join(f"contains(lower({c}), '{w}')" for w in ws) + ")"
-RV = f"""rg AS (SELECT i.processing_date AS date, i.check_id AS check_number, i.item_selection_id, i.tab_name, i.menu_item, i.gross_price, i.discount, i.gross_price > 0 AND i.discount >= i.gross_price * 0.999 AS comped, starts_with(upper(i.menu_item), 'OWNER ') AS cost_basis, {_W('i.tab_name', rb.BIRTHDAY_WORDS)} AS bday_tab,
+RV = f"""rg AS (SELECT i.processing_date AS date, i.check_id AS check_number, i.item_selection_id, i.tab_name, i.menu_item, i.gross_price, i.discount, i.discount > 0 AND abs(i.discount - i.gross_price) < 0.01 AS comped, (starts_with(upper(trim(i.menu_item)), 'OWNER ') OR starts_with(trim(i.menu_item), '$')) AND coalesce(i.discount, 0) = 0 AS cost_basis, {_W('i.tab_name', rb.BIRTHDAY_WORDS)} AS bday_tab,
       nullif(lower(regexp_extract(trim(i.tab_name), '(?i)^bday[\\s\\-\\.]*(?:f(?:ri)?|s(?:at)?|w(?:ed)?|u(?:un)?|sun)[\\s\\-\\.]+([a-z]+)', 1)), '') AS party FROM v_check_items i WHERE {_W('i.menu_item', rb.CHAMPAGNE_WORDS)}),
-  rr AS (SELECT *, {_W('notes', rb.PACKAGE_WORDS)} AS registered, isodow(date) - 1 AS wd FROM v_reservations WHERE lower(status_simple) IN ('complete', 'seated') AND (coalesce({_W('tags_json', rb.BIRTHDAY_WORDS)}, FALSE) OR contains(lower(notes), 'birthday'))),
+  rr AS (SELECT *, {_W('notes', rb.PACKAGE_WORDS)} AS registered, isodow(date) - 1 AS wd FROM v_reservations WHERE lower(status_simple) IN ('complete', 'seated') AND (coalesce({_W('tags_json', rb.BIRTHDAY_WORDS)}, FALSE) OR coalesce(contains(lower(notes), 'birthday'), FALSE) OR coalesce(contains(lower(client_requests), 'birthday'), FALSE))),
   rp AS (SELECT rr.*, word, mode FROM rr LEFT JOIN {PROG_SQL} ON pg.dow = rr.wd),
   ex AS (SELECT * FROM (SELECT reservation_id, date, first_name, registered, word, mode, trim(unnest(string_split(check_numbers, ','))) AS part FROM rp) WHERE regexp_full_match(part, '[0-9]+')),
   ec AS (SELECT *, CAST(part AS BIGINT) AS cn FROM ex),

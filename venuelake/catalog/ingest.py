@@ -237,7 +237,7 @@ def _(t):
     return merge.merge_bank_statement(*_bank_pair(t))
 
 
-@query("snk_merge_bank_feed_b", merge_sql(_BANK_T, _BANK_S, _BK, _BC, _BO, when=_NM))
+@query("snk_merge_bank_feed_b", merge_sql(_BANK_T, _BANK_S, _BK, _BC, _BO, {c: f"t.{c}" for c in ("transaction_date", "description", "amount", "transaction_type", "abs_amount")}, "t.category_source <> 'manual'"))
 def _(t):
     return merge.merge_bank_posted(*_bank_pair(t))
 

@@ -100,7 +100,7 @@ CTES: dict[str, str] = {
         1 + o_custkey % 12 AS max_guests, CASE o_orderstatus WHEN 'F' THEN 'Complete' WHEN 'O' THEN 'Seated' ELSE 'Canceled' END AS status_simple,
         CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN o_orderkey || ', ' || (o_orderkey + 1) WHEN 2 THEN 'x' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS check_numbers,
         {_list(si.NOTES, 'o_orderkey')} AS notes, CASE WHEN o_custkey % 3 = 0 THEN '[{{"name":"Birthday"}}]' END AS tags_json,
-        (cents // 1000) / 100.0::DOUBLE AS total_payment, o_orderdate + to_minutes(CAST(o_orderkey * 11 % 1440 AS INT)) AS updated FROM {_O}""",
+        CASE o_orderkey % 11 WHEN 0 THEN 'Birthday candle, please' WHEN 1 THEN 'quiet corner' END AS client_requests, (cents // 1000) / 100.0::DOUBLE AS total_payment, o_orderdate + to_minutes(CAST(o_orderkey * 11 % 1440 AS INT)) AS updated FROM {_O}""",
 }
 _NEEDS = {"v_check_items": ["v_items"]}
 

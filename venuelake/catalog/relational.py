@@ -155,14 +155,20 @@ def _(t):
     return first_match(t.bank.select("description"), rules, "description", ["label"]).groupBy("label").agg(F.count("*").alias("n"))
 
 
+_WORDS_SQL = r"SELECT unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS keyword FROM documents WHERE text IS NOT NULL"
+
+
 @query("j_keyword_first_match_large", f"""
-  WITH d AS (SELECT description, count(*) AS n FROM v_bank GROUP BY 1),
-  m AS (SELECT d.description, arg_min(label, priority) AS label FROM d JOIN {RULES_SQL} ON contains(lower(d.description), r.keyword) GROUP BY 1)
-  SELECT m.label, CAST(sum(d.n) AS BIGINT) AS n FROM d LEFT JOIN m ON d.description = m.description GROUP BY 1""")
-def _(t):
-    """The equi-join form taken by rule tables too large to carry along."""
-    rules = t.rows(RULES, "keyword string, label string, priority int")
-    return first_match(t.bank.select("description"), rules, "description", ["label"], inline_bound=0).groupBy("label").agg(F.count("*").alias("n"))
+  WITH k AS (SELECT keyword, CAST(count(*) AS BIGINT) AS n FROM ({_WORDS_SQL}) GROUP BY 1 QUALIFY row_number() OVER (ORDER BY n DESC, keyword) <= 2000),
+  d AS (SELECT doc_id, upper(left(text, 400)) AS t FROM documents WHERE text IS NOT NULL),
+  m AS (SELECT doc_id, min(struct_pack(p := -k.n, k := upper(k.keyword))) AS hit FROM d JOIN k ON contains(d.t, upper(k.keyword)) GROUP BY 1)
+  SELECT lower(hit.k) AS label, CAST(count(*) AS BIGINT) AS n FROM d LEFT JOIN m USING (doc_id) GROUP BY 1""")
+def _(t):
+    """Some thousand keywords taken from the texts themselves; the head of each text is the field that is classified."""
+    docs = t.raw("documents").filter("text IS NOT NULL")
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{9,}"), F.lit(0))).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n"))
+    rules = words.orderBy(F.desc("n"), "keyword").limit(2000).select("keyword", (-F.col("n")).alias("priority"), F.col("keyword").alias("label"))
+    return first_match(docs.select(F.substring("text", 1, 400).alias("head")), rules, "head", ["label"]).groupBy("label").agg(F.count("*").alias("n"))
 
 
 @query("j_exists", "SELECT o.order_id FROM v_orders o WHERE EXISTS (SELECT 1 FROM v_items i WHERE i.order_id = o.order_id AND i.voided = 'true')")

@@ -42,9 +42,9 @@ def _(t):
 
 @query("st_late_corrections_stream", "SELECT event_id, user_id, event_type, value FROM events")
 def _(t):
-    """Two overlapping deliveries of the same files, deduplicated under a watermark."""
+    """Two overlapping deliveries of the same files, each event once."""
     src = f"{t.sf_dir}/events*.parquet"
-    return jobs.deduplicated(t.spark, [src, src], t.raw("events").schema, "event_id", "ts", "40 days").select("event_id", "user_id", "event_type", "value")
+    return jobs.deduplicated(t.spark, [src, src], t.raw("events").schema, "event_id", "ts").select("event_id", "user_id", "event_type", "value")
 
 
 _CH = """ch AS (SELECT order_id, server, total, CASE WHEN voided IS NULL THEN 'added' WHEN voided = 'true' THEN 'removed' ELSE 'modified' END AS change FROM v_orders WHERE tip > 20),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import rulebook as rb
 from ..functions.text import contains_any, normalize_description, starts_with_any, wire_party
 from .rules import case_rules, first_match
+from .windows import latest_per_key
 
 
 # --- bank lines ---
@@ -28,10 +29,15 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
     reg = register.select(
         F.col("check_number").cast("string").alias("_check"), F.col("payee").alias("_payee"),
         F.nullif(F.col("category"), F.lit("")).alias("_reg_category"), F.nullif(F.col("vendor_normalized"), F.lit("")).alias("_reg_vendor"),
-    ).dropDuplicates(["_check"])
+    )
+    reg = latest_per_key(reg, ["_check"], [F.desc_nulls_last(c) for c in ("_reg_category", "_reg_vendor", "_payee")])
+    # With an empty register a paper check is a line like any other.
+    check_no = F.when(F.col("_listed") > 0, check_no)
+    base_columns = base.columns
+    base = base.withColumn("_listed", register.limit(1).agg(F.count("*")).scalar())
     step = base.withColumn("_no", check_no).withColumn("_norm", normalize_description(F.col(text_col)))
     # Lines without a check number get scattered keys that match nothing, so a shuffled join stays even.
-    step = step.withColumn("_key", F.coalesce("_no", F.concat(F.lit("-"), F.xxhash64(*base.columns).cast("string"))))
+    step = step.withColumn("_key", F.coalesce("_no", F.concat(F.lit("-"), F.xxhash64(*base_columns).cast("string"))))
     step = step.join(reg, F.col("_key") == F.col("_check"), "left")
     step = step.withColumn("_rule_text", F.when(F.col("_no").isNotNull(), F.col("_payee")).otherwise(F.col("_norm")))
     step = first_match(step, ranked, "_rule_text", ["rule_category", "rule_vendor"], mode="word")
@@ -59,7 +65,7 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
     cases.append((F.col("_processor").isNotNull(), F.col("_processor")))
     cases.append((ruled, answer(F.col("rule_category"), "auto", F.coalesce("_wire", "rule_vendor", desc))))
     default = answer(none, "uncategorized", F.coalesce(F.col("_wire"), F.nullif(F.col("_norm"), F.lit("")), desc))
-    return step.withColumn("_a", case_rules(cases, default)).select(*base.columns, "_a.*")
+    return step.withColumn("_a", case_rules(cases, default)).select(*base_columns, "_a.*")
 
 
 # --- bank deposits and expense groups ---
@@ -205,9 +211,9 @@ def is_premium(item: Column) -> Column:
 
 def with_retail_price(df: DataFrame, prices: DataFrame, aliases: DataFrame, item: str = "menu_item") -> DataFrame:
     """Adds ``retail_price``: the item's own price, else the price of the item it stands for."""
-    p = prices.select("menu_item", "retail").dropDuplicates(["menu_item"])
+    p = prices.select("menu_item", "retail").groupBy("menu_item").agg(F.max("retail").alias("retail"))
     by_alias = aliases.join(p, aliases["retail_item"] == p["menu_item"]).select(
-        aliases["menu_item"].alias("_a"), F.col("retail").alias("_alias_price")).dropDuplicates(["_a"])
+        aliases["menu_item"].alias("_a"), F.col("retail").alias("_alias_price")).groupBy("_a").agg(F.max("_alias_price").alias("_alias_price"))
     direct = p.select(F.col("menu_item").alias("_p"), F.col("retail").alias("_price"))
     return (
         df.join(direct, F.col(item) == F.col("_p"), "left").join(by_alias, F.col(item) == F.col("_a"), "left")

@@ -78,9 +78,13 @@ def merge_bank_statement(target: DataFrame, incoming: DataFrame, order: list[Col
 
 
 def merge_bank_posted(target: DataFrame, incoming: DataFrame, order: list[Column]) -> DataFrame:
-    """Posted-only feed: rows changed by hand stay as they are."""
-    when = F.coalesce(F.col("t.category_source"), F.lit("")) != MANUAL
-    return upsert(with_bank_key(target), with_bank_key(incoming), BANK_KEY, order, when=when).drop("amount_key")
+    """Posted-only feed: category, vendor and load columns are taken from the feed, all others stay.
+
+    Rows changed by hand, and rows whose category_source is NULL, stay as they are.
+    """
+    taken = {"category", "category_source", "vendor_normalized", "source_file", "upload_date", "upload_batch_id"}
+    choose = {c: F.col(f"t.{c}") for c in target.columns if c not in taken}
+    return upsert(with_bank_key(target), with_bank_key(incoming), BANK_KEY, order, choose, F.col("t.category_source") != MANUAL).drop("amount_key")
 
 
 def merge_bank_fill(target: DataFrame, incoming: DataFrame, order: list[Column]) -> DataFrame:
@@ -94,16 +98,16 @@ def merge_bank_fill(target: DataFrame, incoming: DataFrame, order: list[Column])
     return upsert(with_bank_key(target), with_bank_key(incoming), BANK_KEY, order, choose, when).drop("amount_key")
 
 
-def drop_cross_source_twins(bank: DataFrame, is_feed: Column, keys: tuple[str, ...] = ("transaction_date", "vendor_normalized")) -> DataFrame:
-    """Remove the one non-feed row that repeats a feed row (same date, amount and vendor).
+def drop_cross_source_twins(bank: DataFrame, is_feed: Column, in_batch: Column | None = None, keys: tuple[str, ...] = ("transaction_date", "vendor_normalized")) -> DataFrame:
+    """Remove the one non-feed row that repeats a feed row of the batch just loaded (same date, amount and vendor).
 
-    Where two or more non-feed rows share the key nothing is removed. Counts per key are
-    aggregated first, so a frequent key is one row in the join.
+    ``in_batch`` marks the rows of that batch (default: all feed rows). Where two or more non-feed rows share the
+    key nothing is removed. Counts per key are aggregated first, so a frequent key is one row in the join.
     """
-    b = with_bank_key(bank).withColumn("_feed", is_feed)
+    b = with_bank_key(bank).withColumns({"_feed": is_feed, "_new": is_feed if in_batch is None else is_feed & in_batch})
     k = [*keys, "amount_key"]
     counts = b.filter(F.col("vendor_normalized").isNotNull()).groupBy(*k).agg(
-        F.count_if(F.col("_feed")).alias("_fed"), F.count_if(~F.col("_feed")).alias("_other"))
+        F.count_if(F.col("_new")).alias("_fed"), F.count_if(~F.col("_feed")).alias("_other"))
     twins = counts.filter((F.col("_fed") > 0) & (F.col("_other") == 1)).select(*k, F.lit(False).alias("_feed"))
     return b.join(twins, [*k, "_feed"], "left_anti").select(*bank.columns)
 
@@ -131,9 +135,14 @@ def seed_rules(rules: DataFrame, defaults: DataFrame) -> DataFrame:
     return rules.unionByName(defaults.withColumn("_n", has_rows).filter("_n = 0").drop("_n").select(*rules.columns))
 
 
-def recategorize(bank: DataFrame, edits: DataFrame) -> DataFrame:
-    """Manual category edits by (date, description, amount to the cent)."""
-    e = with_bank_key(edits).select(*BANK_KEY, F.col("category").alias("_new")).dropDuplicates(BANK_KEY)
+def _last_edits(edits: DataFrame, order: list[Column] | None, name: str) -> DataFrame:
+    """One edit per line: the first in ``order``, else the one with the greatest category."""
+    return latest_per_key(with_bank_key(edits), BANK_KEY, [*(order or []), F.desc("category")]).select(*BANK_KEY, F.col("category").alias(name))
+
+
+def recategorize(bank: DataFrame, edits: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """Manual category edits by (date, description, amount to the cent). Give ``order`` (newest first) where a line may be edited twice."""
+    e = _last_edits(edits, order, "_new")
     hit = F.col("_new").isNotNull()
     return (
         with_bank_key(bank).join(e, BANK_KEY, "left")
@@ -143,9 +152,9 @@ def recategorize(bank: DataFrame, edits: DataFrame) -> DataFrame:
     )
 
 
-def recategorize_audit(bank: DataFrame, edits: DataFrame) -> DataFrame:
-    """The change log of ``recategorize``: one row per changed bank line."""
-    e = with_bank_key(edits).select(*BANK_KEY, F.col("category").alias("new_category")).dropDuplicates(BANK_KEY)
+def recategorize_audit(bank: DataFrame, edits: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """The change log of ``recategorize`` with the same ``order``: one row per changed bank line."""
+    e = _last_edits(edits, order, "new_category")
     return with_bank_key(bank).join(e, BANK_KEY).select(
         "transaction_date", "description", "amount", F.col("category").alias("old_category"), "new_category")
 

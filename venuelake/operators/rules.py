@@ -1,10 +1,12 @@
 """Ordered keyword rules: the first rule whose keyword occurs in a text decides.
 
-Rule tables are normally a few hundred rows. Their size is measured first. Up to
-``INLINE_RULES`` the whole table travels as one array value (a scalar subquery) and every row
-is decided in place, with no join and no shuffle. Larger tables take an exact equi-join: each
-distinct text is cut into its substrings of the keyword lengths in use and those meet the
-keywords on equality, so the work is spread by hash and never pairs all texts with all rules.
+One path for rule tables of any size: each distinct text is cut into its substrings of the keyword lengths in use, and
+those meet the keywords on equality. So the work is spread by hash, no row tests a list of rules, and rows that share a
+text share its answer.
+
+A NULL text matches nothing, and so does a rule whose keyword is NULL or blank. Columns that must be equal follow SQL: NULL
+equals nothing. Of several matches the one with the lowest priority wins, then the lowest keyword, then the
+lowest outputs.
 """
 
 from __future__ import annotations
@@ -12,17 +14,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-INLINE_RULES = 5000
 _EDGE = "\u0001"
 
 
 def _prepared(c: Column, mode: str, is_keyword: bool) -> Column:
     """Text and keyword brought to a form where a plain substring test decides."""
-    up = F.upper(c)
+    up = F.upper(F.trim(c)) if is_keyword else F.upper(c)
     if mode == "contains":
         return up
     # Whole-word test: mark every word edge in both; the keyword must start and end at an edge.
-    marked = F.regexp_replace(F.trim(up) if is_keyword else up, r"\b", _EDGE)
+    marked = F.regexp_replace(up, r"\b", _EDGE)
     if not is_keyword:
         return marked
     edge = F.lit(_EDGE)
@@ -30,76 +31,33 @@ def _prepared(c: Column, mode: str, is_keyword: bool) -> Column:
     return F.when(F.endswith(marked, edge), marked).otherwise(F.concat(marked, edge))
 
 
-def is_small(df: DataFrame, bound: int = INLINE_RULES) -> bool:
-    """True when the table has at most ``bound`` rows; reads no more than that."""
-    return df.limit(bound + 1).count() <= bound
-
-
 def first_match(df: DataFrame, rules: DataFrame, text_col: str, outputs: list[str], mode: str = "contains",
-                keyword: str = "keyword", priority: str = "priority", equal: dict[str, str] | None = None,
-                inline_bound: int = INLINE_RULES) -> DataFrame:
+                keyword: str = "keyword", priority: str = "priority", equal: dict[str, str] | None = None) -> DataFrame:
     """Add the ``outputs`` of the lowest-priority rule contained in ``text_col``, NULL when none.
 
     ``mode`` is 'contains' or 'word', both ignoring case. ``equal`` maps a rule column to a
     column of ``df`` that must be equal too (a weekday, say).
     """
     equal = equal or {}
-    r = rules.select(
-        F.col(priority).alias("_p"), _prepared(F.col(keyword), mode, True).alias("_k"), F.upper(F.trim(keyword)).alias("_u"),
+    r = rules.filter(F.trim(keyword) != "").select(
+        F.col(priority).alias("_p"), _prepared(F.col(keyword), mode, True).alias("_rk"),
         *[F.col(c).alias(f"_e_{c}") for c in equal], *[F.col(c).alias(f"_o_{c}") for c in outputs],
     )
-    if is_small(rules, inline_bound):
-        return _inline(df, r, text_col, outputs, mode, equal)
-    return _by_substring(df, r, text_col, outputs, mode, equal)
-
-
-def _inline(df, r, text_col, outputs, mode, equal):
-    table = r.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("rules")).scalar()
-
-    def hit(text: Column, rule: Column) -> Column:
-        if mode == "contains":
-            cond = F.contains(text, rule["_k"])
-        else:
-            # The word-edge form is worked out only for texts that contain the keyword at all.
-            cond = F.contains(text, rule["_u"]) & F.contains(F.regexp_replace(text, r"\b", _EDGE), rule["_k"])
-        for rule_col, df_col in equal.items():
-            cond = cond & (rule[f"_e_{rule_col}"] == F.col(df_col))
-        return cond
-
-    # The one-element array binds the prepared text to a variable, so it is computed once per
-    # row and not once per rule. A subquery must be a column before a lambda may use it.
-    found = F.transform(
-        F.array(F.upper(text_col)),
-        lambda text: F.get(F.filter(F.col("_rules"), lambda rule: hit(text, rule)), F.lit(0)),
-    )
-    return df.withColumn("_rules", table).withColumn("_hit", F.get(found, F.lit(0))).select(
-        *df.columns, *[F.col("_hit")[f"_o_{c}"].alias(c) for c in outputs])
-
-
-def _by_substring(df, r, text_col, outputs, mode, equal):
-    keys = [text_col, *equal.values()]
-    texts = df.select(*keys).distinct().withColumn("_t", _prepared(F.col(text_col), mode, False))
-    texts = texts.withColumn("_lengths", r.agg(F.collect_set(F.length("_k"))).scalar())
+    texts = df.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_j")).distinct().withColumn("_t", _prepared(F.col("_j"), mode, False))
+    # Only lengths that fit the text are cut, and only starts that leave room for them.
+    texts = texts.withColumn("_lengths", r.agg(F.sort_array(F.collect_set(F.length("_rk")))).scalar())
     pieces = F.array_distinct(F.flatten(F.transform(
-        F.filter(F.col("_lengths"), lambda n: (n > 0) & (n <= F.length("_t"))),
+        F.filter(F.col("_lengths"), lambda n: n <= F.length("_t")),
         lambda n: F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda i: F.substring(F.col("_t"), i, n)),
     )))
-    cut = texts.select(*keys, F.explode(pieces).alias("_k"))
-    r = r.drop("_u")
-    cond = [F.col("_k") == F.col("_rk")]
-    cond += [F.col(df_col).eqNullSafe(F.col(f"_e_{rule_col}")) for rule_col, df_col in equal.items()]
-    on = cond[0]
-    for c in cond[1:]:
-        on = on & c
-    best = (
-        cut.join(r.withColumnRenamed("_k", "_rk"), on)
-        .groupBy(*[F.col(k).alias(f"_j_{k}") for k in keys])
-        .agg(F.min(F.struct("_p", *[f"_o_{c}" for c in outputs])).alias("_hit"))
-    )
-    on = F.lit(True)
-    for k in keys:
-        on = on & df[k].eqNullSafe(best[f"_j_{k}"])
-    return df.join(best, on, "left").select(*[df[c] for c in df.columns], *[F.col("_hit")[f"_o_{c}"].alias(c) for c in outputs])
+    hits = texts.select("_j", F.explode(pieces).alias("_k")).join(r, F.col("_k") == F.col("_rk"))
+    best = hits.groupBy("_j", *[f"_e_{c}" for c in equal]).agg(F.min(F.struct("_p", "_rk", *[f"_o_{c}" for c in outputs])).alias("_hit"))
+    # NULL texts get keys that match nothing and are spread over the tasks.
+    key = F.coalesce(F.col(text_col), F.concat(F.lit(_EDGE), F.xxhash64(*df.columns).cast("string")))
+    on = F.col("_key") == F.col("_j")
+    for rule_col, df_col in equal.items():
+        on = on & (F.col(df_col) == F.col(f"_e_{rule_col}"))
+    return df.withColumn("_key", key).join(best, on, "left").select(*[F.col(c) for c in df.columns], *[F.col("_hit")[f"_o_{c}"].alias(c) for c in outputs])
 
 
 def case_rules(cases: list[tuple[Column, object]], default: Column | None = None) -> Column:

@@ -154,10 +154,10 @@ def caps(elog: DataFrame, house: House, fallback_event: str | None = None) -> Da
     return x.withColumns({"over_cap": F.col("bottles") > F.col("cap"), "clawback": R2(F.when(F.col("cap_type") == "external", F.col("excess") * house.clawback_share * house.bottle_retail).otherwise(0.0))})
 
 
-def premium_movement(elog: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Rings of priced, aliased or premium bottles: comped, owner paid, other paid, recovered, foregone."""
-    known = aliases.select(F.col("menu_item").alias("_a")).distinct()
-    m = elog.join(known, F.col("menu_item") == F.col("_a"), "left").filter(F.col("retail_price").isNotNull() | F.col("premium") | F.col("_a").isNotNull())
+def premium_movement(elog: DataFrame, prices: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Rings of bottles with a price of tier premium, an alias or a premium name: comped, owner paid, other paid, recovered, foregone."""
+    known = aliases.select(F.col("menu_item").alias("_a")).union(prices.filter("tier = 'premium'").select("menu_item")).distinct()
+    m = elog.join(known, F.col("menu_item") == F.col("_a"), "left").filter(F.col("premium") | F.col("_a").isNotNull())
     comped = F.col("collected") <= 0.01
     own, other = ~comped & F.col("owner").isNotNull(), ~comped & F.col("owner").isNull()
     g = m.groupBy("menu_item").agg(

@@ -270,7 +270,7 @@ def budget_path(lines: DataFrame, margin: DataFrame, target_margin: float) -> Da
     over = lines.filter(F.col("variance") > 0).select("key", F.col("variance").alias("saving"))
     w = W.orderBy(F.desc("saving"), F.asc("key")).rowsBetween(W.unboundedPreceding, 0)
     m = margin.select(F.struct("adj_revenue", "net_profit")).scalar()
-    x = windows.top_per_key(over, [], [F.desc("saving"), F.asc("key")], 1000).withColumn("m", m).withColumn("cum", R2(F.sum("saving").over(w)))
+    x = over.withColumn("rank", F.row_number().over(W.orderBy(F.desc("saving"), F.asc("key")))).withColumn("m", m).withColumn("cum", R2(F.sum("saving").over(w)))
     after = F.round((F.col("m.net_profit") + F.col("cum")) / F.col("m.adj_revenue") * 100, 2)
     return x.select("rank", "key", "saving", F.col("cum").alias("cumulative_saving"), after.alias("margin_after"), (after >= target_margin).alias("reaches_target"))
 

@@ -16,21 +16,23 @@ from ..functions.numbers import pct
 from ..functions.text import contains_any, int_list
 
 R2 = lambda c: F.round(c, 2)
-COMPED_SHARE = 0.999
+ONE_CENT = 0.01
 
 
 def champagne_rings(items: DataFrame, checks: DataFrame) -> DataFrame:
     k = ["check_id", "processing_date"]
     r = items.filter(contains_any(F.col("menu_item"), rb.CHAMPAGNE_WORDS)).select(*k, "item_selection_id", "server", "tab_name", "menu_item", "gross_price", "discount")
     r = r.join(checks.select(*k, "check_number"), k, "left")
-    full = (F.col("gross_price") > 0) & (F.col("discount") >= F.col("gross_price") * COMPED_SHARE)
-    return r.withColumns({"comped": full, "cost_basis": F.upper("menu_item").startswith("OWNER "), "bday_tab": F.coalesce(contains_any(F.col("tab_name"), rb.BIRTHDAY_WORDS), F.lit(False)),
+    full = (F.col("discount") > 0) & (F.abs(F.col("discount") - F.col("gross_price")) < ONE_CENT)
+    name = F.upper(F.trim("menu_item"))
+    owner = (name.startswith("OWNER ") | name.startswith("$")) & (F.coalesce("discount", F.lit(0.0)) == 0)
+    return r.withColumns({"comped": full, "cost_basis": owner, "bday_tab": F.coalesce(contains_any(F.col("tab_name"), rb.BIRTHDAY_WORDS), F.lit(False)),
                           "party": F.nullif(F.lower(F.regexp_extract(F.trim("tab_name"), rb.PARTY_TAB, 1)), F.lit(""))})
 
 
 def birthday_reservations(reservations: DataFrame) -> DataFrame:
     r = reservations.filter(F.lower("status_simple").isin("complete", "seated") & (
-        F.coalesce(contains_any(F.col("tags_json"), rb.BIRTHDAY_WORDS), F.lit(False)) | F.coalesce(contains_any(F.col("notes"), ["birthday"]), F.lit(False))))
+        F.coalesce(contains_any(F.col("tags_json"), rb.BIRTHDAY_WORDS), F.lit(False)) | F.coalesce(contains_any(F.col("notes"), ["birthday"]), F.lit(False)) | F.coalesce(contains_any(F.col("client_requests"), ["birthday"]), F.lit(False))))
     return r.withColumns({"checks": int_list(F.col("check_numbers")), "registered": F.coalesce(contains_any(F.col("notes"), rb.PACKAGE_WORDS), F.lit(False)), "_dow": F.weekday("date")})
 
 

@@ -6,7 +6,7 @@ preamble are read whole per file (a statement is a few hundred lines) and split
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -92,6 +92,18 @@ def read_bank_csv(spark: SparkSession, paths: str) -> DataFrame:
     return parse_bank_text(raw.select(value.alias("value"), F.element_at(F.split("path", "/"), -1).alias("source_file")))
 
 
+def csv_cells(line: Column) -> Column:
+    """The cells of a CSV line of any width: quotes taken off, doubled quotes undone. A line is one record, so no quoted line breaks."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',(?:\s*"(?:[^"]|"")*"[^,]*|[^,]*)'), F.lit(0))
+
+    def plain(cell: Column) -> Column:
+        body = F.substring(cell, F.lit(2), F.length(cell))
+        quoted = F.regexp_extract(body, r'^\s*"((?:[^"]|"")*)"', 1)
+        return F.when(F.startswith(F.ltrim(body), F.lit('"')), F.replace(quoted, F.lit('""'), F.lit('"'))).otherwise(body)
+
+    return F.transform(cells, plain)
+
+
 def parse_bank_text(files: DataFrame) -> DataFrame:
     """Rows of statement texts (``value``, ``source_file``)."""
     text = F.regexp_replace("value", "^\ufeff", "")
@@ -104,8 +116,7 @@ def parse_bank_text(files: DataFrame) -> DataFrame:
     lines = lines.withColumn("_h", head).select(
         "source_file", where(lambda x: x.contains("date") & ~x.contains("post")).alias("_d"), where(lambda x: x.contains("desc")).alias("_s"), where(lambda x: x.contains("amount")).alias("_a"),
         where(lambda x: x.contains("bal")).alias("_b"), F.explode(F.slice("_l", (F.col("_at") + 1).cast("int"), F.size("_l"))).alias("line"))
-    cells = F.from_csv("line", F.lit("c1 string, c2 string, c3 string, c4 string, c5 string, c6 string, c7 string, c8 string"), {"quote": '"'})
-    row = lines.filter(F.trim("line") != "").withColumn("_c", F.array(*[cells[f"c{i}"] for i in range(1, 9)]))
+    row = lines.filter(F.trim("line") != "").withColumn("_c", csv_cells(F.col("line")))
     pick = lambda i: F.get("_c", F.col(i) - 1)
     amount = clean.to_number(pick("_a"))
     day = F.to_date(clean.first_timestamp(F.trim(pick("_d")), ["M/d/yy", "M/d/yyyy", "yyyy-MM-dd"]))

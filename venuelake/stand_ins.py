@@ -263,6 +263,7 @@ class Tables:
                 "WHEN 2 THEN concat('x', o_orderkey) ELSE CAST(o_orderkey AS STRING) END AS check_numbers",
                 pick(NOTES, "o_orderkey") + " AS notes",
                 "CASE WHEN o_custkey % 3 = 0 THEN '[{\"name\":\"Birthday\"}]' END AS tags_json",
+                "CASE o_orderkey % 11 WHEN 0 THEN 'Birthday candle, please' WHEN 1 THEN 'quiet corner' END AS client_requests",
                 "(cents div 1000) / 100.0D AS total_payment",
                 "o_orderdate + make_dt_interval(0, 0, CAST(o_orderkey * 11 % 1440 AS INT), 0) AS updated",
             )

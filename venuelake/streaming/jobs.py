@@ -8,6 +8,8 @@ ever rewrites what earlier batches wrote.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,31 +56,38 @@ def upsert_latest(spark: SparkSession, source: str, schema, prepare, keys: list[
     return current_rows(read_changes(spark, path, stream.schema), keys, order())
 
 
-def windowed_revenue(spark: SparkSession, source: str, schema, prepare, ts: str, amount: str, lateness: str = "2 hours") -> DataFrame:
+def run_batches(stream: DataFrame, path: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]) -> None:
+    """Process all available input; each micro-batch is reduced and written under its own folder, which a replay overwrites."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        reduce(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id:09d}")
+
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(land).start().awaitTermination()
+
+
+def windowed_revenue(spark: SparkSession, source: str, schema, prepare, ts: str, amount: str, max_files: int = 1000) -> DataFrame:
     """Hourly totals kept current from the payment feed, with the business day of each hour.
 
-    ``prepare`` selects valid payments. The window state is dropped once the watermark passes.
+    ``prepare`` selects valid payments. Each micro-batch lands its own sums per hour, and reading adds them up, so rows
+    count however late their file comes and no state is kept.
     """
     path = shared_dir(spark, "hourly")
-    s = prepare(file_stream(spark, source, schema)).withColumn("_ts", F.col(ts).cast("timestamp"))
-    w = s.withWatermark("_ts", lateness).groupBy(F.window("_ts", "1 hour")).agg(F.count("*").alias("txns"), F.sum(amount).alias("revenue"))
-    w = w.select(F.col("window.start").cast("timestamp_ntz").alias("hour_start"), "txns", "revenue")
-    run_upsert_stream(w, path, shared_dir(spark, "checkpoint"), ["hour_start"], lambda: [F.desc("txns")], mode="update")
-    now = latest_per_key(read_changes(spark, path, w.schema), ["hour_start"], [F.desc("batch")])
+    s = prepare(file_stream(spark, source, schema, max_files)).withColumn("hour_start", F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz"))
+    run_batches(s, path, shared_dir(spark, "checkpoint"), lambda b: b.groupBy("hour_start").agg(F.count("*").alias("txns"), F.sum(amount).alias("revenue")))
+    sums = spark.read.schema("hour_start timestamp_ntz, txns bigint, revenue double").parquet(f"{path}/batch=*")
+    now = sums.groupBy("hour_start").agg(F.sum("txns").alias("txns"), F.sum("revenue").alias("revenue"))
     return now.select("hour_start", dates.business_date(F.col("hour_start")).alias("business_date"), "txns", F.round("revenue", 2).alias("revenue"))
 
 
-def deduplicated(spark: SparkSession, sources: list[str], schema, key: str, ts: str, lateness: str) -> DataFrame:
-    """Overlapping deliveries read as one stream; repeats within the lateness are dropped once seen."""
+def deduplicated(spark: SparkSession, sources: list[str], schema, key: str, ts: str, max_files: int = 1000) -> DataFrame:
+    """Overlapping deliveries read as one stream; of repeats, however late, the one with the newest ``ts`` stays (the earliest batch of equal ones)."""
     path = shared_dir(spark, "dedup")
     s = None
     for src in sources:
-        one = file_stream(spark, src, schema).withColumn("_ts", F.col(ts).cast("timestamp"))
+        one = file_stream(spark, src, schema, max_files)
         s = one if s is None else s.union(one)
-    s = s.withWatermark("_ts", lateness).dropDuplicatesWithinWatermark([key])
-    q = s.drop("_ts").writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", shared_dir(spark, "checkpoint")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(schema).parquet(path)
+    order = [F.desc(ts), *(F.asc_nulls_last(f.name) for f in schema)]
+    run_batches(s, path, shared_dir(spark, "checkpoint"), lambda b: latest_per_key(b, [key], order))
+    return latest_per_key(read_changes(spark, path, schema), [key], [*order, F.asc("batch")]).drop("batch")
 
 
 # --- batch counterparts ---

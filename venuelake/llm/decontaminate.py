@@ -1,6 +1,6 @@
 """Documents that hold passages of a benchmark, found by edit distance.
 
-Texts are normalised (lower case, digits as 0, ASCII punctuation as space) and read as words. An item of n words is
+Texts are normalised (lower case, ASCII punctuation as space) and read as words. An item of n words is
 held by a document if some passage is within floor(n * (1 - ``SIMILARITY``)) word edits of it.
 
 1. Where to look. n words with d edits keep a run of at least ceil((n - d) / (d + 1)) words untouched, so a passage
@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, map_arrow
-from .line_dedup import normalise
 from .words import Lookup, Words, mix
 
 SIMILARITY = 0.8
@@ -36,6 +35,11 @@ LEAST = 5
 WALKS, SAMPLES, BITS = 6, 8, 2
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
 _PAD = np.uint64(0x5851F42D4C957F2D)
+_TABLE = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def normalise(text: bytes) -> bytes:
+    return (text.lower() if text.isascii() else text.decode("utf-8").lower().encode("utf-8")).translate(_TABLE)
 
 
 def embed(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -47,29 +47,35 @@ def link_groups(
     ``near`` needs. near: keeps the rows (a, b, x_a, x_b) worth testing, without a shuffle. links_of(pairs, purpose): the
     pairs (a, b) that are truly linked.
 
-    In each list every node is first tested against its head, the smallest one. Lists of one head then form one circle. Only
-    circles whose members are still in different groups go on, and only their pairs between groups: ``between(members,
-    purpose)`` finds links among members (head, node, group), by default from the pairs as rows. So a group of
-    alike nodes costs its size, not its square, and no link that could join two groups stays untested.
+    In each list every node is first tested against its head, the smallest one. Only lists whose nodes are then still in
+    different groups go on, and only with their pairs between groups: as rows that ``near`` lets through, or by
+    ``between(members, purpose)``, which gets the lists of each head as one circle (head, node, group) and returns links. So
+    a group of alike nodes costs its size, not its square, and no link that could join two groups stays untested.
     """
     kept = [c for c in traits.columns if c != "node"]
     with_traits = lambda pairs, s: pairs.join(traits.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in kept)), s)
     heads = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1").select("key", "a")
-    star = stage(keys.join(heads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{purpose}-star")
+    lists = stage(keys.join(heads, "key").select("key", "a", "node"), f"{purpose}-lists")
+    star = stage(lists.where("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{purpose}-star")
     links = stage(links_of(near(with_traits(with_traits(star, "b"), "a")).select("a", "b"), f"{purpose}-star"), f"{purpose}-links")
     root = keys.select("node", F.col("node").alias("root")).limit(0) if links.isEmpty() else components(links, purpose)
-    circles = star.select(F.col("a").alias("head"), F.col("b").alias("node")).union(star.select(F.col("a").alias("head"), F.col("a").alias("node")).distinct())
-    grouped = circles.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").select("head", "node", F.coalesce("root", "node").alias("group"))
-    mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where("low < high and members > 2").select("head")
-    rest = stage(grouped.join(mixed, "head"), f"{purpose}-mixed")
-    if rest.isEmpty():
-        return root
+    grouped_by = lambda rows: rows.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node")).drop("linked_node", "root")
+    mixed_of = lambda rows, key: rows.groupBy(key).agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where("low < high and members > 2").select(key)
     if between is None:
+        grouped = grouped_by(lists)
+        rest = stage(grouped.join(mixed_of(grouped, "key"), "key"), f"{purpose}-mixed")
+        if rest.isEmpty():
+            return root
         members = rest.join(traits, "node")
-        side = lambda s: members.select("head", F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in kept))
-        pairs = near(side("a").join(side("b"), "head").where("a < b and group_a <> group_b and a <> head and b <> head"))
+        side = lambda s: members.select("key", F.col("a").alias("head"), F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in kept))
+        pairs = near(side("a").join(side("b").drop("head"), "key").where("a < b and group_a <> group_b and a <> head"))
         further = links_of(stage(pairs.select("a", "b").distinct(), f"{purpose}-pairs"), f"{purpose}-between")
-    else:
-        further = between(rest, f"{purpose}-between")
-    further = stage(further, f"{purpose}-further")
+        further = stage(further, f"{purpose}-further")
+        return root if further.isEmpty() else components(links.union(further), f"{purpose}-all")
+    circles = star.select(F.col("a").alias("head"), F.col("b").alias("node")).union(star.select(F.col("a").alias("head"), F.col("a").alias("node")).distinct())
+    grouped = grouped_by(circles)
+    rest = stage(grouped.join(mixed_of(grouped, "head"), "head"), f"{purpose}-mixed")
+    if rest.isEmpty():
+        return root
+    further = stage(between(rest, f"{purpose}-between"), f"{purpose}-further")
     return root if further.isEmpty() else components(links.union(further), f"{purpose}-all")

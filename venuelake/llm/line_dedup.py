@@ -96,6 +96,38 @@ def block_keys(simhash: Column) -> Column:
     return F.array(*(F.shiftleft(block[i], 32).bitwiseOR(F.shiftleft(F.lit(n).cast("long"), 58)).bitwiseOR(block[j]) for n, (i, j) in enumerate(pairs)))
 
 
+def edit_within(x: str, y: str, most: int) -> bool:
+    """Whether the edit distance is at most ``most``: equal ends are cut off, then a column of the distance table is kept as bits."""
+    if abs(len(x) - len(y)) > most:
+        return False
+    if x == y:
+        return True
+    start, end = 0, 0
+    short = min(len(x), len(y))
+    while start < short and x[start] == y[start]:
+        start += 1
+    while end < short - start and x[-1 - end] == y[-1 - end]:
+        end += 1
+    x, y = x[start : len(x) - end], y[start : len(y) - end]
+    if not x or not y:
+        return max(len(x), len(y)) <= most
+    places: dict[str, int] = {}
+    for i, c in enumerate(x):
+        places[c] = places.get(c, 0) | 1 << i
+    full, last = (1 << len(x)) - 1, 1 << len(x) - 1
+    up, down, distance = full, 0, len(x)
+    for left, c in zip(range(len(y) - 1, -1, -1), y):
+        same = places.get(c, 0)
+        straight = (((same & up) + up) ^ up) | same | down
+        rise, fall = (down | ~(straight | up)) & full, up & straight
+        distance += bool(rise & last) - bool(fall & last)
+        if distance - left > most:
+            return False
+        rise, fall = (rise << 1 | 1) & full, fall << 1 & full
+        up, down = (fall | ~(same | down | rise)) & full, rise & (same | down)
+    return distance <= most
+
+
 def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
     """The pairs of marks whose normalised lines are similar enough."""
     wanted = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct().join(classes.select("mark", "first"), "mark")
@@ -115,8 +147,13 @@ def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: f
 
     lines = stage(map_arrow(rows, run, "mark long, normal string"), f"{purpose}-lines")
     both = pairs.join(lines.select(F.col("mark").alias("a"), F.col("normal").alias("x")), "a").join(lines.select(F.col("mark").alias("b"), F.col("normal").alias("y")), "b")
-    most = F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    return both.withColumn("most", most).where(F.expr("levenshtein(x, y, most) >= 0")).select("a", "b").distinct()
+
+    def verify(batches):
+        for batch in batches:
+            fine = [i for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())) if edit_within(x, y, int(max(len(x), len(y)) * (1 - similarity) + 1e-9))]
+            yield batch.select(["a", "b"]).take(pa.array(fine, pa.int64()))
+
+    return map_arrow(both.select("a", "b", "x", "y"), verify, "a long, b long").distinct()
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str, ...] = (), purpose: str = "lines") -> DataFrame:

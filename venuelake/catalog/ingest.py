@@ -30,6 +30,53 @@ def _(t):
     return files.read_daily_csv(t.spark, f"{path}/load=*/", ("opened",), ("voided",))
 
 
+# Header spellings of one number and one amount per kind of daily file.
+_DAILY = {
+    "OrderDetails": ("orders", {"Order Id": "order_id", "Amount": "amount", "# of Guests": "guest_count"}),
+    "CheckDetails": ("checks", {"Check Id": "check_id", "Total": "total", "Discount": "discount"}),
+    "PaymentDetails": ("payments", {"Payment Id": "payment_id", "Amount": "amount", "Type": "payment_type"}),
+    "ItemSelectionDetails": ("items", {"Item Selection Id": "item_selection_id", "Gross Price": "gross_price", "Void?": "voided"}),
+    "AllItemsReport": ("items", {"Item Id": "item_selection_id", "Gross Amount": "gross_price", "Qty Sold": "qty"}),
+    "CashEntries": ("cash_entries", {"Entry Id": "entry_id", "Amount": "amount", "Action": "action"}),
+    "KitchenTimings": ("kitchen", {"ID": "ticket_id", "Station": "station", "Fulfilled By": "fulfilled_by"}),
+}
+_DAILY_SUM = {"OrderDetails": "amount", "CheckDetails": "total", "PaymentDetails": "amount", "ItemSelectionDetails": "gross_price", "AllItemsReport": "gross_amount", "CashEntries": "amount", "KitchenTimings": "id"}
+
+
+def _land_daily(t):
+    """All kinds of daily files by year; orders of odd years have another column order and a new column; one kind is unknown."""
+    root = shared_dir(t.spark, "daily-files")
+    for kind, (name, columns) in _DAILY.items():
+        year = F.year("processing_date")
+        df = getattr(t, name).select(*[F.col(c).alias(h) for h, c in columns.items()], F.date_format(F.trunc("processing_date", "year"), "yyyyMMdd").alias("load"), (year % 2 == 1).alias("odd"))
+        odd = df.filter("odd").drop("odd")
+        if kind == "OrderDetails":
+            odd = odd.select(F.lit("web").alias("Channel"), *reversed(odd.columns))
+            df = df.filter("not odd")
+            odd.write.mode("append").partitionBy("load").option("header", True).csv(f"{root}/{kind}")
+        df.drop("odd").write.mode("append").partitionBy("load").option("header", True).csv(f"{root}/{kind}")
+    t.orders.select("order_id").limit(0).write.option("header", True).csv(f"{root}/SomethingElse")
+    return root
+
+
+@query("src_daily_files", " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, count(*) AS rows, count(DISTINCT date_trunc('year', processing_date)) AS days, round(sum({list(columns.values())[1] if kind != 'KitchenTimings' else 'ticket_id'}), 2) AS total FROM v_{'cash' if name == 'cash_entries' else name}" for kind, (name, columns) in _DAILY.items()))
+def _(t):
+    frames = files.read_daily_files(t.spark, _land_daily(t))
+    out = None
+    for kind, df in frames.items():
+        part = df.agg(F.lit(kind).alias("kind"), F.count("*").alias("rows"), F.countDistinct("processing_date").alias("days"), F.round(F.sum(_DAILY_SUM[kind]), 2).alias("total"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("src_daily_files_drift", "SELECT 'OrderDetails' AS kind, count(*) FILTER (year(processing_date) % 2 = 1) AS with_channel, count(*) FILTER (year(processing_date) % 2 = 0) AS without FROM v_orders")
+def _(t):
+    """A column that only some days have: the load goes on, and the rows without it are counted."""
+    orders = files.read_daily_files(t.spark, _land_daily(t))["OrderDetails"]
+    return orders.agg(F.lit("OrderDetails").alias("kind"), F.count("channel").alias("with_channel"), F.count_if(F.col("channel").isNull()).alias("without"))
+
+
 def _land_statements(t):
     """One statement file per quarter of bank lines: preamble, header, quoted text, amounts with commas."""
     b = t.bank.withColumn("file", F.date_format(F.trunc("transaction_date", "quarter"), "yyyyMM"))

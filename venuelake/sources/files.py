@@ -59,16 +59,47 @@ REGISTER_HEADERS = {
 }
 
 
+def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
+    """Header line -> files that begin with it; files without a line are left out. Only paths and header lines reach the driver."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    head = F.regexp_replace(F.substring_index(F.substring(F.col("content"), 1, 1 << 16).cast("string"), "\n", 1), "[\ufeff\r]", "")
+    found: dict[str, list[str]] = {}
+    for r in files.select("path", head.alias("head")).filter(F.trim("head") != "").orderBy("path").collect():
+        found.setdefault(r.head, []).append(r.path)
+    return found
+
+
 def read_daily_csv(spark: SparkSession, paths: str | list[str], datetime_columns: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> DataFrame:
     """One kind of daily file over any number of day folders, cleaned and typed.
 
-    Header-only files contribute no rows. Each file's own header is checked against the
-    common one, so columns in another order fail instead of shifting silently.
+    Files are read by their own header and joined by column name, so added, missing or moved columns neither fail nor
+    shift; a column that a file lacks is NULL there (``schema_drift`` reports it). Header-only and empty files have no rows.
     """
-    # All values are text at first, so the header line is all that this pass over the files reads.
-    header = spark.read.option("header", True).csv(paths).schema
-    raw = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(paths)
-    return transform_daily(raw.withColumn("_path", F.col("_metadata.file_path")), datetime_columns, flags)
+    parts = []
+    for head, group in sorted(files_by_header(spark, paths).items()):
+        names = spark.read.option("header", True).csv(spark.sparkContext.parallelize([head], 1)).schema
+        raw = spark.read.schema(names).option("header", True).csv(group).withColumn("_path", F.col("_metadata.file_path"))
+        parts.append(transform_daily(raw, datetime_columns, flags))
+    if not parts:
+        raise FileNotFoundError(f"no daily file with a header below {paths}")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def read_daily_files(spark: SparkSession, root: str, datetime_columns: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Every known kind of daily file below ``root`` (one folder per kind, days below it). Unknown kinds and kinds without a file are skipped."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    there = {x.getPath().getName() for x in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)}
+    out = {}
+    for kind in DAILY_FILES:
+        if kind in there:
+            try:
+                out[kind] = read_daily_csv(spark, f"{root}/{kind}", datetime_columns, flags)
+            except FileNotFoundError:
+                continue
+    return out
 
 
 def transform_daily(raw: DataFrame, datetime_columns: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> DataFrame:

@@ -1,8 +1,8 @@
 """Exact order statistics without gathering a group in one task.
 
-Values are money, so they are whole cents. Rows are first counted per coarse value bucket,
-the bucket holding the wanted rank is found on that small histogram, and only that bucket is
-counted value by value. Equal values are one counted row, so heavy ties cost nothing.
+Values are money, so they are whole cents. For medians rows are first counted by value, which sums in
+each task before the shuffle; all later steps run on these counts. The bucket holding the wanted rank is found on
+a coarse histogram of them. Equal values are one counted row, so heavy ties cost nothing.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ def _cents(c: Column) -> Column:
 
 def upper_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """sorted(values)[n // 2] per key."""
-    v = df.filter(F.col(value).isNotNull()).select(*keys, _cents(F.col(value)).alias("_c"))
+    v = df.filter(F.col(value).isNotNull()).select(*keys, _cents(F.col(value)).alias("_c")).groupBy(*keys, "_c").agg(F.count("*").alias("_n"))
     v = v.withColumn("_b", F.floor(F.col("_c") / BUCKET_CENTS))
-    hist = v.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
+    hist = v.groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
     up = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     allrows = W.partitionBy(*keys)
     pick = (
@@ -31,7 +31,7 @@ def upper_median(df: DataFrame, keys: list[str], value: str, name: str = "median
         .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
         .select(*keys, "_b", (F.col("_rank") - F.col("_before")).alias("_k"))
     )
-    inside = v.join(pick, [*keys, "_b"]).groupBy(*keys, "_k", "_c").agg(F.count("*").alias("_n"))
+    inside = v.join(pick, [*keys, "_b"])
     up2 = W.partitionBy(*keys).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
     return (
         inside.withColumn("_before", F.coalesce(F.sum("_n").over(up2), F.lit(0)))

@@ -103,9 +103,9 @@ def pattern_by_weekday(patterns_: DataFrame) -> DataFrame:
 def contacts(checks: DataFrame, payments: DataFrame, start: str, end: str) -> DataFrame:
     """Customer totals with a linked card and cleaned contact fields."""
     c = dates.between_dates(checks.filter(F.col("customer_id").isNotNull()), "processing_date", start, end)
-    c = latest_per_key(c.select("check_id", "customer_id", "customer", "phone", "email", "total", "processing_date"), ["check_id"], [F.desc("processing_date"), F.desc("total")])
+    c = latest_per_key(c.select("check_id", "customer_id", "customer", "phone", "email", "total", "processing_date"), ["check_id"], [F.desc("processing_date"), F.desc("total"), *(F.desc_nulls_last(x) for x in ("customer_id", "customer", "phone", "email"))])
     p = dates.between_dates(payments.filter(valid_payment(F.col("status"))).withColumn("day", F.to_date("paid_ts")), "day", start, end)
-    p = latest_per_key(p.select("payment_id", "check_id", "card_digits", "card_type", "processing_date"), ["payment_id"], [F.desc("processing_date")])
+    p = latest_per_key(p.select("payment_id", "check_id", "card_digits", "card_type", "processing_date"), ["payment_id"], [F.desc("processing_date"), F.desc_nulls_last("card_digits"), F.desc_nulls_last("card_type"), F.desc("check_id")])
     # One row per check before the join, so that several payments do not repeat a check's total.
     p = p.groupBy("check_id").agg(F.max("card_digits").alias("card"), F.max("card_type").alias("ctype"))
     g = c.join(p, "check_id", "left").groupBy("customer_id").agg(

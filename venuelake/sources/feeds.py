@@ -32,8 +32,8 @@ def text_or_null(c: Column) -> Column:
 
 def labor_entries(raw: DataFrame, employees: DataFrame, jobs: DataFrame) -> DataFrame:
     """Punches with employee and job names looked up; missing numbers are 0, missing names empty."""
-    e = employees.select(F.col("guid").alias("_e"), F.col("name").alias("employee_name")).dropDuplicates(["_e"])
-    j = jobs.select(F.col("guid").alias("_j"), F.col("title").alias("job_title")).dropDuplicates(["_j"])
+    e = employees.select(F.col("guid").alias("_e"), F.col("name").alias("employee_name")).groupBy("_e").agg(F.max("employee_name").alias("employee_name"))
+    j = jobs.select(F.col("guid").alias("_j"), F.col("title").alias("job_title")).groupBy("_j").agg(F.max("job_title").alias("job_title"))
     num = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
     x = raw.withColumns({"employee_guid": F.coalesce("employeeReference.guid", F.lit("")), "job_guid": F.coalesce("jobReference.guid", F.lit(""))})
     x = x.join(e, F.col("employee_guid") == F.col("_e"), "left").join(j, F.col("job_guid") == F.col("_j"), "left")

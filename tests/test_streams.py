@@ -49,3 +49,16 @@ def test_late_repeats_are_dropped_once(spark):
     src, schema = _files_out_of_order(spark)
     got = jobs.deduplicated(spark, [src, src], schema, "id", "ts", max_files=1).collect()
     assert sorted((r.id, str(r.ts)) for r in got) == [(0, "2025-01-05 20:00:00"), (1, "2025-01-05 10:30:00"), (2, "2025-01-01 10:10:00")]
+
+
+def test_compaction_keeps_the_current_rows(spark):
+    path = shared_dir(spark, "compact")
+    b = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, v int, t string")
+    order = [F.desc("v")]
+    for i in range(3):
+        jobs.write_changes(b, i, path, ["k"], order)
+    fresh = jobs.compact(spark, path, b.schema, ["k"], order)
+    changes = jobs.read_changes(spark, fresh, b.schema)
+    assert sorted(map(tuple, changes.collect())) == [("a", 2, "y", 2), ("b", 1, "z", 2)]
+    jobs.write_changes(b.filter("k = 'b'").withColumn("v", F.lit(9)), 3, fresh, ["k"], order)
+    assert {r.k: r.v for r in jobs.current_rows(jobs.read_changes(spark, fresh, b.schema), ["k"], order).collect()} == {"a": 2, "b": 9}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..streaming import jobs
 from .registry import query
 
@@ -63,6 +64,18 @@ def _(t):
     return jobs.apply_feed_changes(target, ch, "order_id")
 
 
+@query("st_feed_changes_stream", f"""
+  WITH {_CH}, m AS (SELECT * FROM ch WHERE change <> 'removed'), x AS (SELECT coalesce(m.order_id, tg.order_id) AS order_id, CASE WHEN m.order_id IS NOT NULL THEN m.server ELSE tg.server END AS server, coalesce(m.total, tg.total) AS total FROM tg FULL OUTER JOIN m ON m.order_id = tg.order_id)
+  SELECT * FROM x WHERE order_id NOT IN (SELECT order_id FROM ch WHERE change = 'removed')""")
+def _(t):
+    """The same changes from files, an older version of each in a file of its own."""
+    target, ch = _changes(t)
+    path = shared_dir(t.spark, "feed-files")
+    older = ch.withColumns({"total": F.col("total") - 1, "change": F.lit("added"), "at": F.lit(1)})
+    older.unionByName(ch.withColumn("at", F.lit(2))).write.parquet(path)
+    return jobs.feed_changes(t.spark, path, "order_id long, server string, total double, change string, at int", target, "order_id", lambda: [F.desc("at")], delete_removed=True, max_files=3)
+
+
 @query("st_feed_changes_deleting", f"""
   WITH {_CH}, m AS (SELECT * FROM ch WHERE change <> 'removed'), x AS (SELECT coalesce(m.order_id, tg.order_id) AS order_id, CASE WHEN m.order_id IS NOT NULL THEN m.server ELSE tg.server END AS server, coalesce(m.total, tg.total) AS total FROM tg FULL OUTER JOIN m ON m.order_id = tg.order_id)
   SELECT * FROM x WHERE order_id NOT IN (SELECT order_id FROM ch WHERE change = 'removed')""")

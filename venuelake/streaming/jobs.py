@@ -90,6 +90,26 @@ def deduplicated(spark: SparkSession, sources: list[str], schema, key: str, ts:
     return latest_per_key(read_changes(spark, path, schema), [key], [*order, F.asc("batch")]).drop("batch")
 
 
+def feed_changes(spark: SparkSession, source: str, schema, target: DataFrame, key: str, order, kind: str = "change", delete_removed: bool = False, max_files: int = 1000) -> DataFrame:
+    """The target after all changes of a feed streamed from files: the newest change per key wins, a later batch a tie.
+
+    ``order`` is a function giving the sort columns, newest first.
+    """
+    path = shared_dir(spark, "feed")
+    run_batches(file_stream(spark, source, schema, max_files), path, shared_dir(spark, "checkpoint"), lambda b: latest_per_key(b, [key], order()))
+    return apply_feed_changes(target, current_rows(read_changes(spark, path, schema), [key], order()), key, kind, delete_removed)
+
+
+def compact(spark: SparkSession, path: str, schema, keys: list[str], order: list[Column]) -> str:
+    """The change table in a fresh folder with one row per key, numbered as its last batch, so later batches go on after it."""
+    changes = read_changes(spark, path, schema)
+    last = changes.agg(F.max("batch")).first()[0]
+    fresh = shared_dir(spark, "compacted")
+    if last is not None:
+        current_rows(changes, keys, order).write.parquet(f"{fresh}/batch={last:09d}")
+    return fresh
+
+
 # --- batch counterparts ---
 
 def since_watermark(source: DataFrame, target: DataFrame, version: str, overlap: str = "1 day", lookback: str = "90 days") -> DataFrame:

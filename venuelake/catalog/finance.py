@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import joins
 from ..plans import finance as fin
-from .registry import query
+from ..plans import insights as ins
+from .registry import ORACLES, QUERIES, query
 from .relational import WINDOW_SQL, WINDOWS
 
 _KEPT = "(voided IS NULL OR voided = 'false')"
@@ -748,3 +749,39 @@ def _(t):
     from ..operators import filters
     return filters.history(t.orders, {"revenue_center": "Bar", "server": None}, "processing_date", "1997-01-01", "1999-12-31", [F.desc("processing_date"), F.desc("order_id")], 200).select(
         "order_id", "server", "processing_date", "total")
+
+
+# --- findings ---
+
+def _of(name: str) -> str:
+    return f"({ORACLES[name]})"
+
+
+@query("rep_insights_kpi", f"""
+  SELECT metric AS key, status AS severity, CASE WHEN CASE WHEN lower_is_better THEN delta < 0 ELSE delta > 0 END THEN 'improved' WHEN delta <> 0 THEN 'worsened' ELSE 'unchanged' END AS subject, CAST(value AS DOUBLE) AS value
+  FROM {_of("rep_kpi_scorecard")} s JOIN (VALUES {", ".join(f"('{b[0]}', {str(b[3]).upper()})" for b in BENCH)}) AS bm(bm_metric, lower_is_better) ON bm_metric = metric""")
+def _(t):
+    return ins.kpi_insights(scorecard(t), t.rows(BENCH, "metric string, good double, watch double, lower_is_better boolean"))
+
+
+_SEV = "CASE status WHEN 'over_budget' THEN 'critical' WHEN 'watch' THEN 'warning' WHEN 'on_track' THEN 'info' ELSE 'good' END"
+
+
+@query("rep_insights_budget", f"""
+  SELECT 'overall' AS key, CASE WHEN margin_pct < 0 THEN 'critical' WHEN margin_pct < 15 THEN 'warning' ELSE 'good' END AS severity, margin_status AS subject, CAST(margin_pct AS DOUBLE) AS value FROM {_of("rep_budget_totals")} t
+  UNION ALL SELECT key, {_SEV}, status, CAST(variance AS DOUBLE) FROM {_of("rep_budget_lines")} l
+  UNION ALL SELECT 'sub_' || key, {_SEV}, status, CAST(variance AS DOUBLE) FROM {_of("rep_budget_sublines")} b WHERE status IN ('over_budget', 'watch')""")
+def _(t):
+    subs = QUERIES["rep_budget_sublines"](t.spark, t.sf_dir)
+    return ins.budget_insights(fin.budget_totals(t.orders, t.bank, 15.0), lines(t), subs, 15.0)
+
+
+@query("rep_insights_event", f"""
+  WITH e AS (SELECT * FROM {_of("rep_event_roi")} x WHERE event <> '(all)'), c AS (SELECT * FROM e WHERE total_costs > 0), r AS (SELECT *, total_costs / adj_revenue AS ratio FROM c WHERE adj_revenue > 0)
+  SELECT 'unattributed' AS key, 'warning' AS severity, CAST(vendors AS VARCHAR) AS subject, CAST(amount AS DOUBLE) AS value FROM (SELECT round(sum(amount), 2) AS amount, count(*) AS vendors FROM {_of("rep_event_unattributed")} u) WHERE amount > 0
+  UNION ALL SELECT * FROM (SELECT 'best_roi', 'good', event, roi_pct::DOUBLE FROM c ORDER BY roi_pct DESC, event LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT 'worst_roi', CASE WHEN margin_pct < 25 THEN 'critical' ELSE 'warning' END, event, roi_pct::DOUBLE FROM c WHERE (SELECT count(*) FROM c) > 1 ORDER BY roi_pct, event LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT 'top_revenue', 'info', event, adj_revenue::DOUBLE FROM e ORDER BY adj_revenue DESC, event LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT 'most_efficient', 'info', event, round(ratio * 100, 1)::DOUBLE FROM r ORDER BY ratio, event LIMIT 1)""")
+def _(t):
+    return ins.event_insights(fin.event_roi(ev_grid(t)), fin.event_unattributed(ev_costs(t)))

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import compare, connect
+from venuelake import catalog
 
 SF = "/root/testdata/sf0.001"
-NAMES = list(entry_points.queries())
+NAMES = list(catalog.all_queries())
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.oracle_sql()) == set(NAMES)
+    assert set(catalog.all_oracles()) == set(NAMES)
+    assert set(NAMES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

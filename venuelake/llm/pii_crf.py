@@ -10,7 +10,7 @@ without evidence becomes a span of its likeliest kind from ``SURE`` on. So a num
 without it.
 
 Weights are fitted to the pseudo-likelihood on at most ``SAMPLE_DOCS`` documents that have mentions, the first by a hash of
-the id, with the base kinds as states. Repeats of one key are tied in a row, so edges grow with the mentions.
+the id, with the base kinds as states; uncovered mentions that are alike a covered one count as unknown. Repeats of one key are tied in a row, so edges grow with the mentions.
 
 n_email to n_phone count the base spans; n_added counts what the field adds. Defined results: NULL and empty texts have no
 spans. Repeated rows each get a row.
@@ -127,6 +127,15 @@ class Mentions:
                 last[key] = i
         self.chain, self.skip = np.array(chain, int).reshape(-1, 2), np.array(sorted(skip), int).reshape(-1, 2)
 
+    def training_states(self) -> np.ndarray:
+        """The base kinds, none where no span is; -1 (unknown) for an uncovered mention that is alike a covered one."""
+        states = np.maximum(self.evidence, 0)
+        for a, b in self.skip:
+            for i, j in ((a, b), (b, a)):
+                if self.evidence[i] < 0 <= self.evidence[j]:
+                    states[i] = -1
+        return states
+
     @staticmethod
     def shape(text: str, a: int, b: int, s: str, digits: str, address: bool) -> list[float]:
         n = len(digits)
@@ -170,7 +179,7 @@ def marginals(node: np.ndarray, edges: np.ndarray, potential: np.ndarray) -> np.
 
 
 def train(found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> dict:
-    """Pseudo-likelihood of (features, states, chain, skip) of documents: each state given its features and its neighbours' states."""
+    """Pseudo-likelihood of (features, states, chain, skip) of documents: each known state given its features and its neighbours' states."""
     width = SHAPES + 2 * WORD_BUCKETS
     if not found:
         return {"node": np.zeros((width, STATES)), "chain": np.zeros((STATES, STATES)), "skip": 2 * np.eye(STATES)}
@@ -180,8 +189,12 @@ def train(found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) ->
     for total, which in zip(near, (2, 3)):
         for o, doc in zip(offset, found):
             for a, b in ((0, 1), (1, 0)):
-                np.add.at(total, (o + doc[which][:, a], y[o + doc[which][:, b]]), 1)
-    design = np.concatenate([x, *near], 1)
+                other = y[o + doc[which][:, b]]
+                np.add.at(total, (o + doc[which][other >= 0, a], other[other >= 0]), 1)
+    design = np.concatenate([x, *near], 1)[y >= 0]
+    y = y[y >= 0]
+    if not len(y):
+        return train([])
     weights = np.zeros((design.shape[1], STATES))
     target = np.eye(STATES)[y]
     m, v = np.zeros_like(weights), np.zeros_like(weights)
@@ -233,7 +246,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
                 mentions = Mentions(text, base_spans(text))
                 if 0 < len(mentions.spans) <= SAMPLE_MENTIONS:
                     at.append(i)
-                    data.append([mentions.features.astype(np.float32).tobytes(), np.maximum(mentions.evidence, 0).astype(np.int64).tobytes(), mentions.chain.astype(np.int64).tobytes(), mentions.skip.astype(np.int64).tobytes()])
+                    data.append([mentions.features.astype(np.float32).tobytes(), mentions.training_states().astype(np.int64).tobytes(), mentions.chain.astype(np.int64).tobytes(), mentions.skip.astype(np.int64).tobytes()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(data, pa.list_(pa.binary()))], ["doc_id", "data"])
 
     got = sorted(map_arrow(rows, run, "doc_id long, data array<binary>").collect(), key=lambda r: (r.doc_id if r.doc_id is not None else -1, [bytes(x) for x in r.data]))

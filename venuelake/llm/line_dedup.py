@@ -1,13 +1,15 @@
 """Removal of repeated and nearly repeated lines over a whole corpus.
 
 A line is normalised: lower case, digits as 0, ASCII punctuation as space, white space joined. Equal normalised lines are one
-class. Classes of ``LONG`` words or more have a 64-bit SimHash of their words. Two of them within ``RADIUS`` bits agree on at
-least two of five blocks (pigeonhole), so they meet on one of ten keys of two blocks each; the pair is linked if the edit similarity
-(1 - edit distance / longer length, in characters of the normalised lines) is at least ``SIMILARITY``. Of each
-connected group the occurrence with the smallest (doc_id, line number) stays and all others go.
+class. Two classes are linked if the edit similarity (1 - edit distance / longer length, in characters of the
+normalised lines) is at least ``SIMILARITY``. Of each connected group the occurrence with the smallest (doc_id, line number)
+stays and all others go. Lines without a letter or digit always stay.
 
-Lines under ``SHORT`` words say too little between documents ("Yes."), so they are compared within their document only.
-Lines without a letter or digit always stay.
+Candidates are lines that share a key. Lines of at most ``EXACT`` characters have keys that miss nothing: the shorter line of a
+pair is cut into one piece more than the edits allowed, so a piece is whole in the longer one, near its place. Longer
+lines have ``BANDS`` MinHash keys of ``ROWS`` minima over runs of ``GRAM`` characters; README has the measured recall.
+
+Lines under ``SHORT`` words are compared within their document only.
 
 Defined results: NULL and empty texts come back as they are, with no line removed. Documents with NULL doc_id are not
 compared and stay whole. Rows that share a doc_id are one document: what goes from one row goes from all. One row is returned for each row.
@@ -15,6 +17,7 @@ compared and stay whole. Rows that share a doc_id are one document: what goes fr
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -24,13 +27,15 @@ from pyspark.sql import functions as F
 
 from .common import chunks, map_arrow, stage
 from .components import link_groups
-from .words import Words, mix, sums
+from .words import Words, _power, mix, range_hash
 
-SHORT = 5
-LONG = 8
-RADIUS = 3
+SHORT = 5  # lines under so many words are compared within their document only
+LONG = 0  # lines of any number of words are compared by similarity
+RADIUS = 64  # SimHashes do not bound what is linked
 BLOCKS = (13, 13, 13, 13, 12)
 SIMILARITY = 0.9
+EXACT = 49
+GRAM, ROWS, BANDS = 6, 3, 12
 
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[:48] = _NORMAL[58:65] = _NORMAL[91:97] = _NORMAL[123:128] = 32
@@ -38,6 +43,7 @@ _NORMAL[10] = 10
 _NORMAL[48:58] = 48
 _NORMAL[65:91] += 32
 _TABLE = _NORMAL.tobytes()
+_MINIMA = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)).astype(np.uint32) | np.uint32(1)
 _SPREAD = np.array([sum(1 << (8 * k) for k in range(8) if b >> k & 1) for b in range(256)], np.uint64)
 
 
@@ -57,12 +63,83 @@ def simhashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.packbits(total.astype(np.int64) * 2 > count[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """doc_id, line, mark, words, size, simhash of each line with a word; short lines have marks of their own document."""
+def allowed(size: int, similarity: float) -> int:
+    """Edits allowed between a line of ``size`` characters and one that is not longer."""
+    return int(size * (1 - similarity) + 1e-9)
+
+
+@lru_cache(maxsize=None)
+def pieces(size: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """start, end and tag of the pieces that a line of ``size`` characters has as the shorter and as the longer one of a pair.
+
+    The shorter line has one piece for each (edits, its length, number). In the longer one piece ``i`` is looked for where at most
+    ``i`` edits before it and ``edits - i`` after it can have moved it: one of the pieces must stand so.
+    """
+    found = set()
+
+    def cuts(length, edits):
+        small, wide = divmod(length, edits + 1)
+        at = 0
+        for i in range(edits + 1):
+            n = small + (i > edits - wide)
+            yield i, at, n, (edits * 4096 + length) * 4096 + i
+            at += n
+
+    longer = [m for m in range(size, EXACT + 1) if m - allowed(m, similarity) <= size]
+    for edits in {allowed(m, similarity) for m in longer} - {0}:
+        found |= {(at, at + n, tag) for _, at, n, tag in cuts(size, edits)}
+    edits = allowed(size, similarity)
+    for length in range(size - edits, size + 1) if edits else ():
+        moved = size - length
+        for i, at, n, tag in cuts(length, edits):
+            first, last = max(at - i, at + moved - edits + i, 0), min(at + i, at + moved + edits - i, size - n)
+            found |= {(x, x + n, tag) for x in range(first, last + 1)}
+    start, end, tag = np.array(sorted(found), np.int64).reshape(-1, 3).T
+    return start, end, tag
+
+
+def line_keys(lines: list[bytes], similarity: float) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Characters of each normalised line, the parity of its hashed character pairs, and its keys. No line is empty."""
+    points = np.frombuffer((b"\n".join(lines) + b"\n").decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    end = np.flatnonzero(points == 10)
+    start = np.concatenate([[0], end[:-1] + 1])
+    size = end - start
+    prefix = np.zeros(len(points) + GRAM + 1, np.uint64)
+    np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * _power("up", len(points))[: len(points)], out=prefix[1 : len(points) + 1])
+    prefix[len(points) + 1 :] = prefix[len(points)]
+    at = np.arange(len(points))
+    pair = np.uint64(1) << (range_hash(prefix, at, at + 2) >> np.uint64(58))
+    # Ranges are every other part; a line of one character has no pair.
+    parity = np.where(size > 1, np.bitwise_xor.reduceat(pair, np.stack([start, end - (size > 1)], 1).ravel())[::2], np.uint64(0))
+    of, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for n in np.unique(size[size <= EXACT]).tolist():
+        mine = np.flatnonzero(size == n)
+        first, last, tag = pieces(n, similarity)
+        if len(tag):
+            keys.append(mix(range_hash(prefix, (start[mine, None] + first).ravel(), (start[mine, None] + last).ravel()) ^ np.tile(mix(tag.astype(np.uint64)), len(mine))))
+            of.append(np.repeat(mine, len(tag)))
+    long = np.flatnonzero((size >= GRAM) & (size >= EXACT + 1 - allowed(EXACT + 1, similarity)))
+    if long.size:
+        gram = (range_hash(prefix, at, at + GRAM) >> np.uint64(32)).astype(np.uint32)
+        bounds = np.stack([start[long], end[long] - GRAM + 1], 1).ravel()
+        for band in range(BANDS):
+            key = np.full(len(long), band + 1, np.uint64)
+            for factor in _MINIMA[band * ROWS : (band + 1) * ROWS]:
+                key = mix((key << np.uint64(1)) + np.minimum.reduceat(gram * factor, bounds)[::2])
+            keys.append(key)
+            of.append(long)
+    of, keys = np.concatenate(of), np.concatenate(keys)
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(lines)))]).astype(np.int32)
+    return size, parity, pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[np.argsort(of, kind="stable")].view(np.int64)))
+
+
+def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
+    """doc_id, line, mark, size, parity, keys of each line with a word; lines under ``short`` words have marks of their own document."""
 
     def run(batches):
         for batch, texts in chunks(batches):
-            w = Words([normalise(t) for t in texts], fold=False)
+            normal = [normalise(t) for t in texts]
+            w = Words(normal, fold=False)
             breaks = np.flatnonzero(w.buf == 10)
             start, end = breaks[:-1] + 1, breaks[1:]
             bounds = np.searchsorted(w.start, np.append(start, len(w.buf)))
@@ -79,17 +156,18 @@ def line_table(docs: DataFrame) -> DataFrame:
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chain, dtype=np.uint64)])
             ids = np.array(batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)[doc]
             mark = mix(total[bounds[1:]] - total[bounds[:-1]])
-            mark = np.where(count < SHORT, mix(mark ^ mix(ids.view(np.uint64) + np.uint64(1))), mark)
-            size = sums((w.end - w.start).astype(np.int64), bounds) + count - 1
-            simhash = np.where(count >= LONG, simhashes(w.hash, bounds), np.uint64(0))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(number.astype(np.int32)), pa.array(mark.view(np.int64)), pa.array(count.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(simhash.view(np.int64))], ["doc_id", "line", "mark", "words", "size", "simhash"])
+            mark = np.where(count < short, mix(mark ^ mix(ids.view(np.uint64) + np.uint64(1))), mark)
+            size, parity, keys = line_keys([b" ".join(x) for t in normal for line in t.split(b"\n") if (x := line.split())], similarity)
+            if short:
+                keys = pa.array([k if n >= short else [] for k, n in zip(keys.to_pylist(), count)], keys.type)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(number.astype(np.int32)), pa.array(mark.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(parity.view(np.int64)), keys], ["doc_id", "line", "mark", "size", "parity", "keys"])
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, run, "doc_id long, line int, mark long, words int, size int, simhash long")
+    return map_arrow(rows, run, "doc_id long, line int, mark long, size int, parity long, keys array<long>")
 
 
 def block_keys(simhash: Column) -> Column:
-    """The ten keys of a SimHash: each pair of blocks with its number."""
+    """The ten keys of a SimHash: each pair of blocks with its number. ``dedup_lines`` does not use them."""
     shifts = [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
     block = [F.shiftrightunsigned(simhash, s).bitwiseAND(F.lit((1 << b) - 1)) for s, b in zip(shifts, BLOCKS)]
     pairs = combinations(range(len(BLOCKS)), 2)
@@ -156,15 +234,15 @@ def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: f
     return map_arrow(both.select("a", "b", "x", "y"), verify, "a long, b long").distinct()
 
 
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str, ...] = (), purpose: str = "lines") -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str, ...] = (), purpose: str = "lines", short: int = SHORT) -> DataFrame:
     """doc_id, text without the repeated lines, n_lines, n_removed, and the columns named in ``keep``."""
-    lines = stage(line_table(docs), f"{purpose}-table")
-    classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first"), F.min("words").alias("words"), F.min("size").alias("size"), F.min("simhash").alias("simhash")), f"{purpose}-classes")
-    keys = classes.where(F.col("words") >= LONG).select(F.explode(block_keys(F.col("simhash"))).alias("key"), F.col("mark").alias("node"))
-    near = lambda pairs: pairs.where(
-        (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * F.lit(similarity)) & (F.bit_count(F.col("simhash_a").bitwiseXOR(F.col("simhash_b"))) <= RADIUS)
-    )
-    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "simhash"), near, lambda pairs, name: similar(pairs, classes, docs, similarity, name), purpose)
+    lines = stage(line_table(docs, similarity, short), f"{purpose}-table")
+    classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first"), F.min("size").alias("size"), F.min("parity").alias("parity"), F.first("keys").alias("keys")), f"{purpose}-classes")
+    keys = classes.select(F.explode("keys").alias("key"), F.col("mark").alias("node"))
+    # One edit changes at most four of a line's character pairs, so neither test drops a pair that is similar enough.
+    edits = F.floor(F.greatest("size_a", "size_b") * F.lit(1 - similarity) + F.lit(1e-9))
+    near = lambda pairs: pairs.where((F.abs(F.col("size_a") - F.col("size_b")) <= edits) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 4 * edits))
+    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "parity"), near, lambda pairs, name: similar(pairs, classes, docs, similarity, name), purpose)
     # A group's keeper is the least first occurrence of its classes, its root's own class included.
     tied = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
     tied = classes.select("mark", "first").join(tied, F.col("mark") == F.col("node")).select("mark", "root", "first")

@@ -42,3 +42,9 @@ def test_keys_of_lines_up_to_exact_miss_no_pair(spark):
             a, b = keys.to_pylist()
             assert {*a} & {*b}, (x, y)
             assert int(parity[0] ^ parity[1]).bit_count() <= 4 * most
+
+
+def test_short_lines_are_compared_between_documents(spark):
+    rows = [(1, "All rights reserved."), (2, "all rights reserved"), (3, "Yes."), (4, "Yes"), (5, "Subscribe to our letter"), (6, "Subscribe to our letters")]
+    assert removed(spark, rows) == {1: 0, 2: 1, 3: 0, 4: 1, 5: 0, 6: 1}
+    assert removed(spark, [*rows, (7, "Yes.\nYes.")], short=5) == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 1}

@@ -1,7 +1,7 @@
 """Removal of repeated and nearly repeated lines over a whole corpus.
 
 A line is normalised: lower case, digits as 0, ASCII punctuation as space, white space joined. Equal normalised lines are one
-class. Two classes are linked if the edit similarity (1 - edit distance / longer length, in characters of the
+class, however short. Two classes are linked if the edit similarity (1 - edit distance / longer length, in characters of the
 normalised lines) is at least ``SIMILARITY``. Of each connected group the occurrence with the smallest (doc_id, line number)
 stays and all others go. Lines without a letter or digit always stay.
 
@@ -9,7 +9,7 @@ Candidates are lines that share a key. Lines of at most ``EXACT`` characters hav
 pair is cut into one piece more than the edits allowed, so a piece is whole in the longer one, near its place. Longer
 lines have ``BANDS`` MinHash keys of ``ROWS`` minima over runs of ``GRAM`` characters; README has the measured recall.
 
-Lines under ``SHORT`` words are compared within their document only.
+``short`` is for callers only: lines under so many words are then compared within their document.
 
 Defined results: NULL and empty texts come back as they are, with no line removed. Documents with NULL doc_id are not
 compared and stay whole. Rows that share a doc_id are one document: what goes from one row goes from all. One row is returned for each row.
@@ -29,7 +29,7 @@ from .common import chunks, map_arrow, stage
 from .components import link_groups
 from .words import Words, _power, mix, range_hash
 
-SHORT = 5  # lines under so many words are compared within their document only
+SHORT = 0  # no line is compared within its document only
 LONG = 0  # lines of any number of words are compared by similarity
 RADIUS = 64  # SimHashes do not bound what is linked
 BLOCKS = (13, 13, 13, 13, 12)
@@ -134,7 +134,10 @@ def line_keys(lines: list[bytes], similarity: float) -> tuple[np.ndarray, np.nda
 
 
 def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
-    """doc_id, line, mark, size, parity, keys of each line with a word; lines under ``short`` words have marks of their own document."""
+    """doc_id, line, mark, size, parity of each line with a word, and the keys of each mark at least once.
+
+    Lines under ``short`` words have marks of their own document and no keys.
+    """
 
     def run(batches):
         for batch, texts in chunks(batches):
@@ -157,9 +160,14 @@ def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHO
             ids = np.array(batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)[doc]
             mark = mix(total[bounds[1:]] - total[bounds[:-1]])
             mark = np.where(count < short, mix(mark ^ mix(ids.view(np.uint64) + np.uint64(1))), mark)
-            size, parity, keys = line_keys([b" ".join(x) for t in normal for line in t.split(b"\n") if (x := line.split())], similarity)
-            if short:
-                keys = pa.array([k if n >= short else [] for k, n in zip(keys.to_pylist(), count)], keys.type)
+            # Repeats within the batch share the keys of one of them.
+            _, one, back = np.unique(mark, return_index=True, return_inverse=True)
+            every = [x for t in normal for line in t.split(b"\n") if (x := line.split())]
+            size, parity, held = line_keys([b" ".join(every[i]) for i in one], similarity)
+            place = np.full(len(mark), -1)
+            place[one] = np.where(count[one] < short, -1, np.arange(len(one)))
+            keys = held.take(pa.array(place, mask=place < 0))
+            size, parity = size[back], parity[back]
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(number.astype(np.int32)), pa.array(mark.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(parity.view(np.int64)), keys], ["doc_id", "line", "mark", "size", "parity", "keys"])
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -237,8 +245,9 @@ def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: f
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str, ...] = (), purpose: str = "lines", short: int = SHORT) -> DataFrame:
     """doc_id, text without the repeated lines, n_lines, n_removed, and the columns named in ``keep``."""
     lines = stage(line_table(docs, similarity, short), f"{purpose}-table")
-    classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first"), F.min("size").alias("size"), F.min("parity").alias("parity"), F.first("keys").alias("keys")), f"{purpose}-classes")
-    keys = classes.select(F.explode("keys").alias("key"), F.col("mark").alias("node"))
+    classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first"), F.min("size").alias("size"), F.min("parity").alias("parity")), f"{purpose}-classes")
+    # Both uses of the keys read one exchange by key.
+    keys = lines.select(F.explode("keys").alias("key"), F.col("mark").alias("node")).repartition("key").distinct()
     # One edit changes at most four of a line's character pairs, so neither test drops a pair that is similar enough.
     edits = F.floor(F.greatest("size_a", "size_b") * F.lit(1 - similarity) + F.lit(1e-9))
     near = lambda pairs: pairs.where((F.abs(F.col("size_a") - F.col("size_b")) <= edits) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 4 * edits))

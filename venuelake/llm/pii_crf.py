@@ -214,8 +214,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: dict) -> lis
     """Spans of mentions without evidence that the field is sure of."""
     mentions = Mentions(text, base)
     hidden = np.flatnonzero(mentions.evidence < 0)
-    if not hidden.size or not len(mentions.skip):
-        # Without a skip edge to carry evidence the field's own view of an uncovered mention is none, as in training.
+    if not hidden.size:
         return []
     node = mentions.features @ model["node"]
     for i in np.flatnonzero(mentions.evidence >= 0):

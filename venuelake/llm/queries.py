@@ -11,6 +11,7 @@ from .bpe import encode_documents
 from .common import table
 from .decontaminate import contaminated
 from .html_trees import extract_pages
+from .importance import resample
 from .langid import identify
 from .line_dedup import dedup_lines
 from .maxent_lm import score_texts
@@ -18,6 +19,7 @@ from .near_dedup import near_groups
 from .perplexity_rules import judge
 from .pii_crf import find
 from .quality_crf import classify
+from .sql import OP12
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +62,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), max_words=1, buckets=10000, percent=10, least_words=20, seed=2024)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_near_dedup": op2_near_dedup,
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op12_resampling": op12_resampling,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_resampling": OP12}

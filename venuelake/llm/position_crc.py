@@ -83,13 +83,14 @@ def crc_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return out
 
 
-def joined(left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
-    """CRCs of left and right spans joined, where every right span has ``size`` bytes (a multiple of WIDTH)."""
-    state = left ^ _FULL
-    for _ in range(size // WIDTH):
-        state = ahead(state, WIDTH)
-    # The right CRC holds its own start state, which must not count twice.
-    own = np.full(1, _FULL)
-    for _ in range(size // WIDTH):
-        own = ahead(own, WIDTH)
-    return state ^ right ^ own[0]
+def joined(left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRCs of left and right spans joined; ``size`` is the length of each right span, 0 or at least 4 bytes beyond whole blocks."""
+    # The right CRC holds a start state of its own, which must not count twice: both states move over the right span.
+    state = left ^ _FULL ^ _FULL
+    size = np.asarray(size, np.int64)
+    while (far := np.flatnonzero(size >= WIDTH)).size:
+        state[far] = ahead(state[far], WIDTH)
+        size = np.where(size >= WIDTH, size - WIDTH, size)
+    rest = np.flatnonzero(size)
+    state[rest] = ahead(state[rest], size[rest])
+    return state ^ right

@@ -16,10 +16,12 @@ from .langid import identify
 from .line_dedup import dedup_lines
 from .maxent_lm import score_texts
 from .near_dedup import near_groups
+from .packing import pack
 from .perplexity_rules import judge
 from .pii_crf import find
 from .quality_crf import classify
-from .sql import OP12
+from .spelling import variants
+from .sql import OP12, OP13
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,11 +64,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), window=4096, end_id=2)
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), max_words=1, buckets=10000, percent=10, least_words=20, seed=2024)
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"), least=5, occurrences=3, ratio=2, noise=97)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_near_dedup": op2_near_dedup,
@@ -78,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_packing": op11_packing,
     "op12_resampling": op12_resampling,
+    "op13_spelling": op13_spelling,
 }
 
-ORACLES: dict[str, str] = {"op12_resampling": OP12}
+ORACLES: dict[str, str] = {"op12_resampling": OP12, "op13_spelling": OP13}

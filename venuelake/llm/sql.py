@@ -41,3 +41,29 @@ fit as (
     count(*) filter (n_features >= 20) over () as fit from scored)
 select doc_id, n_features, weight, weight + noise as score,
   case when n_features >= 20 and place <= 10 * fit // 100 then place end as rank from fit"""
+
+#: Near words share what is left when one code point is taken out of one of them or of both.
+OP13 = rf"""with recursive runs as (
+  select doc_id, w, count(*) as k from (
+    select doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as w from documents)
+  where length(w) >= 5 group by doc_id, w),
+items as (select concat(doc_id, ':', w) as w from runs),
+{CRC},
+altered as (
+  select case when crc % 97 = 0 then left(r.w, crc % length(r.w)) || substr(r.w, crc % length(r.w) + 2) else r.w end as word, k
+  from runs r join crcs on crcs.w = concat(doc_id, ':', r.w)),
+words as (select word, sum(k)::bigint as n from altered where length(word) >= 5 group by word having sum(k) >= 3),
+outs as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+pairs as (
+  select a.word, a.n, b.word as near, b.n as near_n from outs a join outs b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, a.n, b.word, b.n from outs a join words b on a.rest = b.word
+  union select b.word, b.n, a.word, a.n from outs a join words b on a.rest = b.word),
+best as (select word, count(*) as n_near, arg_min(near, (-near_n, near)) as near, max(near_n) as near_n from pairs group by word),
+forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 2 * w.n then near end as form, case when near_n >= 2 * w.n then near_n end as form_n
+  from words w left join best using (word)),
+paths as (
+  select word, form as root, 1 as d from forms where form is not null
+  union all select p.word, f.form, d + 1 from paths p join forms f on p.root = f.word where f.form is not null),
+roots as (select word, arg_max(root, d) as root from paths group by word)
+select word, form, coalesce(root, word) as root, n, n_near, form_n from forms left join roots using (word)"""

@@ -68,3 +68,36 @@ def test_statement_of_ten_columns(spark):
     text = "Preamble\nDate,a,b,c,d,e,f,Description,Amount,Running Bal.\n1/2/2025,1,2,3,4,5,6,\"Say \"\"hi\"\", friend\",\"1,234.50\",99.25\n1/3/2025,,,,,,,plain,-2.00,"
     got = parse_bank_text(spark.createDataFrame([(text, "f")], "value string, source_file string")).orderBy("transaction_date").collect()
     assert [(r.description, r.amount, r.running_balance, r.transaction_type) for r in got] == [('Say "hi", friend', 1234.5, 99.25, "credit"), ("plain", -2.0, None, "debit")]
+
+
+def test_headers_of_each_file(spark):
+    """Other column orders, spellings and widths in one folder; a file without a column has NULL there."""
+    p = Path(land(spark, "20250115/OrderDetails.csv", "Order Id,Amount,Server\n1,\"1,000.5\",a\n\n2,2,b\n"))
+    for day, text in (("20250116", "﻿Server,Channel,Order Id,Amount,Amount\r\nc,web,3,3,9\r\n"), ("20250117", ""), ("20250118", "Order Id\n"), ("20250119", "\n amount ,Order Id\n4,5\n")):
+        (p.parent.parent / day).mkdir()
+        (p.parent.parent / day / "OrderDetails.csv").write_bytes(text.encode())
+    got = sorted((r.order_id, r.amount, r.server, r.channel, r.processing_date.day) for r in files.read_daily_csv(spark, str(p.parent.parent)).collect())
+    assert got == [(1.0, 1000.5, "a", None, 15), (2.0, 2.0, "b", None, 15), (3.0, 3.0, "c", "web", 16), (5.0, None, None, None, 19)]
+
+
+def test_large_statement_is_split(spark):
+    """One statement is read by several tasks; its preamble lies in the first of them."""
+    text = "Summary,,\n" * 50 + "Date,Description,Amount\n" + "".join(f"1/2/2025,line {i},{i}\n" for i in range(4000))
+    path = land(spark, "big.csv", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        out = files.read_bank_csv(spark, path)
+        from venuelake.sources import delimited
+        assert delimited.file_lines(spark, path).rdd.getNumPartitions() >= 8
+        assert out.count() == 4000 and out.agg(F.sum("amount")).first()[0] == 3999 * 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_registers_of_two_layouts(spark):
+    p = Path(land(spark, "a.csv", "Chk #,Pay To,Amt,Cat\nNo. 1,Acme,\"$1,000\",Rent\n"))
+    (p.parent / "b.csv").write_text("Category,Memo,Vendor,Total,Check Number\n,\"say \"\"hi\"\", x\",Bob,2,#2\n")
+    got = sorted(tuple(r) for r in files.read_check_register(spark, str(p.parent)).collect())
+    assert got == [("1", "Acme", 1000.0, None, "Rent"), ("2", "Bob", 2.0, 'say "hi", x', None)]

@@ -98,8 +98,12 @@ def _(t):
 @query("src_check_register", """
   SELECT CAST(check_id AS VARCHAR) AS check_number, customer AS payee, total AS amount, reason AS memo, nullif(tab_name, '') AS category FROM v_checks""")
 def _(t):
+    """Two kinds of registers in one folder, with other spellings and another column order."""
     path = shared_dir(t.spark, "register")
-    t.checks.select(F.concat(F.lit("No. "), "check_id").alias("Chk #"), F.col("customer").alias("Pay To"), F.concat(F.lit("$"), F.format_number("total", 2)).alias("Amt"), F.col("reason").alias("Notes"), F.col("tab_name").alias("Cat")).write.option("header", True).csv(path)
+    number, amount = F.concat(F.lit("No. "), "check_id"), F.concat(F.lit("$"), F.format_number("total", 2))
+    even, odd = t.checks.filter("check_id % 2 = 0"), t.checks.filter("check_id % 2 = 1")
+    even.select(number.alias("Chk #"), F.col("customer").alias("Pay To"), amount.alias("Amt"), F.col("reason").alias("Notes"), F.col("tab_name").alias("Cat")).write.option("header", True).csv(f"{path}/a")
+    odd.select(F.lit("x").alias("Extra"), F.col("tab_name").alias("Category"), F.col("reason").alias("Memo"), F.col("customer").alias("Vendor"), amount.alias("Total"), number.alias("Check No")).write.option("header", True).csv(f"{path}/b")
     return files.read_check_register(t.spark, path)
 
 

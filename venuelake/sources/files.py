@@ -1,16 +1,18 @@
 """File sources: daily POS extracts, bank statements, check registers.
 
-All files of all days go through one read; the day comes from the path. Text files with a
-preamble are read whole per file (a statement is a few hundred lines) and split by Spark.
+All files of all days go through one read; the day comes from the path. Files are read by line (``delimited``), so a large one
+is split among tasks, and each file by its own header.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..functions.text import digits_only
+from . import delimited
+from .sinks import stage
 
 # Headers whose column name does not follow the cleaning rule.
 HEADER_NAMES = {
@@ -59,47 +61,55 @@ REGISTER_HEADERS = {
 }
 
 
-def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
-    """Header line -> files that begin with it; files without a line are left out. Only paths and header lines reach the driver."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    head = F.regexp_replace(F.substring_index(F.substring(F.col("content"), 1, 1 << 16).cast("string"), "\n", 1), "[\ufeff\r]", "")
-    found: dict[str, list[str]] = {}
-    for r in files.select("path", head.alias("head")).filter(F.trim("head") != "").orderBy("path").collect():
-        found.setdefault(r.head, []).append(r.path)
-    return found
+def daily_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """file, header, utf8 and cells of every daily file with a line, staged: one row for each file."""
+    heads = delimited.headers(delimited.file_lines(spark, paths))
+    return stage(heads.select("file", "header", "utf8", delimited.csv_cells(F.col("header")).alias("cells")), "headers")
 
 
 def read_daily_csv(spark: SparkSession, paths: str | list[str], datetime_columns: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> DataFrame:
     """One kind of daily file over any number of day folders, cleaned and typed.
 
-    Files are read by their own header and joined by column name, so added, missing or moved columns neither fail nor
-    shift; a column that a file lacks is NULL there (``schema_drift`` reports it). Header-only and empty files have no rows.
+    Each file is read by its own header, so added, missing or moved columns neither fail nor shift; a column that a file
+    lacks is NULL there (``schema_drift`` reports it). Header-only and empty files have no rows. Only the distinct column names reach the driver.
     """
-    parts = []
-    for head, group in sorted(files_by_header(spark, paths).items()):
-        names = spark.read.option("header", True).csv(spark.sparkContext.parallelize([head], 1)).schema
-        raw = spark.read.schema(names).option("header", True).csv(group).withColumn("_path", F.col("_metadata.file_path"))
-        parts.append(transform_daily(raw, datetime_columns, flags))
-    if not parts:
+    heads = daily_headers(spark, paths)
+    found = heads.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("cells")))).alias("names"), F.max(F.size("cells")).alias("width")).first()
+    if not found.width:
         raise FileNotFoundError(f"no daily file with a header below {paths}")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    return transform_daily(_by_header(delimited.file_lines(spark, paths), heads, found.names, found.width), datetime_columns, flags)
+
+
+def _by_header(lines: DataFrame, heads: DataFrame, names: list[str], width: int) -> DataFrame:
+    """Text columns by cleaned name, and ``_path``. Of equal names in a header the first counts; blank ones are left out."""
+    spellings: dict[str, list[str]] = {}
+    for name in names:
+        if name.strip():
+            spellings.setdefault(clean.clean_name(name, HEADER_NAMES), []).append(name)
+    columns = list(spellings)
+    heads = heads.select("file", "header", "utf8", *[delimited.position(F.col("cells"), spellings[c]).alias(f"_p{i}") for i, c in enumerate(columns)])
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    rows = delimited.rows_below(lines, heads).withColumn("_r", F.from_csv("value", F.lit(schema)))
+    rows = rows.withColumn("_c", F.array(*[F.col(f"_r.c{i}") for i in range(width)]))
+    return rows.select(*[F.get("_c", F.col(f"_p{i}") - 1).alias(c) for i, c in enumerate(columns)], F.col("file").alias("_path"))
 
 
 def read_daily_files(spark: SparkSession, root: str, datetime_columns: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> dict[str, DataFrame]:
-    """Every known kind of daily file below ``root`` (one folder per kind, days below it). Unknown kinds and kinds without a file are skipped."""
+    """Every known kind of daily file below ``root`` (one folder per kind, days below it). Unknown kinds and kinds without a file are skipped.
+
+    The headers of all kinds are found in one pass.
+    """
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     there = {x.getPath().getName() for x in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)}
+    kinds = [k for k in DAILY_FILES if k in there]
+    if not kinds:
+        return {}
+    heads = daily_headers(spark, [f"{root}/{k}" for k in kinds]).withColumn("kind", F.regexp_extract("file", "^.*/(" + "|".join(kinds) + ")/", 1))
     out = {}
-    for kind in DAILY_FILES:
-        if kind in there:
-            try:
-                out[kind] = read_daily_csv(spark, f"{root}/{kind}", datetime_columns, flags)
-            except FileNotFoundError:
-                continue
-    return out
+    for r in heads.groupBy("kind").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("cells")))).alias("names"), F.max(F.size("cells")).alias("width")).collect():
+        lines = delimited.file_lines(spark, f"{root}/{r.kind}")
+        out[r.kind] = transform_daily(_by_header(lines, heads.where(F.col("kind") == r.kind), r.names, r.width), datetime_columns, flags)
+    return {k: out[k] for k in kinds if k in out}
 
 
 def transform_daily(raw: DataFrame, datetime_columns: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> DataFrame:
@@ -117,47 +127,39 @@ def read_bank_csv(spark: SparkSession, paths: str) -> DataFrame:
 
     Output: transaction_date, description, amount, running_balance, transaction_type, abs_amount, source_file.
     """
-    raw = spark.read.format("binaryFile").load(paths)
-    text = F.col("content").cast("string")
-    value = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
-    return parse_bank_text(raw.select(value.alias("value"), F.element_at(F.split("path", "/"), -1).alias("source_file")))
-
-
-def csv_cells(line: Column) -> Column:
-    """The cells of a CSV line of any width: quotes taken off, doubled quotes undone. A line is one record, so no quoted line breaks."""
-    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',(?:\s*"(?:[^"]|"")*"[^,]*|[^,]*)'), F.lit(0))
-
-    def plain(cell: Column) -> Column:
-        body = F.substring(cell, F.lit(2), F.length(cell))
-        quoted = F.regexp_extract(body, r'^\s*"((?:[^"]|"")*)"', 1)
-        return F.when(F.startswith(F.ltrim(body), F.lit('"')), F.replace(quoted, F.lit('""'), F.lit('"'))).otherwise(body)
-
-    return F.transform(cells, plain)
+    return parse_bank_lines(delimited.file_lines(spark, paths))
 
 
 def parse_bank_text(files: DataFrame) -> DataFrame:
     """Rows of statement texts (``value``, ``source_file``)."""
-    text = F.regexp_replace("value", "^\ufeff", "")
-    lines = files.select("source_file", F.split(text, "\r?\n").alias("_l"))
-    is_head = lambda x: F.lower(F.trim(x)).startswith("date,")
-    at = F.array_position(F.transform("_l", is_head), True)
-    lines = lines.withColumn("_at", F.greatest(at, F.lit(1)))
-    head = F.transform(F.split(F.lower(F.get("_l", (F.col("_at") - 1).cast("int"))), ","), lambda x: F.trim(x))
-    where = lambda test: F.array_position(F.transform("_h", test), True).cast("int")
-    lines = lines.withColumn("_h", head).select(
-        "source_file", where(lambda x: x.contains("date") & ~x.contains("post")).alias("_d"), where(lambda x: x.contains("desc")).alias("_s"), where(lambda x: x.contains("amount")).alias("_a"),
-        where(lambda x: x.contains("bal")).alias("_b"), F.explode(F.slice("_l", (F.col("_at") + 1).cast("int"), F.size("_l"))).alias("line"))
-    row = lines.filter(F.trim("line") != "").withColumn("_c", csv_cells(F.col("line")))
+    lines = files.select(F.col("source_file").alias("file"), F.posexplode(F.split(F.ltrim("value", F.lit("\ufeff")), "\r?\n")).alias("line", "value"))
+    return parse_bank_lines(lines.select("file", "value", F.struct(F.lit(0).alias("block"), "line").alias("at")))
+
+
+def parse_bank_lines(lines: DataFrame) -> DataFrame:
+    """Rows of statement lines (``value``, ``file``, ``at``): the header is the first line that begins with a date column, else the first line."""
+    is_head = F.startswith(F.lower(F.trim("value")), F.lit("date,"))
+    cells = F.transform(F.split(F.lower("header"), ","), lambda x: F.trim(x))
+    where = lambda test: F.array_position(F.transform(cells, test), True).cast("int")
+    heads = delimited.headers(lines, is_head).select(
+        "file", "head_at", "utf8", where(lambda x: x.contains("date") & ~x.contains("post")).alias("_d"), where(lambda x: x.contains("desc")).alias("_s"), where(lambda x: x.contains("amount")).alias("_a"),
+        where(lambda x: x.contains("bal")).alias("_b"))
+    row = delimited.rows_below(lines, heads, preamble=True).withColumn("_c", delimited.csv_cells(F.col("value")))
     pick = lambda i: F.get("_c", F.col(i) - 1)
     amount = clean.to_number(pick("_a"))
     day = F.to_date(clean.first_timestamp(F.trim(pick("_d")), ["M/d/yy", "M/d/yyyy", "yyyy-MM-dd"]))
     return row.filter(F.trim(pick("_d")) != "").select(
         day.alias("transaction_date"), F.coalesce(F.trim(pick("_s")), F.lit("")).alias("description"), amount.alias("amount"), F.when(F.col("_b") > 0, clean.to_number(pick("_b"))).alias("running_balance"),
-        F.when(amount >= 0, "credit").otherwise("debit").alias("transaction_type"), F.abs(amount).alias("abs_amount"), "source_file")
+        F.when(amount >= 0, "credit").otherwise("debit").alias("transaction_type"), F.abs(amount).alias("abs_amount"), F.element_at(F.split("file", "/"), -1).alias("source_file"))
 
 
 def read_check_register(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return normalize_register(spark.read.option("header", True).csv(paths))
+    """Registers of any column order: each file's columns are found by its own header spellings."""
+    lines = delimited.file_lines(spark, paths)
+    spelled = F.transform(delimited.csv_cells(F.col("header")), lambda x: F.lower(F.trim(x)))
+    heads = delimited.headers(lines).select("file", "header", "utf8", *[delimited.position(spelled, s).alias(f"_{c}") for c, s in REGISTER_HEADERS.items()])
+    row = delimited.rows_below(lines, heads).withColumn("_c", delimited.csv_cells(F.col("value")))
+    return normalize_register(row.select(*[F.nullif(F.get("_c", F.col(f"_{c}") - 1), F.lit("")).alias(c) for c in REGISTER_HEADERS]))
 
 
 def normalize_register(raw: DataFrame) -> DataFrame:

@@ -92,3 +92,22 @@ def test_prime_grades_and_segments(spark):
     assert [r[0] for r in df.select(cl.step_grade(F.col("p"), PRIME_GRADES, "Investigate")).collect()] == ["Excellent", "Good", "Elevated", "Investigate"]
     g = spark.createDataFrame([(12, 10), (12, 60), (6, 40), (4, 60), (2, 10), (1, 10), (1, 50), (20, 91)], "v int, r int")
     assert [r[0] for r in g.select(cl.guest_segment(F.col("v"), F.col("r"))).collect()] == ["champions", "loyal", "regulars", "at_risk", "returning", "new", "dormant", "dormant"]
+
+
+@pytest.mark.parametrize("repeated", [True, False])
+def test_long_texts_and_many_keywords(spark, repeated):
+    """Whole long texts against brute force: keywords shorter and longer than a prefix and a piece, at every place."""
+    import random
+
+    rng = random.Random(5)
+    letters = "abé \U0001f600"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.choice([3, 60, 127, 128, 129, 300, 2000]))) for _ in range(60)]
+    texts += texts[:5] + ["x" * 127 + "needle in a stack" + "y" * 400, None, ""]
+    words = {"".join(rng.choice(letters) for _ in range(n)) for n in (2, 4, 6, 8, 9, 12) for _ in range(12)}
+    words |= {texts[0][:2] or "q", "needle in a stack", "y" * 390, texts[-4][:300]}
+    rules = [(w, rng.randrange(40), f"r{i}") for i, w in enumerate(sorted(w for w in words if w.strip()))]
+    got = first_match(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), spark.createDataFrame(rules, "keyword string, priority int, label string"), "t", ["label"], repeated=repeated).collect()
+    assert len(got) == len(texts)
+    want = {i: min(((p, w.strip().upper(), x) for w, p, x in rules if t and w.strip().upper() in t.upper()), default=(0, "", None))[2] for i, t in enumerate(texts)}
+    assert {r.i: r.label for r in got} == want
+    assert any(want.values()) and len(set(want.values())) > 5

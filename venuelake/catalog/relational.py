@@ -9,6 +9,7 @@ from ..functions.numbers import sum0, sum_if
 from ..operators import aggregates as ag
 from ..operators import joins, orderstats, windows
 from ..operators.rules import first_match
+from ..sources import sinks
 from .registry import query
 
 EVENTS = [
@@ -159,16 +160,17 @@ _WORDS_SQL = r"SELECT unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS ke
 
 
 @query("j_keyword_first_match_large", f"""
-  WITH k AS (SELECT keyword, CAST(count(*) AS BIGINT) AS n FROM ({_WORDS_SQL}) GROUP BY 1 QUALIFY row_number() OVER (ORDER BY n DESC, keyword) <= 2000),
-  d AS (SELECT doc_id, upper(left(text, 400)) AS t FROM documents WHERE text IS NOT NULL),
-  m AS (SELECT doc_id, min(struct_pack(p := -k.n, k := upper(k.keyword))) AS hit FROM d JOIN k ON contains(d.t, upper(k.keyword)) GROUP BY 1)
-  SELECT lower(hit.k) AS label, CAST(count(*) AS BIGINT) AS n FROM d LEFT JOIN m USING (doc_id) GROUP BY 1""")
+  WITH k AS (SELECT upper(keyword) AS keyword, CAST(count(*) AS BIGINT) AS n FROM ({_WORDS_SQL}) GROUP BY 1),
+  d AS (SELECT row_number() OVER () AS r, upper(text) AS t FROM documents WHERE text IS NOT NULL),
+  p AS (SELECT r, substr(t, i, 9) AS head, substr(t, i, (SELECT max(length(keyword)) FROM k)) AS tail FROM (SELECT r, t, unnest(range(1, length(t) - 7)) AS i FROM d) WHERE regexp_matches(substr(t, i, 9), '^[A-Z]{{9}}$')),
+  m AS (SELECT r, min(struct_pack(p := -k.n, k := k.keyword)) AS hit FROM p JOIN k ON p.head = left(k.keyword, 9) AND starts_with(p.tail, k.keyword) GROUP BY 1)
+  SELECT lower(hit.k) AS label, CAST(count(*) AS BIGINT) AS n FROM d LEFT JOIN m USING (r) GROUP BY 1""")
 def _(t):
-    """Some thousand keywords taken from the texts themselves; the head of each text is the field that is classified."""
+    """Every long word of the texts as a keyword, looked for in all whole texts; the commonest one contained labels a text."""
     docs = t.raw("documents").filter("text IS NOT NULL")
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{9,}"), F.lit(0))).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n"))
-    rules = words.orderBy(F.desc("n"), "keyword").limit(2000).select("keyword", (-F.col("n")).alias("priority"), F.col("keyword").alias("label"))
-    return first_match(docs.select(F.substring("text", 1, 400).alias("head")), rules, "head", ["label"]).groupBy("label").agg(F.count("*").alias("n"))
+    rules = sinks.stage(words.select("keyword", (-F.col("n")).alias("priority"), F.col("keyword").alias("label")), "keywords")
+    return first_match(docs.select("text"), rules, "text", ["label"], repeated=False).groupBy("label").agg(F.count("*").alias("n"))
 
 
 @query("j_exists", "SELECT o.order_id FROM v_orders o WHERE EXISTS (SELECT 1 FROM v_items i WHERE i.order_id = o.order_id AND i.voided = 'true')")

@@ -1,8 +1,10 @@
 """Ordered keyword rules: the first rule whose keyword occurs in a text decides.
 
-One path for rule tables of any size: each distinct text is cut into its substrings of the keyword lengths in use, and
-those meet the keywords on equality. So the work is spread by hash, no row tests a list of rules, and rows that share a
-text share its answer.
+One path for rule tables and texts of any size. Keywords are indexed by their first ``PREFIX`` characters (shorter ones by all of
+them). Texts are cut into pieces that reach into the next piece as far as the longest keyword, each place in a piece is looked
+up in a fixed-size bit table of the hashed prefixes, and only the places that pass meet the keywords, in an equi-join on the prefix, where
+the rest of the keyword is compared. The hits of a text are reduced to the first rule. So the work is spread by pieces
+and by prefix, no row tests a list of rules, and no array grows with a text but that of its pieces.
 
 A NULL text matches nothing, and so does a rule whose keyword is NULL or blank. Columns that must be equal follow SQL: NULL
 equals nothing. Of several matches the one with the lowest priority wins, then the lowest keyword, then the
@@ -15,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _EDGE = "\u0001"
+#: Characters of a keyword that are looked up, of a piece at least, and words of 64 bits in the table of hashed prefixes.
+PREFIX, PIECE, WORDS = 8, 128, 1 << 14
 
 
 def _prepared(c: Column, mode: str, is_keyword: bool) -> Column:
@@ -31,29 +35,48 @@ def _prepared(c: Column, mode: str, is_keyword: bool) -> Column:
     return F.when(F.endswith(marked, edge), marked).otherwise(F.concat(marked, edge))
 
 
+def _text_key(c: Column) -> Column:
+    """The text itself if short, else its digest: what stands for a text while its hits are collected."""
+    return F.when(F.length(c) <= PIECE, c).otherwise(F.concat(F.lit(_EDGE), F.sha2(c, 256)))
+
+
+def _hit_places(texts: DataFrame, r: DataFrame) -> DataFrame:
+    """_j, _k (characters as many as a prefix has) and _tail (as many as the longest keyword has) of each place of ``_t`` that may begin a keyword."""
+    spark = texts.sparkSession
+    sizes = r.agg(F.struct(F.sort_array(F.collect_set(F.length("_k"))).alias("prefixes"), F.coalesce(F.max(F.length("_rk")), F.lit(1)).alias("longest"))).scalar()
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(WORDS * 64))
+    filled = r.select(bit("_k").alias("_b")).groupBy(F.shiftright("_b", 6).alias("_w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_b & 63 as int))")).alias("_x"))
+    table = spark.range(WORDS).join(filled, F.col("id") == F.col("_w"), "left").agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("_x", F.lit(0)).alias("x")))), lambda e: e["x"])).scalar()
+    pattern = F.concat(F.lit("(?s).{1,"), F.greatest(F.lit(PIECE), F.col("_longest")).cast("string"), F.lit("}"))
+    cut = texts.withColumn("_longest", sizes["longest"]).withColumn("_pieces", F.regexp_extract_all("_t", pattern, F.lit(0)))
+    reach = lambda p, k: F.struct(F.length(p).alias("n"), F.concat(p, F.coalesce(F.substring(F.get("_pieces", k + 1), F.lit(1), F.col("_longest") - 1), F.lit(""))).alias("text"))
+    pieces = cut.select("_j", F.explode(F.transform("_pieces", reach)).alias("_p"))
+    places = pieces.select("_j", F.col("_p.text").alias("_text"), F.explode(F.sequence(F.lit(1), F.col("_p.n"))).alias("_i"))
+    keyed = places.select("_j", "_text", "_i", F.explode(sizes["prefixes"]).alias("_n")).withColumn("_k", F.substring("_text", F.col("_i"), F.col("_n")))
+    held = (F.length("_k") == F.col("_n")) & (F.getbit(F.get(table, F.shiftright(bit("_k"), 6).cast("int")), bit("_k").bitwiseAND(63).cast("int")) == 1)
+    return keyed.where(held).select("_j", "_k", F.substring("_text", F.col("_i"), sizes["longest"]).alias("_tail"))
+
+
 def first_match(df: DataFrame, rules: DataFrame, text_col: str, outputs: list[str], mode: str = "contains",
-                keyword: str = "keyword", priority: str = "priority", equal: dict[str, str] | None = None) -> DataFrame:
+                keyword: str = "keyword", priority: str = "priority", equal: dict[str, str] | None = None, repeated: bool = True) -> DataFrame:
     """Add the ``outputs`` of the lowest-priority rule contained in ``text_col``, NULL when none.
 
     ``mode`` is 'contains' or 'word', both ignoring case. ``equal`` maps a rule column to a
-    column of ``df`` that must be equal too (a weekday, say).
+    column of ``df`` that must be equal too (a weekday, say). ``repeated`` tells that many rows share a text, so texts are
+    made distinct first; without it long texts are not shuffled. The answer is the same. The rules are read several times:
+    stage them if they are costly to make.
     """
     equal = equal or {}
     r = rules.filter(F.trim(keyword) != "").select(
         F.col(priority).alias("_p"), _prepared(F.col(keyword), mode, True).alias("_rk"),
         *[F.col(c).alias(f"_e_{c}") for c in equal], *[F.col(c).alias(f"_o_{c}") for c in outputs],
-    )
-    texts = df.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_j")).distinct().withColumn("_t", _prepared(F.col("_j"), mode, False))
-    # Only lengths that fit the text are cut, and only starts that leave room for them.
-    texts = texts.withColumn("_lengths", r.agg(F.sort_array(F.collect_set(F.length("_rk")))).scalar())
-    pieces = F.array_distinct(F.flatten(F.transform(
-        F.filter(F.col("_lengths"), lambda n: n <= F.length("_t")),
-        lambda n: F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda i: F.substring(F.col("_t"), i, n)),
-    )))
-    hits = texts.select("_j", F.explode(pieces).alias("_k")).join(r, F.col("_k") == F.col("_rk"))
+    ).withColumn("_k", F.substring("_rk", 1, PREFIX))
+    texts = df.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_x"))
+    texts = (texts.distinct() if repeated else texts).select(_text_key(F.col("_x")).alias("_j"), _prepared(F.col("_x"), mode, False).alias("_t"))
+    hits = _hit_places(texts, r).join(r, "_k").where(F.startswith("_tail", "_rk"))
     best = hits.groupBy("_j", *[f"_e_{c}" for c in equal]).agg(F.min(F.struct("_p", "_rk", *[f"_o_{c}" for c in outputs])).alias("_hit"))
     # NULL texts get keys that match nothing and are spread over the tasks.
-    key = F.coalesce(F.col(text_col), F.concat(F.lit(_EDGE), F.xxhash64(*df.columns).cast("string")))
+    key = F.coalesce(_text_key(F.col(text_col)), F.concat(F.lit(_EDGE), F.xxhash64(*df.columns).cast("string")))
     on = F.col("_key") == F.col("_j")
     for rule_col, df_col in equal.items():
         on = on & (F.col(df_col) == F.col(f"_e_{rule_col}"))

@@ -5,22 +5,45 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from ..streaming import jobs
+from ..streaming import jobs, stateful
 from .registry import query
 
 
+def _deliveries(t, df, order, purpose):
+    """The rows as files that arrive in four deliveries, by ``order`` (0 to 3)."""
+    path = shared_dir(t.spark, purpose)
+    for i in range(4):
+        df.where(order == i).write.mode("append").parquet(path)
+    return path
+
+
+def _month_order(step):
+    """Quarter of the time of day that a row's day has in ``step`` turns: 1 is the order of time within the month."""
+    return F.pmod(F.floor(F.dayofmonth("ts") * step / 8), F.lit(4))
+
+
 @query("st_high_watermark", """
   SELECT reservation_id, updated FROM v_reservations WHERE updated >= (SELECT max(updated) FROM v_reservations WHERE status_simple = 'Complete') - INTERVAL 1 DAY""")
 def _(t):
-    return jobs.since_watermark(t.reservations, t.reservations.filter("status_simple = 'Complete'"), "updated").select("reservation_id", "updated")
+    """Both tables are stored by month of their version; the start comes from folder names and one month of the target."""
+    r = t.reservations.select("reservation_id", "status_simple", "updated", F.trunc("updated", "month").alias("day"))
+    source, target = shared_dir(t.spark, "reservations"), shared_dir(t.spark, "loaded")
+    r.hint("rebalance", "day").write.partitionBy("day").parquet(source)
+    r.where("status_simple = 'Complete'").hint("rebalance", "day").write.partitionBy("day").parquet(target)
+    return stateful.since_watermark(t.spark, source, target, r.drop("day").schema, "updated", "day", unit="month").select("reservation_id", "updated")
 
 
 @query("st_cursor_state", """
   WITH s AS (SELECT source_file AS feed, max(transaction_date) AS cursor FROM v_bank WHERE category_source = 'manual' GROUP BY 1), l AS (SELECT source_file AS feed, max(transaction_date) AS cursor FROM v_bank WHERE category_source = 'auto' GROUP BY 1)
   SELECT coalesce(s.feed, l.feed) AS feed, greatest(s.cursor, l.cursor) AS cursor FROM s FULL OUTER JOIN l ON s.feed = l.feed""")
 def _(t):
+    """Bank lines arrive newest month first, in several triggers; each batch commits its lines and its cursors together."""
     state = t.bank.filter("category_source = 'manual'").groupBy(F.col("source_file").alias("feed")).agg(F.max("transaction_date").alias("cursor"))
-    return jobs.save_cursors(state, t.bank.filter("category_source = 'auto'"), "source_file", "transaction_date")
+    lines = t.bank.filter("category_source = 'auto'").select("source_file", "transaction_date", "description", "amount")
+    source = _deliveries(t, lines, F.pmod(-F.month("transaction_date"), F.lit(4)), "bank-feed")
+    path = shared_dir(t.spark, "cursor-feed")
+    stateful.land_with_cursor(jobs.file_stream(t.spark, source, lines.schema, 4), path, f"{path}/checkpoint", "source_file", "transaction_date")
+    return stateful.cursors(t.spark, path, "feed string, cursor date", state)
 
 
 @query("st_upsert_latest", """
@@ -43,9 +66,10 @@ def _(t):
 
 @query("st_late_corrections_stream", "SELECT event_id, user_id, event_type, value FROM events")
 def _(t):
-    """Two overlapping deliveries of the same files, each event once."""
-    src = f"{t.sf_dir}/events*.parquet"
-    return jobs.deduplicated(t.spark, [src, src], t.raw("events").schema, "event_id", "ts").select("event_id", "user_id", "event_type", "value")
+    """Two overlapping deliveries in several triggers, the months out of order, each event once."""
+    e = t.raw("events")
+    sources = [_deliveries(t, e, _month_order(k), f"events-{k}") for k in (5, 7)]
+    return stateful.unique_events(t.spark, sources, e.schema, "event_id", "ts", max_files=6).select("event_id", "user_id", "event_type", "value")
 
 
 _CH = """ch AS (SELECT order_id, server, total, CASE WHEN voided IS NULL THEN 'added' WHEN voided = 'true' THEN 'removed' ELSE 'modified' END AS change FROM v_orders WHERE tip > 20),
@@ -92,4 +116,7 @@ def _(t):
 @query("st_windowed_revenue", """
   SELECT date_trunc('hour', ts)::TIMESTAMP AS hour_start, CAST(date_trunc('hour', ts) - INTERVAL 4 HOUR AS DATE) AS business_date, count(*) AS txns, round(sum(value), 2) AS revenue FROM events WHERE event_type = 'purchase' GROUP BY 1, 2""")
 def _(t):
-    return jobs.windowed_revenue(t.spark, f"{t.sf_dir}/events*.parquet", t.raw("events").schema, lambda s: s.filter("event_type = 'purchase'"), "ts", "value")
+    """Payments delivered in several triggers, most in order of time, the others late."""
+    e = t.raw("events")
+    source = _deliveries(t, e, F.when(F.col("event_id") % 10 < 8, _month_order(1)).otherwise(_month_order(5)), "payments")
+    return stateful.windowed_revenue(t.spark, source, e.schema, lambda s: s.filter("event_type = 'purchase'"), "ts", "value", max_files=4)

@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates
 from ..operators.merge import upsert
 from ..operators.windows import latest_per_key
 from ..session import shared_dir
@@ -65,17 +64,10 @@ def run_batches(stream: DataFrame, path: str, checkpoint: str, reduce: Callable[
 
 
 def windowed_revenue(spark: SparkSession, source: str, schema, prepare, ts: str, amount: str, max_files: int = 1000) -> DataFrame:
-    """Hourly totals kept current from the payment feed, with the business day of each hour.
+    """Hourly totals of the payment feed by event-time windows, late payments included."""
+    from .stateful import windowed_revenue as run
 
-    ``prepare`` selects valid payments. Each micro-batch lands its own sums per hour, and reading adds them up, so rows
-    count however late their file comes and no state is kept.
-    """
-    path = shared_dir(spark, "hourly")
-    s = prepare(file_stream(spark, source, schema, max_files)).withColumn("hour_start", F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz"))
-    run_batches(s, path, shared_dir(spark, "checkpoint"), lambda b: b.groupBy("hour_start").agg(F.count("*").alias("txns"), F.sum(amount).alias("revenue")))
-    sums = spark.read.schema("hour_start timestamp_ntz, txns bigint, revenue double").parquet(f"{path}/batch=*")
-    now = sums.groupBy("hour_start").agg(F.sum("txns").alias("txns"), F.sum("revenue").alias("revenue"))
-    return now.select("hour_start", dates.business_date(F.col("hour_start")).alias("business_date"), "txns", F.round("revenue", 2).alias("revenue"))
+    return run(spark, source, schema, prepare, ts, amount, max_files=max_files)
 
 
 def deduplicated(spark: SparkSession, sources: list[str], schema, key: str, ts: str, max_files: int = 1000) -> DataFrame:
@@ -112,14 +104,6 @@ def compact(spark: SparkSession, path: str, schema, keys: list[str], order: list
 
 # --- batch counterparts ---
 
-def since_watermark(source: DataFrame, target: DataFrame, version: str, overlap: str = "1 day", lookback: str = "90 days") -> DataFrame:
-    """Source rows from the newest loaded version minus an overlap; on a first run, from the newest source row minus a lookback."""
-    seen = target.agg(F.max(version)).scalar()
-    newest = source.agg(F.max(version)).scalar()
-    return source.withColumns({"_seen": seen, "_new": newest}).filter(
-        F.col(version) >= F.coalesce(F.col("_seen") - F.expr(f"INTERVAL {overlap}"), F.col("_new") - F.expr(f"INTERVAL {lookback}"))).drop("_seen", "_new")
-
-
 def save_cursors(state: DataFrame, loaded: DataFrame, feed: str, cursor: str) -> DataFrame:
     """Cursor per feed after a load: the newest loaded position, never moving back."""
     new = loaded.groupBy(F.col(feed).alias("feed")).agg(F.max(cursor).alias("cursor"))

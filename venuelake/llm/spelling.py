@@ -251,8 +251,8 @@ def near_pairs(sig: np.ndarray, choice: np.ndarray, first: np.ndarray, last: np.
     return a[mine], b[mine]
 
 
-def links(rows: DataFrame) -> DataFrame:
-    """Near pairs (word, n, near, near_n) both ways from sorted signature rows, and the words of oversized groups (near is NULL, near_n the choice of parts)."""
+def links(rows: DataFrame, group: int = GROUP) -> DataFrame:
+    """Near pairs (word, n, near, near_n) both ways from sorted signature rows, and the words of groups over ``group`` (near is NULL)."""
     names = ["word", "n", "near", "near_n"]
 
     def compare(held: pa.Table):
@@ -288,7 +288,7 @@ def links(rows: DataFrame) -> DataFrame:
                 if cut:
                     yield compare_large(whole.slice(0, cut))
                 rest = whole.slice(cut)
-                if rest.num_rows > GROUP:
+                if rest.num_rows > group:
                     over = int(sig[-1])
                     yield spill(rest)
                     held, size = [], 0
@@ -298,13 +298,13 @@ def links(rows: DataFrame) -> DataFrame:
             yield compare_large(pa.Table.from_batches(held))
 
     def compare_large(whole: pa.Table):
-        """Groups over GROUP are passed on, the others compared."""
+        """Groups over ``group`` are passed on, the others compared."""
         sig = whole.column("sig").to_numpy()
         edges = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         count = np.diff(np.append(edges, len(sig)))
-        if count.max() <= GROUP:
+        if count.max() <= group:
             return compare(whole)
-        large = np.repeat(count > GROUP, count)
+        large = np.repeat(count > group, count)
         some = compare(whole.filter(pa.array(~large)))
         return pa.Table.from_batches([some, spill(whole.filter(pa.array(large)))]).combine_chunks().to_batches()[0]
 
@@ -342,10 +342,10 @@ def left_out(words: DataFrame) -> DataFrame:
     return keys.groupBy("sig").applyInArrow(compare, "word string, n long, near string, near_n long").distinct()
 
 
-def variants(docs: DataFrame, least: int = 5, occurrences: int = 3, ratio: int = 2, noise: int = 0, purpose: str = "spelling") -> DataFrame:
+def variants(docs: DataFrame, least: int = 5, occurrences: int = 3, ratio: int = 2, noise: int = 0, purpose: str = "spelling", group: int = GROUP) -> DataFrame:
     """word, form, root, n, n_near and form_n of every word."""
     words = stage(vocabulary(docs, least, occurrences, noise), f"{purpose}-words")
-    found = stage(links(keyed(words).repartition("sig").sortWithinPartitions("sig")), f"{purpose}-links")
+    found = stage(links(keyed(words).repartition("sig").sortWithinPartitions("sig"), group), f"{purpose}-links")
     large = found.where("near is null").select("word", "n").distinct()
     pairs = found.where("near is not null")
     if not large.isEmpty():

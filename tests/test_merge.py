@@ -90,3 +90,38 @@ def test_twins_of_earlier_batches_stay(spark):
     b = spark.createDataFrame([(D, "a", -1.0, "c", "auto", "V", "csv"), (D, "a!", -1.0, "c", "feed", "V", "batch1"), (D, "b", -2.0, "c", "auto", "V", "csv"), (D, "b!", -2.0, "c", "feed", "V", "batch2")], BANK)
     got = merge.drop_cross_source_twins(b, F.col("category_source") == "feed", F.col("source_file") == "batch2")
     assert sorted(r.description for r in got.collect()) == ["a", "a!", "b!"]
+
+
+def test_merge_touches_only_its_partitions(spark):
+    """Untouched partitions keep their files, a key that moves leaves its old partition, an emptied partition goes."""
+    from pathlib import Path
+
+    from venuelake.session import shared_dir
+    from venuelake.sources import sinks
+
+    schema = "id int, v int, part int"
+    path = shared_dir(spark, "parts")
+    sinks.write_days(spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, 1), (4, 1, 2), (5, 1, None)], schema), path, "part")
+    files = lambda: {str(f.relative_to(path)) for f in Path(path).rglob("*.parquet")}
+    before = files()
+    inc = spark.createDataFrame([(1, 2, 0), (3, 2, 5), (6, 2, 5), (6, 1, 5)], schema)
+    apply = lambda old, new: merge.upsert(old, new, ["id"], [F.desc("v")])
+    sinks.merge_partitions(spark, path, inc, "part", apply, moving=["id"])
+    got = sorted((r.id, r.v, r.part) for r in spark.read.schema(schema).parquet(path).collect())
+    assert got == [(1, 2, 0), (2, 1, 0), (3, 2, 5), (4, 1, 2), (5, 1, None), (6, 2, 5)]
+    kept = {f for f in before if f.startswith(("part=2/", "part=__HIVE"))}
+    assert len(kept) == 2 and kept <= files() and not any(f.startswith("part=1/") for f in files())
+    sinks.merge_partitions(spark, path, inc, "part", apply, moving=["id"])
+    assert sorted((r.id, r.v, r.part) for r in spark.read.schema(schema).parquet(path).collect()) == got
+
+
+def test_run_log_is_counted_while_writing(spark):
+    from venuelake.session import shared_dir
+    from venuelake.sources import sinks, status
+
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", None), ("c", None), ("x", 1)], "file string, v int")
+    path = shared_dir(spark, "observed")
+    log = sinks.load_observed(rows, F.col("v") > 0, path, ["a", "b", "c", "d"])
+    want = [("(run)", 4, 2, "partial_success"), ("a", 2, 0, "success"), ("b", 1, 1, "partial"), ("c", 0, 1, "error"), ("d", 0, 0, "skipped"), (None, 1, 0, "success")]
+    assert sorted(map(tuple, log.collect()), key=str) == sorted(want, key=str) and spark.read.parquet(path).count() == 4
+    assert sorted(map(tuple, status.run_log(status.run_counts(rows, F.col("v") > 0)).where("file in ('a', 'b', 'c')").collect())) == sorted(want[1:4])

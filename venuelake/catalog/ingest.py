@@ -175,9 +175,10 @@ def _(t):
   g AS (SELECT *, CASE WHEN rows > 0 AND errors = 0 THEN 'success' WHEN rows > 0 THEN 'partial' WHEN errors > 0 THEN 'error' ELSE 'skipped' END AS status FROM f)
   SELECT file, rows, errors, status FROM g UNION ALL SELECT '(run)', CAST(sum(rows) AS BIGINT), CAST(sum(errors) AS BIGINT), CASE WHEN count(*) FILTER (status IN ('error', 'partial')) = 0 THEN 'success' WHEN count(*) FILTER (status = 'success') > 0 THEN 'partial_success' ELSE 'failed' END FROM g""")
 def _(t):
+    """The seven files of a run, counted while their good rows are written."""
     b = t.bank.withColumn("file", F.col("source_file"))
     ok = (F.col("amount") != 0) & F.col("vendor_normalized").isNotNull()
-    return status.run_summary(b.filter(ok), b.filter(~ok), b)
+    return sinks.load_observed(b, ok, shared_dir(t.spark, "loaded"), [f"file_{i}" for i in range(1, 8)])
 
 
 _STATUS = """SELECT 'orders' AS "table", count(*) AS rows, max(processing_date) AS latest FROM v_orders UNION ALL SELECT 'bank', count(*), max(transaction_date) FROM v_bank UNION ALL SELECT 'cash', count(*), max(processing_date) FROM v_cash"""
@@ -236,10 +237,18 @@ def _(t):
 
 @query("snk_upsert_keys", merge_sql("SELECT order_id, server, total FROM v_orders WHERE voided IS NOT NULL", "SELECT order_id, 'new' AS server, -total AS total FROM v_orders WHERE tip > 20", ["order_id"], ["order_id", "server", "total"], "total"))
 def _(t):
-    """The merged table is written to the shared folder and read back."""
-    o = t.orders
-    inc = o.filter("tip > 20").select("order_id", F.lit("new").alias("server"), (-F.col("total")).alias("total"))
-    return sinks.stage(merge.upsert(o.filter("voided IS NOT NULL").select("order_id", "server", "total"), inc, ["order_id"], [F.asc("total")]), "upsert")
+    """A table stored by month; only the months of the incoming orders are read and replaced."""
+    o = t.orders.withColumn("month", F.trunc("processing_date", "month"))
+    inc = o.filter("tip > 20").select("order_id", F.lit("new").alias("server"), (-F.col("total")).alias("total"), "month")
+    return _merged(t, o.filter("voided IS NOT NULL").select(*inc.columns), inc, "month", lambda old, new: merge.upsert(old, new, ["order_id"], [F.asc("total")])).drop("month")
+
+
+def _merged(t, target, incoming, part, apply, moving=None):
+    """The stored table after a merge that touches only some of its partitions."""
+    path = shared_dir(t.spark, "table")
+    sinks.write_days(target, path, part)
+    sinks.merge_partitions(t.spark, path, incoming.select(*target.columns), part, apply, moving)
+    return sinks.read_days(t.spark, path, target, part)
 
 
 _REG_T = "SELECT CAST(check_id AS VARCHAR) AS check_number, customer AS payee, reason AS category, total AS amount FROM v_checks WHERE discount > 0"
@@ -288,6 +297,14 @@ def _(t):
     return merge.merge_bank_statement(*_bank_pair(t))
 
 
+@query("snk_merge_bank_csv_months", merge_sql(_BANK_T, _BANK_S, _BK, _BC, _BO, {c: _man(c) for c in ("category", "category_source", "vendor_normalized")}))
+def _(t):
+    """The same merge on a table stored by month."""
+    target, inc, order = _bank_pair(t)
+    by_month = lambda df: df.withColumn("month", F.trunc("transaction_date", "month"))
+    return _merged(t, by_month(target), by_month(inc), "month", lambda old, new: merge.merge_bank_statement(old, new, order)).drop("month")
+
+
 @query("snk_merge_bank_feed_b", merge_sql(_BANK_T, _BANK_S, _BK, _BC, _BO, {c: f"t.{c}" for c in ("transaction_date", "description", "amount", "transaction_type", "abs_amount")}, "t.category_source <> 'manual'"))
 def _(t):
     return merge.merge_bank_posted(*_bank_pair(t))
@@ -323,6 +340,15 @@ def _(t):
     return merge.merge_newest(r.filter("status_simple <> 'Seated'"), inc, "reservation_id", "updated", [F.asc("status_simple")])
 
 
+@query("snk_merge_reservations_months", merge_sql("SELECT reservation_id, status_simple, updated FROM v_reservations WHERE status_simple <> 'Seated'", "SELECT order_id AS reservation_id, 'Changed' AS status_simple, order_ts AS updated FROM v_items WHERE order_id % 50 = 0", ["reservation_id"], _RES, "updated DESC, status_simple", when="s.updated >= t.updated"))
+def _(t):
+    """Stored by month of the version: a newer version moves a reservation to another month."""
+    by_month = lambda df: df.withColumn("month", F.trunc("updated", "month"))
+    inc = t.items.filter("order_id % 50 = 0").select(F.col("order_id").alias("reservation_id"), F.lit("Changed").alias("status_simple"), F.col("order_ts").alias("updated"))
+    apply = lambda old, new: merge.merge_newest(old, new, "reservation_id", "updated", [F.asc("status_simple")])
+    return _merged(t, by_month(t.reservations.select(*_RES).filter("status_simple <> 'Seated'")), by_month(inc), "month", apply, ["reservation_id"]).drop("month")
+
+
 _RULE_T = "SELECT description AS keyword, min(category) AS category, min(vendor_normalized) AS vendor_normalized FROM v_bank WHERE description NOT LIKE 'Check%' GROUP BY 1"
 _RULE_S = "SELECT upper(description) AS keyword, max(category) AS category, 'edited' AS vendor_normalized FROM v_bank WHERE description LIKE 'C%' OR description LIKE 'T%' GROUP BY 1"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,15 +40,15 @@ def freshness(status: DataFrame, today: str, stale_days: dict[str, int], default
     return status.select("table", "latest", age.alias("age_days"), (age > limit).alias("stale"))
 
 
-def run_summary(loaded: DataFrame, rejected: DataFrame, expected: DataFrame) -> DataFrame:
-    """Per file status, rows and errors, with a run row on top.
+def run_counts(rows: DataFrame, ok: Column) -> DataFrame:
+    """file, rows and errors of each file from its rows with the test that a row must pass: one scan, one aggregate."""
+    good = F.coalesce(ok, F.lit(False))
+    return rows.groupBy("file").agg(F.count_if(good).alias("rows"), F.count_if(~good).alias("errors"))
 
-    ``loaded`` and ``rejected`` carry a ``file`` column; ``expected`` lists the files of the run.
-    """
-    ok = loaded.groupBy("file").agg(F.count("*").alias("rows"))
-    bad = rejected.groupBy("file").agg(F.count("*").alias("errors"))
-    f = expected.select("file").distinct().join(ok, "file", "left").join(bad, "file", "left").na.fill(0)
-    f = f.withColumn("status", F.when((F.col("rows") > 0) & (F.col("errors") == 0), "success").when(F.col("rows") > 0, "partial").when(F.col("errors") > 0, "error").otherwise("skipped"))
+
+def run_log(counts: DataFrame) -> DataFrame:
+    """Status, rows and errors of each file (``file``, ``rows``, ``errors``), with a run row on top."""
+    f = counts.withColumn("status", F.when((F.col("rows") > 0) & (F.col("errors") == 0), "success").when(F.col("rows") > 0, "partial").when(F.col("errors") > 0, "error").otherwise("skipped"))
     good, fail = F.count_if(F.col("status") == "success"), F.count_if(F.col("status").isin("error", "partial"))
     run = f.agg(F.sum("rows").alias("rows"), F.sum("errors").alias("errors"), good.alias("g"), fail.alias("b")).select(
         F.lit("(run)").alias("file"), "rows", "errors", F.when(F.col("b") == 0, "success").when(F.col("g") > 0, "partial_success").otherwise("failed").alias("status"))

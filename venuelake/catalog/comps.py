@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import rulebook as rb
 from ..plans import audit, comps as cp, reservations as rv
+from ..sources import sinks
 from .classifiers import ALIASES, BOTTLE_SQL, CAP_HIT_SQL, CAPS, ITEM_SQL, OWNER_SQL, OWNER_WORDS, PREMIUM_SQL, PRICES, REASON_SQL, RETAIL_SQL, TAB_SQL, caps, price_tables
 from .registry import query
 
@@ -35,6 +36,15 @@ def comp_rows(t):
     return cp.comp_checks(t.checks, t.check_items, house(t))
 
 
+def shared_comps(t):
+    """For reports that read the checks several times."""
+    return sinks.stage(comp_rows(t), "comps")
+
+
+def shared_log(t):
+    return sinks.stage(elog(t), "enriched-log")
+
+
 def elog(t):
     return cp.enriched_log(t.check_items, t.checks, t.payments.filter(F.col("status").isin(*["CAPTURED", "AUTHORIZED", "CAPTURE_IN_PROGRESS"])), house(t))
 
@@ -103,7 +113,7 @@ def _(t):
   SELECT 'uncategorized' AS flag, CAST(check_id AS VARCHAR) AS key, server, amount FROM cc WHERE bucket IN {UNCAT}
   UNION ALL SELECT 'server_outlier', 'SERVER_OUTLIER', server, discretionary FROM s, md WHERE discretionary > 1.1 * m AND discretionary > 250""")
 def _(t):
-    return cp.flags(comp_rows(t), "Bottle Manager", factor=1.1)
+    return cp.flags(shared_comps(t), "Bottle Manager", factor=1.1)
 
 
 @query("rep_comp_items", f"""WITH {EL} SELECT item_selection_id, check_id, menu_item, discount, bucket, premium, bottle, owner, cap_key, retail_price,
@@ -170,7 +180,7 @@ RS = f"""rs AS (SELECT ro.server, ro.role, coalesce(comp_count, 0) AS comp_count
 
 @query("rep_comp_roster", f"WITH {CC}, {SV}, {RS} SELECT rs.*, m AS peer_median, round(discretionary - m, 2) AS vs_median FROM rs, rm")
 def _(t):
-    return cp.roster_scores(cp.by_server(comp_rows(t)), roster(t))
+    return cp.roster_scores(sinks.stage(cp.by_server(comp_rows(t)), "servers"), roster(t))
 
 
 @query("rep_comp_roster_waterfall", f"""
@@ -185,7 +195,8 @@ def _(t):
   WITH {CC}, {HL}, {EL2}, {CP}, {PM} SELECT (SELECT round(sum(foregone), 2) FROM pm) AS foregone, (SELECT CAST(sum(house_comped) AS BIGINT) FROM pm) AS house_comped, (SELECT round(sum(clawback), 2) FROM cw) AS clawback, (SELECT count(*) FROM cw WHERE over_cap) AS cap_breaches, uncategorized,
     total_pct >= 5 OR discretionary_pct >= 3 OR manager_pct > 1 OR recovery_pct > 1 OR uncategorized > 500 OR (SELECT count(*) FROM cw WHERE over_cap OR premium_bottles > 0) > 0 AS alert FROM hl""")
 def _(t):
-    return cp.risk(head(t), cap_rows(t), movement(t))
+    log = shared_log(t)
+    return cp.risk(head(t), cp.caps(log, house(t), "sun_brunch"), cp.premium_movement(log, *price_tables(t)))
 
 
 @query("rep_comp_actions", f"""
@@ -196,8 +207,8 @@ def _(t):
   UNION ALL SELECT 'uncategorized', CAST(count(*) AS VARCHAR), round(sum(amount), 2), '' FROM cc WHERE bucket IN {UNCAT} HAVING count(*) > 0
   UNION ALL SELECT * FROM (SELECT 'foregone', menu_item, foregone, '' FROM pm WHERE house_comped > 0 AND foregone >= 500 ORDER BY foregone DESC, menu_item LIMIT 3)""")
 def _(t):
-    c, e = comp_rows(t), elog(t)
-    return cp.actions(cp.roster_scores(cp.by_server(c), roster(t)), e, cp.caps(e, house(t), "sun_brunch"), c, cp.premium_movement(e, *price_tables(t)))
+    c, e = shared_comps(t), shared_log(t)
+    return cp.actions(cp.roster_scores(sinks.stage(cp.by_server(c), "servers"), roster(t)), e, cp.caps(e, house(t), "sun_brunch"), c, cp.premium_movement(e, *price_tables(t)))
 
 
 COST = [("Food", 0.32), ("Liquor", 0.22), ("Beer", 0.25), ("Wine", 0.3), ("Hookah", 0.1)]
@@ -325,6 +336,11 @@ def program(t):
     return t.rows(rb.BIRTHDAY_PROGRAM, "dow int, word string, mode string")
 
 
+#: What this venue's own tabs hold or are called.
+HOUSE_WORDS = ["owner_a", "owner_b", "host stand", "wycliffe", "tasting", "distributor"]
+HOUSE_TABS = ["door", "dnl"]
+
+
 def recon(t):
     return rv.reconcile(t.reservations, t.check_items, t.checks, t.payments, program(t))
 
@@ -350,7 +366,7 @@ def _(t):
   WITH {RV} SELECT date, check_number, item_selection_id, menu_item, tab_name, gross_price FROM rg WHERE comped AND NOT {_W('tab_name', ['owner_a', 'owner_b', 'host stand', 'wycliffe', 'tasting', 'distributor'])} AND lower(tab_name) NOT IN ('door', 'dnl')
     AND NOT EXISTS (SELECT 1 FROM us WHERE us.date = rg.date AND us.cn = rg.check_number)""")
 def _(t):
-    return rv.ghosts(t.reservations, t.check_items, t.checks, program(t), ["owner_a", "owner_b"])
+    return rv.ghosts(t.reservations, t.check_items, t.checks, program(t), HOUSE_WORDS, HOUSE_TABS)
 
 
 @query("rep_reservation_ghosts_pattern", f"WITH {RV} SELECT menu_item, tab_name, count(*) AS n, round(sum(gross_price), 2) AS gross FROM rg WHERE cost_basis AND bday_tab GROUP BY 1, 2")

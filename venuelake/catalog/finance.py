@@ -10,6 +10,7 @@ from ..functions import dates
 from ..operators import joins
 from ..plans import finance as fin
 from ..plans import insights as ins
+from ..sources import sinks
 from .registry import ORACLES, QUERIES, query
 from .relational import WINDOW_SQL, WINDOWS
 
@@ -312,8 +313,8 @@ def ev_costs(t):
     return fin.vendor_event_costs(t.bank, t.rows(VENDOR_MAP, "keyword string, priority int, events array<string>"), ["promoter", "event"])
 
 
-def ev_grid(t):
-    return fin.event_grid(ev_rev(t), ev_costs(t), t.bank, t.rows(SHARES, "event string, pct double"), ["/rent", "insurance"], ["payroll"], ["security", "contract labor"], 2000.0)
+def ev_grid(t, costs=None):
+    return fin.event_grid(ev_rev(t), costs if costs is not None else ev_costs(t), t.bank, t.rows(SHARES, "event string, pct double"), ["/rent", "insurance"], ["payroll"], ["security", "contract labor"], 2000.0)
 
 
 @query("rep_event_revenue", f"WITH {EV} SELECT * FROM ev")
@@ -784,4 +785,5 @@ def _(t):
   UNION ALL SELECT * FROM (SELECT 'top_revenue', 'info', event, adj_revenue::DOUBLE FROM e ORDER BY adj_revenue DESC, event LIMIT 1)
   UNION ALL SELECT * FROM (SELECT 'most_efficient', 'info', event, round(ratio * 100, 1)::DOUBLE FROM r ORDER BY ratio, event LIMIT 1)""")
 def _(t):
-    return ins.event_insights(fin.event_roi(ev_grid(t)), fin.event_unattributed(ev_costs(t)))
+    costs = sinks.stage(ev_costs(t), "event-costs")
+    return ins.event_insights(sinks.stage(fin.event_roi(ev_grid(t, costs)), "event-roi"), fin.event_unattributed(costs))

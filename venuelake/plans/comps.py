@@ -21,6 +21,7 @@ from ..operators.filters import item_log
 from ..operators.joins import align_periods
 from ..operators.orderstats import upper_median
 from ..operators.windows import latest_per_key, top_per_key
+from ..sources.sinks import stage
 
 R2 = lambda c: F.round(c, 2)
 
@@ -56,7 +57,8 @@ def comp_checks(checks: DataFrame, items: DataFrame, house: House) -> DataFrame:
         F.max(F.when(b.isNotNull() & (F.col("discount") > 0), F.struct("discount", "menu_item"))).alias("_top"))
     c = checks.filter(F.col("discount") > 0).select("check_id", "processing_date", "server", "reason", F.col("discount").alias("amount"))
     c = c.join(per, "check_id", "left").withColumn("top_item", F.col("_top.menu_item")).drop("_top")
-    c = cl.match_cap(c, house.caps)
+    # The matcher reads its rows twice, for the texts and for the answers.
+    c = cl.match_cap(stage(c, "comp-checks"), house.caps)
     tab = cl.comp_tab(F.col("tab_name"), house.owner_words, F.col("cap_key"))
     return c.withColumns({"reason_bucket": cl.comp_reason(F.col("reason")), "tab_bucket": tab, "item_bucket": cl.comp_item(F.col("top_item"))}).withColumn(
         "bucket", cl.comp_final(F.col("tab_bucket"), F.col("item_bucket"), F.col("reason_bucket")))
@@ -111,7 +113,7 @@ def mismatches(comps: DataFrame) -> DataFrame:
 
 
 def flags(comps: DataFrame, pool: str, floor: float = 250.0, factor: float = 1.5) -> DataFrame:
-    """Uncategorized checks, and servers far above the median discretionary amount."""
+    """Uncategorized checks, and servers far above the median discretionary amount. ``comps`` is read several times: give a stored frame."""
     open_ = comps.filter(F.col("bucket").isin(rb.UNCATEGORIZED)).select(F.lit("uncategorized").alias("flag"), F.col("check_id").cast("string").alias("key"), "server", "amount")
     s = by_server(comps).filter(F.col("server") != pool)
     median = upper_median(s.filter("discretionary > 0"), [], "discretionary").scalar()
@@ -123,7 +125,7 @@ def enriched_log(items: DataFrame, checks: DataFrame, payments: DataFrame, house
     """Item log with reason, bucket, flags, owner, cap, retail price and what the check collected."""
     l = log(items, house).join(checks.select("check_id", F.when(F.col("discount") > 0, F.col("reason")).alias("reason")), "check_id", "left")
     paid = payments.groupBy("check_id").agg(F.sum("amount").alias("collected"))
-    l = cl.with_retail_price(cl.match_cap(l.join(paid, "check_id", "left"), house.caps), house.prices, house.aliases)
+    l = cl.with_retail_price(cl.match_cap(stage(l.join(paid, "check_id", "left"), "item-log"), house.caps), house.prices, house.aliases)
     tab = cl.comp_tab(F.col("tab_name"), house.owner_words, F.col("cap_key")) if use_tab else F.lit(None).cast("string")
     l = l.withColumns({"collected": F.coalesce("collected", F.lit(0.0)), "bucket": cl.comp_final(tab, cl.comp_item(F.col("menu_item")), F.coalesce(cl.comp_reason(F.col("reason")), F.lit("other"))),
                        "premium": cl.is_premium(F.col("menu_item")), "bottle": cl.is_bottle(F.col("menu_item"), F.col("sales_category"), F.col("gross_price")),

@@ -23,6 +23,7 @@ from ..operators.classify import budget_status_pct, budget_status_ratio, cost_bu
 from ..operators.joins import align_periods, restrict_to_top
 from ..operators.orderstats import top_shares
 from ..operators.rules import any_match_sums, first_match
+from ..sources.sinks import stage
 
 R2 = lambda c: F.round(c, 2)
 COST_GROUPS = {"cogs": rb.COGS_WORDS, "labor_gross": rb.LABOR_WORDS, "marketing": rb.MARKETING_WORDS, "opex": rb.OPEX_WORDS}
@@ -341,17 +342,20 @@ def monthly_costs(bank: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
 
 
 def event_grid(revenue, costs, bank, shares, shared_words, labor_words, ops_words, fixed_labor: float) -> DataFrame:
-    """(event, month) with revenue and the four cost kinds."""
+    """(event, month) with revenue and the four cost kinds. Revenue and the months' costs, a row for each month or event of one, are stored and read again."""
+    revenue = stage(revenue, "event-revenue")
     costs_m = monthly_costs(bank, {"shared": shared_words, "gross": labor_words, "ops": ops_words})
-    shared = allocate_by_revenue(revenue, costs_m.filter("shared <> 0"), "shared", "shared_costs")
-    passed = revenue.groupBy("month").agg(R2(F.sum(F.col("tips") + F.col("gratuity") - F.col("grat_retained"))).alias("passed"))
-    labor = align_periods(costs_m.filter("gross <> 0").select("month", "gross"), passed, "month")
-    variable = F.greatest(F.greatest(F.col("gross") - F.col("passed"), F.lit(0.0)) - fixed_labor, F.lit(0.0))
-    labor = allocate_by_pct(labor, variable, shares, "labor_costs")
-    ops = allocate_by_pct(costs_m.filter("ops <> 0"), F.col("ops"), shares, "ops_costs")
+    of_month = revenue.groupBy("month").agg(F.sum("adj_revenue").alias("_t"), R2(F.sum(F.col("tips") + F.col("gratuity") - F.col("grat_retained"))).alias("passed"))
+    months = stage(costs_m.join(of_month, "month", "full_outer"), "event-months")
     k = ["event", "month"]
-    g = revenue.select(*k, "net_sales", "adj_revenue", "nights", "txns").join(event_direct(costs).select(*k, "direct_costs"), k, "full_outer")
-    g = g.join(shared, k, "full_outer").join(labor, k, "full_outer").join(ops, k, "full_outer").na.fill(0)
+    none = F.lit(0.0)
+    variable = F.greatest(F.greatest(F.coalesce("gross", none) - F.coalesce("passed", none), none) - fixed_labor, none)
+    s = shares.agg(F.collect_list(F.struct("event", "pct"))).scalar()
+    spread = months.filter("gross <> 0 OR ops <> 0 OR passed IS NOT NULL").withColumn("_s", s).withColumn("_e", F.explode("_s")).select(
+        F.col("_e.event").alias("event"), "month", R2(variable * F.col("_e.pct")).alias("labor_costs"), R2(F.coalesce("ops", none) * F.col("_e.pct")).alias("ops_costs"))
+    by_revenue = F.when((F.col("shared") != 0) & (F.col("_t") > 0), F.col("shared") * F.col("adj_revenue") / F.col("_t")).otherwise(none)
+    g = revenue.join(months.select("month", "shared", "_t"), "month", "left").select(*k, "net_sales", "adj_revenue", "nights", "txns", R2(by_revenue).alias("shared_costs"))
+    g = g.join(event_direct(costs).select(*k, "direct_costs"), k, "full_outer").join(spread, k, "full_outer").na.fill(0)
     g = g.withColumn("total_costs", R2(F.col("direct_costs") + F.col("shared_costs") + F.col("labor_costs") + F.col("ops_costs")))
     g = g.withColumn("net", R2(F.col("adj_revenue") - F.col("total_costs")))
     return g.withColumn("margin_pct", F.round(F.when(F.col("adj_revenue") > 0, F.col("net") / F.col("adj_revenue") * 100).otherwise(0.0), 1))

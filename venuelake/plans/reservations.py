@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import rulebook as rb
 from ..functions.numbers import pct
 from ..functions.text import contains_any, int_list
+from ..sources.sinks import stage
 
 R2 = lambda c: F.round(c, 2)
 ONE_CENT = 0.01
@@ -41,10 +42,10 @@ def check_spend(checks: DataFrame, payments: DataFrame) -> DataFrame:
     return checks.select("check_id", "processing_date", "check_number").join(paid, ["check_id", "processing_date"], "left").groupBy(F.col("processing_date").alias("date"), "check_number").agg(F.coalesce(F.sum("paid"), F.lit(0.0)).alias("paid"))
 
 
-def matched_checks(reservations: DataFrame, rings: DataFrame, program: DataFrame) -> DataFrame:
-    """(date, check_number) accounted for: the checks of registered reservations, and all checks
+def matched_checks(birthdays: DataFrame, rings: DataFrame, program: DataFrame) -> DataFrame:
+    """(date, check_number) accounted for: the checks of registered birthday reservations, and all checks
     whose birthday tab names a registered guest on a program day."""
-    res = birthday_reservations(reservations).filter(F.col("registered") & (F.size("checks") > 0))
+    res = birthdays.filter(F.col("registered") & (F.size("checks") > 0))
     own = res.select("date", F.explode("checks").alias("check_number"))
     named = res.join(program.select(F.col("dow").alias("_dow")), "_dow", "left_semi").select("date", F.lower(F.trim("first_name")).alias("party")).distinct()
     tabbed = rings.join(named, ["date", "party"], "left_semi").filter("check_number IS NOT NULL").select("date", "check_number")
@@ -53,19 +54,21 @@ def matched_checks(reservations: DataFrame, rings: DataFrame, program: DataFrame
 
 def reconcile(reservations, items, checks, payments, program: DataFrame, min_spend: float = rb.PACKAGE_MIN_SPEND) -> DataFrame:
     """Delivery status per birthday reservation. ``program``: dow, word, mode."""
-    res = birthday_reservations(reservations).join(program.select(F.col("dow").alias("_dow"), "word", "mode"), "_dow", "left")
-    rings = champagne_rings(items, checks).withColumnRenamed("processing_date", "date")
-    ex = res.filter(F.col("registered")).select("reservation_id", "date", "word", "mode", F.explode("checks").alias("check_number"))
-    spend = ex.join(check_spend(checks, payments), ["date", "check_number"], "left").groupBy("reservation_id").agg(R2(F.coalesce(F.sum("paid"), F.lit(0.0))).alias("spend"))
-    low = F.lower("menu_item")
-    hit = F.contains(low, F.col("word"))
+    birthdays = stage(birthday_reservations(reservations).select("reservation_id", "date", "first_name", "checks", "registered", "_dow"), "birthdays")
+    res = birthdays.join(program.select(F.col("dow").alias("_dow"), "word", "mode"), "_dow", "left")
+    rings = stage(champagne_rings(items, checks).withColumnRenamed("processing_date", "date"), "rings")
+    ex = res.filter(F.col("registered")).select("reservation_id", "date", "word", "mode", F.posexplode("checks").alias("place", "check_number"))
+    hit = F.contains(F.lower("menu_item"), F.col("word"))
     good = hit & F.when(F.col("mode") == "comped", F.col("comped")).when(F.col("mode") == "cost_basis", F.col("cost_basis")).otherwise(F.lit(True))
-    on_check = ex.join(rings.select("date", "check_number", "menu_item", "comped", "cost_basis"), ["date", "check_number"]).groupBy("reservation_id").agg(
-        F.count("*").alias("rings"), F.count_if(F.coalesce(good, F.lit(False))).alias("good"))
+    # One row per listed check with what it paid and rang, then one per reservation.
+    listed = ex.join(check_spend(checks, payments), ["date", "check_number"], "left").join(
+        rings.select("date", "check_number", "menu_item", "comped", "cost_basis"), ["date", "check_number"], "left").groupBy("reservation_id", "place").agg(
+        F.max("paid").alias("paid"), F.count("menu_item").alias("rings"), F.count_if(F.col("menu_item").isNotNull() & F.coalesce(good, F.lit(False))).alias("good"))
+    on_checks = stage(listed.groupBy("reservation_id").agg(R2(F.coalesce(F.sum("paid"), F.lit(0.0))).alias("spend"), F.sum("rings").alias("rings"), F.sum("good").alias("good")), "reservation-checks")
     tabs = rings.filter(F.col("party").isNotNull()).groupBy("date", "party").agg(F.max("tab_name").alias("tab"))
-    x = res.withColumn("party", F.lower(F.trim("first_name"))).join(tabs, ["date", "party"], "left").join(spend, "reservation_id", "left").join(on_check, "reservation_id", "left")
+    x = res.withColumn("party", F.lower(F.trim("first_name"))).join(tabs, ["date", "party"], "left").join(on_checks, "reservation_id", "left")
     x = x.na.fill({"spend": 0.0, "rings": 0, "good": 0})
-    used = matched_checks(reservations, rings, program)
+    used = stage(matched_checks(birthdays, rings, program), "used-checks")
     # Pass 2: comped or cost-basis rings on birthday tabs of unused checks, one row per date and item word.
     spare = rings.filter((F.col("comped") | F.col("cost_basis")) & F.col("bday_tab")).join(used, ["date", "check_number"], "left_anti")
     words = program.select("word").distinct().agg(F.collect_list("word")).scalar()
@@ -93,13 +96,14 @@ def rates(recon: DataFrame) -> DataFrame:
     return g.withColumns({"delivery_rate": pct(F.col("delivered"), F.col("eligible")), "attributed_rate": pct(F.col("attributed"), F.col("eligible"))})
 
 
-def ghosts(reservations, items, checks, program: DataFrame, owner_words: list[str]) -> DataFrame:
-    """Fully comped rings with no reservation behind them, owner and marketing tabs left out."""
+def ghosts(reservations, items, checks, program: DataFrame, house_words: list[str], house_tabs: list[str]) -> DataFrame:
+    """Fully comped rings with no reservation behind them. Tabs that hold one of ``house_words`` or are one of ``house_tabs`` are the house's own."""
     t = F.lower(F.coalesce("tab_name", F.lit("")))
-    house = contains_any(t, [*owner_words, "host stand", "wycliffe", "tasting", "distributor"]) | t.isin("door", "dnl")
-    rings = champagne_rings(items, checks).withColumnRenamed("processing_date", "date")
+    house = contains_any(t, house_words) | t.isin(house_tabs)
+    rings = stage(champagne_rings(items, checks).withColumnRenamed("processing_date", "date"), "rings")
+    birthdays = stage(birthday_reservations(reservations).select("date", "first_name", "checks", "registered", "_dow"), "birthdays")
     r = rings.filter(F.col("comped") & F.col("check_number").isNotNull() & ~house)
-    return r.join(matched_checks(reservations, rings, program), ["date", "check_number"], "left_anti").select("date", "check_number", "item_selection_id", "menu_item", "tab_name", "gross_price")
+    return r.join(matched_checks(birthdays, rings, program), ["date", "check_number"], "left_anti").select("date", "check_number", "item_selection_id", "menu_item", "tab_name", "gross_price")
 
 
 def cost_basis_pattern(items, checks) -> DataFrame:

@@ -11,6 +11,7 @@ from ..operators import joins
 from ..plans import finance as fin
 from ..plans import insights as ins
 from ..sources import sinks
+from .oracle_tables import with_tables
 from .registry import ORACLES, QUERIES, query
 from .relational import WINDOW_SQL, WINDOWS
 
@@ -777,6 +778,32 @@ def _(t):
     return ins.budget_insights(fin.budget_totals(t.orders, t.bank, 15.0), lines(t), subs, 15.0)
 
 
+@query("rep_insights_kpi_trend", f"""
+  SELECT * FROM {_of("rep_insights_kpi")} i UNION ALL SELECT metric || '_trend', CASE trend WHEN 'rising' THEN 'warning' ELSE 'good' END, trend, NULL::DOUBLE FROM {_of("rep_kpi_scorecard_trend")} t
+  WHERE (metric = 'cogs_pct' AND trend = 'rising') OR (metric = 'labor_pct' AND trend IN ('rising', 'falling'))""")
+def _(t):
+    found = QUERIES["rep_insights_kpi"](t.spark, t.sf_dir)
+    return found.unionByName(ins.trend_insights(QUERIES["rep_kpi_scorecard_trend"](t.spark, t.sf_dir)))
+
+
+_SUB_RULES = [(i, w, k) for i, (k, w) in enumerate((k, w) for k, ws in SUB_WORDS for w in ws)]
+_SUB_TAG = "SELECT v.*, (SELECT arg_min(key, priority) FROM (VALUES " + ", ".join(f"({i}, '{w}', '{k}')" for i, w, k in _SUB_RULES) + ") AS gr(priority, keyword, key) WHERE contains(lower(v.category), keyword)) AS key FROM"
+_BEHIND = "SELECT key, string_agg(vendor_normalized || ' ' || CAST(CAST(round(amount) AS BIGINT) AS VARCHAR), ', ' ORDER BY rank) AS vendors FROM ({}) WHERE rank <= 3 GROUP BY 1"
+_DETAIL = "SELECT {key} AS key, {sev} AS severity, {pp} AS variance_pct, CASE WHEN variance > 0 THEN variance ELSE 0 END AS over, CASE WHEN variance < 0 THEN -variance ELSE 0 END AS headroom, CASE WHEN status <> 'under_budget' THEN b.vendors END AS vendors FROM {lines} l LEFT JOIN ({behind}) b ON b.key = l.key"
+_SUB_TOP = f"SELECT key, vendor_normalized, amount, row_number() OVER (PARTITION BY key ORDER BY amount DESC, vendor_normalized, category) AS rank FROM ({_SUB_TAG} ({VT_SQL}) v) WHERE key IS NOT NULL"
+
+
+@query("rep_insights_budget_detail", _DETAIL.format(key="l.key", sev=_SEV, pp="variance_pct", lines=_of("rep_budget_lines"), behind=_BEHIND.format(ORACLES["rep_budget_lines_vendors"])) + " UNION ALL "
+       + _DETAIL.format(key="'sub_' || l.key", sev=_SEV, pp="round(actual_pct - target_pct, 1)", lines=_of("rep_budget_sublines"), behind=_BEHIND.format(with_tables(_SUB_TOP))) + " WHERE status IN ('over_budget', 'watch')")
+def _(t):
+    """Budget lines, and the sublines over or near their target, with percentage points, money and vendors."""
+    rules = lambda rows: t.rows(rows, "priority int, keyword string, key string")
+    subs = QUERIES["rep_budget_sublines"](t.spark, t.sf_dir).withColumn("variance_pct", F.round(F.col("actual_pct") - F.col("target_pct"), 1)).filter(F.col("status").isin("over_budget", "watch"))
+    main = ins.budget_details(lines(t), fin.line_vendors(t.bank, rules(GROUP_RULES)))
+    sub = ins.budget_details(subs, fin.line_vendors(t.bank, rules(_SUB_RULES)))
+    return main.unionByName(sub.withColumn("key", F.concat(F.lit("sub_"), "key")))
+
+
 @query("rep_insights_event", f"""
   WITH e AS (SELECT * FROM {_of("rep_event_roi")} x WHERE event <> '(all)'), c AS (SELECT * FROM e WHERE total_costs > 0), r AS (SELECT *, total_costs / adj_revenue AS ratio FROM c WHERE adj_revenue > 0)
   SELECT 'unattributed' AS key, 'warning' AS severity, CAST(vendors AS VARCHAR) AS subject, CAST(amount AS DOUBLE) AS value FROM (SELECT round(sum(amount), 2) AS amount, count(*) AS vendors FROM {_of("rep_event_unattributed")} u) WHERE amount > 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import sales
-from .registry import query
+from .registry import ORACLES, query
 from .relational import EVENT_SQL, event_rows
 
 _BD = "CAST({} - INTERVAL 4 HOUR AS DATE)"
@@ -309,3 +309,18 @@ def _(t):
   UNION ALL SELECT 'cash_share', 'info', '', round(sum(amount) FILTER (type = 'Cash') / sum(amount) * 100, 1) FROM p""")
 def _(t):
     return sales.insights(t.orders, t.payments, t.items, "1998-06-01")
+
+
+@query("rep_insights_weekly", f"""
+  WITH w AS ({WOW}), s AS ({TOP15}), f AS (SELECT * FROM s ORDER BY revenue DESC, server LIMIT 1),
+  it AS (SELECT menu_item, sum(qty) AS q, round(sum(net_price), 2) AS r FROM v_items WHERE {_KEPT} GROUP BY 1), bs AS (SELECT menu_item FROM it ORDER BY q DESC, menu_item LIMIT 1), br AS (SELECT menu_item, r FROM it ORDER BY r DESC, menu_item LIMIT 1),
+  op AS (SELECT coalesce(nullif(trim(split_part(dining_options, ',', 1)), ''), 'Unknown') AS option, count(DISTINCT order_id) AS n FROM v_orders WHERE {_KEPT} GROUP BY 1),
+  dn AS (SELECT * FROM op WHERE contains(lower(option), 'dine') ORDER BY n DESC, option LIMIT 1)
+  SELECT * FROM ({ORACLES["rep_insights"]})
+  UNION ALL SELECT 'top_account', 'info', CASE WHEN contains(lower(server), 'bottle manager') THEN 'pool' WHEN contains(lower(server), 'srv_3') THEN 'manager' ELSE 'server' END, revenue FROM f
+  UNION ALL SELECT 'share_techniques', 'info', server, revenue FROM f WHERE NOT contains(lower(server), 'bottle manager') AND NOT contains(lower(server), 'srv_3') AND (SELECT count(*) FROM s) > 1 AND revenue > 1.5 * (SELECT avg(revenue) FROM s)
+  UNION ALL SELECT 'top_revenue_item', 'info', br.menu_item, br.r FROM br, bs WHERE br.menu_item <> bs.menu_item
+  UNION ALL SELECT 'dine_in_share', 'info', dn.option, round(dn.n / (SELECT count(DISTINCT order_id) FROM v_orders WHERE {_KEPT}) * 100, 1) FROM dn WHERE EXISTS (SELECT 1 FROM op WHERE contains(lower(option), 'take'))
+  UNION ALL SELECT 'growing_orders', 'info', '', orders_pct FROM w WHERE orders > 0 AND orders_pct > 0""")
+def _(t):
+    return sales.weekly_insights(t.orders, t.payments, t.items, "1998-06-01", ["srv_3"], ["Bottle Manager"])

@@ -44,6 +44,24 @@ def budget_insights(totals: DataFrame, lines: DataFrame, sublines: DataFrame, ta
     return overall.unionByName(main).unionByName(_rows(late, F.concat(F.lit("sub_"), "key"), _severity(F.col("status")), F.col("status"), F.col("variance")))
 
 
+def trend_insights(trends: DataFrame) -> DataFrame:
+    """Costs that moved one way over three months (``metric``, ``trend``): a rising share of goods or labor is a warning, a falling labor share good."""
+    t = trends.filter(((F.col("metric") == "cogs_pct") & (F.col("trend") == "rising")) | ((F.col("metric") == "labor_pct") & F.col("trend").isin("rising", "falling")))
+    return _rows(t, F.concat(F.col("metric"), F.lit("_trend")), F.when(F.col("trend") == "rising", "warning").otherwise("good"), F.col("trend"), F.lit(None))
+
+
+def budget_details(lines: DataFrame, vendors: DataFrame, n: int = 3) -> DataFrame:
+    """Each line with its distance from the target in percentage points and money, and the ``n`` vendors behind it.
+
+    ``lines``: key, status, variance, variance_pct. ``vendors``: key, rank, vendor_normalized, amount. A line under its target names no vendors.
+    """
+    named = vendors.filter(F.col("rank") <= n).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("rank", F.concat("vendor_normalized", F.lit(" "), F.round("amount").cast("bigint").cast("string")).alias("text")))).alias("v"))
+    x = lines.join(named, "key", "left")
+    under = F.col("status") == "under_budget"
+    return x.select("key", _severity(F.col("status")).alias("severity"), "variance_pct", F.when(F.col("variance") > 0, F.col("variance")).otherwise(0.0).alias("over"),
+                    F.when(F.col("variance") < 0, -F.col("variance")).otherwise(0.0).alias("headroom"), F.when(~under, F.array_join(F.transform("v", lambda e: e["text"]), ", ")).alias("vendors"))
+
+
 def event_insights(roi: DataFrame, unattributed: DataFrame) -> DataFrame:
     """Unmapped costs, the events with the highest and lowest return, the most revenue and the lowest share of costs. Ties go to the first name."""
     events = roi.filter("event <> '(all)'")

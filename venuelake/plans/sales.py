@@ -393,3 +393,30 @@ def insights(orders: DataFrame, payments: DataFrame, items: DataFrame, week: str
     for part in (check, best, worst, top, tip, seller, party, cash):
         out = out.unionByName(part)
     return out
+
+
+def weekly_insights(orders: DataFrame, payments: DataFrame, items: DataFrame, week: str, managers: list[str] = (), pools: list[str] = (), lead: float = 1.5) -> DataFrame:
+    """The findings of ``insights`` and those that compare reports: the kind of the top account, its lead over the mean of the listed servers, the item that
+    earns most if it isn't the best seller, the share of dine-in orders where there are both kinds, and growing order numbers.
+
+    ``managers`` and ``pools`` are parts of names, without regard to case; neither is asked to share techniques.
+    """
+    one = lambda df, key, severity, subject, value: df.select(F.lit(key).alias("key"), F.lit(severity).alias("severity"), subject.alias("subject"), value.cast("double").alias("value"))
+    listed = top_servers(orders).agg(F.avg("revenue").alias("mean"), F.count("*").alias("n"))
+    first = top_servers(orders, 1).withColumn("_l", listed.select(F.struct("mean", "n")).scalar())
+    pooled, manages = contains_any(F.col("server"), list(pools)), contains_any(F.col("server"), list(managers))
+    kind = F.when(pooled, "pool").when(manages, "manager").otherwise("server")
+    parts = [one(first, "top_account", "info", kind, F.col("revenue")),
+             one(first.filter(~pooled & ~manages & (F.col("_l.n") > 1) & (F.col("revenue") > F.col("_l.mean") * lead)), "share_techniques", "info", F.col("server"), F.col("revenue"))]
+    sold = items.filter(not_voided(F.col("voided"))).groupBy("menu_item").agg(F.sum("qty").alias("quantity"), R2(F.sum("net_price")).alias("revenue"))
+    best = sold.agg(F.min(F.struct((-F.col("quantity")).alias("q"), "menu_item")).alias("s"), F.min(F.struct((-F.col("revenue")).alias("r"), "menu_item")).alias("e"))
+    parts.append(one(best.filter(F.col("s.menu_item") != F.col("e.menu_item")), "top_revenue_item", "info", F.col("e.menu_item"), -F.col("e.r")))
+    options = order_metrics(orders).withColumn("low", F.lower("option"))
+    most = lambda word: F.min(F.when(F.col("low").contains(word), F.struct((-F.col("orders")).alias("n"), F.col("option").alias("option"))))
+    shares = options.agg(most("dine").alias("d"), most("take").alias("t"), F.max(F.when(F.col("option") == "(all)", F.col("orders"))).alias("n"))
+    parts.append(one(shares.filter("d IS NOT NULL AND t IS NOT NULL AND n > 0"), "dine_in_share", "info", F.col("d.option"), F.round(-F.col("d.n") / F.col("n") * 100, 1)))
+    parts.append(one(week_comparison(orders, week).filter("orders > 0 AND orders_pct > 0"), "growing_orders", "info", F.lit(""), F.col("orders_pct")))
+    out = insights(orders, payments, items, week)
+    for part in parts:
+        out = out.unionByName(part)
+    return out

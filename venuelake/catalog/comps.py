@@ -32,21 +32,21 @@ def house(t):
     return cp.House(OWNER_WORDS, caps(t), prices, aliases)
 
 
-def comp_rows(t):
-    return cp.comp_checks(t.checks, t.check_items, house(t))
+def comp_rows(t, store=False):
+    return cp.comp_checks(t.checks, t.check_items, house(t), store)
 
 
 def shared_comps(t):
     """For reports that read the checks several times."""
-    return sinks.stage(comp_rows(t), "comps")
+    return sinks.stage(comp_rows(t, True), "comps")
 
 
 def shared_log(t):
-    return sinks.stage(elog(t), "enriched-log")
+    return sinks.stage(elog(t, True), "enriched-log")
 
 
-def elog(t):
-    return cp.enriched_log(t.check_items, t.checks, t.payments.filter(F.col("status").isin(*["CAPTURED", "AUTHORIZED", "CAPTURE_IN_PROGRESS"])), house(t))
+def elog(t, store=False):
+    return cp.enriched_log(t.check_items, t.checks, t.payments.filter(F.col("status").isin(*["CAPTURED", "AUTHORIZED", "CAPTURE_IN_PROGRESS"])), house(t), store=store)
 
 
 def net_sales(t):
@@ -180,7 +180,7 @@ RS = f"""rs AS (SELECT ro.server, ro.role, coalesce(comp_count, 0) AS comp_count
 
 @query("rep_comp_roster", f"WITH {CC}, {SV}, {RS} SELECT rs.*, m AS peer_median, round(discretionary - m, 2) AS vs_median FROM rs, rm")
 def _(t):
-    return cp.roster_scores(sinks.stage(cp.by_server(comp_rows(t)), "servers"), roster(t))
+    return cp.roster_scores(sinks.stage(cp.by_server(comp_rows(t, True)), "servers"), roster(t))
 
 
 @query("rep_comp_roster_waterfall", f"""
@@ -196,7 +196,7 @@ def _(t):
     total_pct >= 5 OR discretionary_pct >= 3 OR manager_pct > 1 OR recovery_pct > 1 OR uncategorized > 500 OR (SELECT count(*) FROM cw WHERE over_cap OR premium_bottles > 0) > 0 AS alert FROM hl""")
 def _(t):
     log = shared_log(t)
-    return cp.risk(head(t), cp.caps(log, house(t), "sun_brunch"), cp.premium_movement(log, *price_tables(t)))
+    return cp.risk(cp.headline(comp_rows(t, True), net_sales(t)), cp.caps(log, house(t), "sun_brunch"), cp.premium_movement(log, *price_tables(t)))
 
 
 @query("rep_comp_actions", f"""

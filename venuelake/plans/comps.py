@@ -49,16 +49,17 @@ def log(items: DataFrame, house: House) -> DataFrame:
     return item_log(items.select(*cols), listed, house.owner_words)
 
 
-def comp_checks(checks: DataFrame, items: DataFrame, house: House) -> DataFrame:
-    """Discounted checks with reason, top signalling item, tab and final bucket (tab, then item, then reason)."""
+def comp_checks(checks: DataFrame, items: DataFrame, house: House, store: bool = False) -> DataFrame:
+    """Discounted checks with reason, top signalling item, tab and final bucket (tab, then item, then reason).
+
+    The cap matcher reads its rows twice; with ``store`` they are written first, which pays where the result is wanted whole."""
     b = cl.comp_item(F.col("menu_item"))
     per = log(items, house).groupBy("check_id").agg(
         F.max(F.nullif(F.col("tab_name"), F.lit(""))).alias("tab_name"),
         F.max(F.when(b.isNotNull() & (F.col("discount") > 0), F.struct("discount", "menu_item"))).alias("_top"))
     c = checks.filter(F.col("discount") > 0).select("check_id", "processing_date", "server", "reason", F.col("discount").alias("amount"))
     c = c.join(per, "check_id", "left").withColumn("top_item", F.col("_top.menu_item")).drop("_top")
-    # The matcher reads its rows twice, for the texts and for the answers.
-    c = cl.match_cap(stage(c, "comp-checks"), house.caps)
+    c = cl.match_cap(stage(c, "comp-checks") if store else c, house.caps)
     tab = cl.comp_tab(F.col("tab_name"), house.owner_words, F.col("cap_key"))
     return c.withColumns({"reason_bucket": cl.comp_reason(F.col("reason")), "tab_bucket": tab, "item_bucket": cl.comp_item(F.col("top_item"))}).withColumn(
         "bucket", cl.comp_final(F.col("tab_bucket"), F.col("item_bucket"), F.col("reason_bucket")))
@@ -121,11 +122,12 @@ def flags(comps: DataFrame, pool: str, floor: float = 250.0, factor: float = 1.5
     return open_.unionByName(out.select(F.lit("server_outlier").alias("flag"), F.lit("SERVER_OUTLIER").alias("key"), "server", F.col("discretionary").alias("amount")))
 
 
-def enriched_log(items: DataFrame, checks: DataFrame, payments: DataFrame, house: House, use_tab: bool = False) -> DataFrame:
+def enriched_log(items: DataFrame, checks: DataFrame, payments: DataFrame, house: House, use_tab: bool = False, store: bool = False) -> DataFrame:
     """Item log with reason, bucket, flags, owner, cap, retail price and what the check collected."""
     l = log(items, house).join(checks.select("check_id", F.when(F.col("discount") > 0, F.col("reason")).alias("reason")), "check_id", "left")
     paid = payments.groupBy("check_id").agg(F.sum("amount").alias("collected"))
-    l = cl.with_retail_price(cl.match_cap(stage(l.join(paid, "check_id", "left"), "item-log"), house.caps), house.prices, house.aliases)
+    l = l.join(paid, "check_id", "left")
+    l = cl.with_retail_price(cl.match_cap(stage(l, "item-log") if store else l, house.caps), house.prices, house.aliases)
     tab = cl.comp_tab(F.col("tab_name"), house.owner_words, F.col("cap_key")) if use_tab else F.lit(None).cast("string")
     l = l.withColumns({"collected": F.coalesce("collected", F.lit(0.0)), "bucket": cl.comp_final(tab, cl.comp_item(F.col("menu_item")), F.coalesce(cl.comp_reason(F.col("reason")), F.lit("other"))),
                        "premium": cl.is_premium(F.col("menu_item")), "bottle": cl.is_bottle(F.col("menu_item"), F.col("sales_category"), F.col("gross_price")),

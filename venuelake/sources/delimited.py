@@ -22,11 +22,17 @@ def headers(lines: DataFrame, is_head: Column | None = None) -> DataFrame:
     """file, header, head_at and utf8 of each file with a line that is not blank.
 
     The header is the first line for which ``is_head`` holds, else the first line. ``utf8`` tells whether all lines of the file are valid UTF-8.
+    Only places, which are numbers, are aggregated; the few lines found are then fetched, so no line is sorted or shuffled.
     """
-    other = F.lit(False) if is_head is None else ~is_head
-    first = F.min_by(F.struct("value", "at"), F.struct(other, "at"))
-    found = lines.where(F.trim("value") != "").groupBy("file").agg(first.alias("head"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    return found.select("file", F.col("head.value").alias("header"), F.col("head.at").alias("head_at"), "utf8")
+    own = F.lit(True) if is_head is None else is_head
+    block, line = F.col("at.block"), F.col("at.line")
+    of_block = lines.where(F.trim("value") != "").groupBy("file", block.alias("block")).agg(
+        F.min(F.when(own, line)).alias("own"), F.min(line).alias("any"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    owned = F.when(F.col("own").isNotNull(), F.col("block"))
+    found = of_block.groupBy("file").agg(F.min(owned).alias("own_block"), F.min_by("own", owned).alias("own"), F.min("block").alias("any_block"), F.min_by("any", "block").alias("any"), F.bool_and("utf8").alias("utf8"))
+    place = F.when(F.col("own").isNotNull(), F.struct(F.col("own_block").alias("block"), F.col("own").alias("line"))).otherwise(F.struct(F.col("any_block").alias("block"), F.col("any").alias("line")))
+    found = found.select("file", place.alias("head_at"), "utf8")
+    return lines.join(found, "file").where(F.col("at") == F.col("head_at")).select("file", F.col("value").alias("header"), "head_at", "utf8")
 
 
 def rows_below(lines: DataFrame, heads: DataFrame, preamble: bool = False) -> DataFrame:

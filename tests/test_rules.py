@@ -111,3 +111,13 @@ def test_long_texts_and_many_keywords(spark, repeated):
     want = {i: min(((p, w.strip().upper(), x) for w, p, x in rules if t and w.strip().upper() in t.upper()), default=(0, "", None))[2] for i, t in enumerate(texts)}
     assert {r.i: r.label for r in got} == want
     assert any(want.values()) and len(set(want.values())) > 5
+
+
+def test_processor_and_deposit_rows_are_parameters(spark):
+    bank = spark.createDataFrame([("ACME PAY DES:IN 1", 5.0), ("TOAST DES:DEP", 5.0), ("ACME PAY DES:IN 1", -5.0)], "description string, amount double")
+    rules = spark.createDataFrame([], "keyword string, category string, vendor_normalized string")
+    register = spark.createDataFrame([], "check_number string, payee string, category string, vendor_normalized string")
+    got = {(r.description, r.amount): r.vendor_normalized for r in cl.categorize_bank(bank, rules, register, processor=[(["ACME", "DES:"], r"PAY DES:IN \d", "Sales", "Acme")]).collect()}
+    assert got == {("ACME PAY DES:IN 1", 5.0): "Acme", ("ACME PAY DES:IN 1", -5.0): "Acme", ("TOAST DES:DEP", 5.0): "TOAST DES:DEP"}
+    kinds = bank.select(cl.deposit_type(F.col("description"), F.col("amount"), [("ACME", True, 1, "settlement")]).alias("k"))
+    assert sorted(str(r.k) for r in kinds.collect()) == ["None", "None", "settlement"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +16,16 @@ from .windows import latest_per_key
 
 # --- bank lines ---
 
-def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text_col: str = "description") -> DataFrame:
+def _line_test(text: Column, words: list[str], pattern: str | None) -> Column:
+    """All words, then the pattern: the plain tests come first, so most lines never meet a regular expression."""
+    tests = [text.contains(w) for w in words] + ([text.rlike(pattern)] if pattern else [])
+    return reduce(and_, tests)
+
+
+def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text_col: str = "description", processor: list[tuple] = rb.PROCESSOR_LINES) -> DataFrame:
     """Adds category, category_source and vendor_normalized.
 
-    Paper checks look up the register; processor lines follow fixed patterns; other lines
+    Paper checks look up the register; processor lines follow the rows of ``processor``; other lines
     follow the keyword rules on the normalized text, with the wire party preferred as vendor.
     ``rules``: keyword, category, vendor_normalized. Longer keywords are tried first.
     """
@@ -57,11 +66,8 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
     ]
     # Shared parts become columns of their own, so that each is worked out once per line.
     step = step.withColumns({"_up": F.upper(d), "_wire": wire_party(desc)})
-    processor = F.lit(True)
-    for w in rb.PROCESSOR_WORDS:
-        processor = processor & F.col("_up").contains(w)
-    known = case_rules([(F.col("_up").rlike(p), answer(F.lit(c), "auto", F.lit(v))) for p, c, v in rb.PROCESSOR_LINES])
-    step = step.withColumn("_processor", F.when(processor & ~is_check, known))
+    known = case_rules([(_line_test(F.col("_up"), words, pattern), answer(F.lit(c), "auto", F.lit(v))) for words, pattern, c, v in processor], F.lit(None))
+    step = step.withColumn("_processor", F.when(~is_check, known))
     cases.append((F.col("_processor").isNotNull(), F.col("_processor")))
     cases.append((ruled, answer(F.col("rule_category"), "auto", F.coalesce("_wire", "rule_vendor", desc))))
     default = answer(none, "uncategorized", F.coalesce(F.col("_wire"), F.nullif(F.col("_norm"), F.lit("")), desc))
@@ -70,15 +76,11 @@ def categorize_bank(bank: DataFrame, rules: DataFrame, register: DataFrame, text
 
 # --- bank deposits and expense groups ---
 
-def deposit_type(desc: Column, amount: Column, settlement: str = "NET SETLMT", transfer: str = "Online Banking transfer from CHK") -> Column:
-    return case_rules([
-        (desc.contains(settlement) & (amount > 0), "card_settlement"),
-        (desc.contains("TOAST DES:DEP") & (amount > 0), "processor_deposit"),
-        (desc.contains("TOAST DES:EOM"), "processor_month_end"),
-        (desc.contains("Counter Credit") & (amount > 0), "counter_credit"),
-        (desc.contains("Toast, Inc DES:Toast") & (amount < 0), "platform_fee"),
-        (desc.startswith(transfer) & (amount > 0), "transfer_in"),
-    ])
+def deposit_type(desc: Column, amount: Column, lines: list[tuple] = rb.DEPOSIT_LINES) -> Column:
+    """Kind of the first row of ``lines`` (text, whether it must come first, sign or 0, kind) that fits; NULL if none does."""
+    place = lambda text, first: desc.startswith(text) if first else desc.contains(text)
+    sign = {1: amount > 0, -1: amount < 0, 0: F.lit(True)}
+    return case_rules([(place(text, first) & sign[s], kind) for text, first, s, kind in lines], F.lit(None).cast("string"))
 
 
 def expense_section(category: Column) -> Column:

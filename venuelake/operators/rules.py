@@ -84,7 +84,9 @@ def first_match(df: DataFrame, rules: DataFrame, text_col: str, outputs: list[st
 
 
 def case_rules(cases: list[tuple[Column, object]], default: Column | None = None) -> Column:
-    """Ordered tests as one expression, for short fixed rule lists."""
+    """Ordered tests as one expression, for short fixed rule lists; without a case the default."""
+    if not cases:
+        return F.lit(None) if default is None else default
     out = F
     for cond, value in cases:
         out = out.when(cond, value if isinstance(value, Column) else F.lit(value))

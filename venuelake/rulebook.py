@@ -1,7 +1,7 @@
 """Fixed values that decide results: word lists, thresholds and rates.
 
-Venue data (rosters, owners, caps, price lists, vendor maps, keyword rules) are input tables
-and never appear here.
+Venue data (rosters, owners, caps, price lists, vendor maps, keyword rules, house tabs) are input tables
+and don't appear here; of rule rows that a venue may replace (processor and deposit lines) the defaults do.
 """
 
 # Reason text -> bucket, first hit wins.
@@ -49,15 +49,23 @@ OPEX_WORDS = ["operating expenses", "opex"]
 GRAT_RETAIN = 0.35
 LABOR_RATE_PER_HOUR = 18.0
 
-# Words every processor line contains.
-PROCESSOR_WORDS = ["TOAST", "DES:"]
-# Processor settlement lines: (regex on the upper-case text, category, vendor).
+# Default rule rows for settlement lines of the card processor, first hit wins: (words that the upper-case text holds, a regex it also matches or
+# None, category, vendor). A venue with another processor passes its own rows.
 PROCESSOR_LINES = [
-    (r"TOAST.*DES:DEP|DES:DEP.*TOAST", "1. Revenue/Sales Revenue", "Toast Deposit"),
-    (r"TOAST.*DES:EOM|DES:EOM.*TOAST", "1. Revenue/Sales Revenue", "Toast EOM Adjustment"),
-    (r"TOAST,?\s*INC\.?\s+DES:\d{8}", "1. Revenue/Sales Revenue", "Toast Settlement"),
-    (r"TOAST.*DES:REF|DES:REF.*TOAST", "5. Operating Expenses (OPEX)/POS & Technology Fees", "Toast Refund"),
-    (r"TOAST,?\s*INC\s+DES:TOAST", "5. Operating Expenses (OPEX)/POS & Technology Fees", "Toast Platform Fee"),
+    (["TOAST", "DES:DEP"], None, "1. Revenue/Sales Revenue", "Toast Deposit"),
+    (["TOAST", "DES:EOM"], None, "1. Revenue/Sales Revenue", "Toast EOM Adjustment"),
+    (["TOAST", "INC", "DES:"], r"TOAST,?\s*INC\.?\s+DES:\d{8}", "1. Revenue/Sales Revenue", "Toast Settlement"),
+    (["TOAST", "DES:REF"], None, "5. Operating Expenses (OPEX)/POS & Technology Fees", "Toast Refund"),
+    (["TOAST", "INC", "DES:TOAST"], r"TOAST,?\s*INC\s+DES:TOAST", "5. Operating Expenses (OPEX)/POS & Technology Fees", "Toast Platform Fee"),
+]
+# Default rule rows for deposits, first hit wins: (text, whether the description must begin with it, sign of the amount or 0 for any, kind).
+DEPOSIT_LINES = [
+    ("NET SETLMT", False, 1, "card_settlement"),
+    ("TOAST DES:DEP", False, 1, "processor_deposit"),
+    ("TOAST DES:EOM", False, 0, "processor_month_end"),
+    ("Counter Credit", False, 1, "counter_credit"),
+    ("Toast, Inc DES:Toast", False, -1, "platform_fee"),
+    ("Online Banking transfer from CHK", True, 1, "transfer_in"),
 ]
 
 # Sales categories of the payout report.

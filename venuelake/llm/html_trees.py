@@ -47,6 +47,8 @@ ITEM_OF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 HOLDERS = set("ul ol dl table tbody thead tfoot menu".split())
 # Tag and attribute words by which pages name what is not their article.
 AWAY_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
+# Of these the ones that never hold main text, wherever they stand: the trees are not asked.
+CLOSED_TAGS = {"nav", "aside", "form", "menu", "dialog"}
 FURNITURE = (
     "ad ads advert advertisement sponsor sponsored promo promotion banner sidebar widget related recommended popular trending share sharing social follow menu nav navbar navigation breadcrumb breadcrumbs "
     "pagination pager header masthead footer copyright legal cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login search form comment comments reply replies respond disqus "
@@ -263,6 +265,8 @@ def decode(nodes: list[Node], log_odds: np.ndarray) -> list[int]:
     best[:, ABOVE] -= 1e-3
     for k in range(n - 1, 0, -1):
         p = nodes[k].parent
+        if nodes[k].tag in CLOSED_TAGS:
+            best[k, ABOVE] = best[k, IN] = -np.inf
         for state in (ABOVE, IN, OUT):
             best[p, state] += max(best[k, s] for s in ALLOWED[state])
     out = [ABOVE] * n

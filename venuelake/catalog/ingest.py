@@ -53,8 +53,8 @@ def _land_daily(t):
         if kind == "OrderDetails":
             odd = odd.select(F.lit("web").alias("Channel"), *reversed(odd.columns))
             df = df.filter("not odd")
-            odd.write.mode("append").partitionBy("load").option("header", True).csv(f"{root}/{kind}")
-        df.drop("odd").write.mode("append").partitionBy("load").option("header", True).csv(f"{root}/{kind}")
+            odd.hint("rebalance", "load").write.mode("append").partitionBy("load").option("header", True).csv(f"{root}/{kind}")
+        df.drop("odd").hint("rebalance", "load").write.mode("append").partitionBy("load").option("header", True).csv(f"{root}/{kind}")
     t.orders.select("order_id").limit(0).write.option("header", True).csv(f"{root}/SomethingElse")
     return root
 

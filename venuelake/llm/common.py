@@ -14,6 +14,8 @@ from venuelake.session import shared_dir
 CHUNK_BYTES = 2 << 20
 #: Rows of an Arrow batch between the JVM and Python.
 BATCH_ROWS = 512
+#: Whether the shuffle files of an execution are deleted when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +28,18 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame written once to the shared folder and read back: later jobs neither recompute nor depend on executors."""
+    """The frame written once to the shared folder and read back: later jobs neither recompute nor depend on executors.
+
+    Nothing reads the shuffle files of the write again, so they go when it ends instead of when the driver next collects garbage.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

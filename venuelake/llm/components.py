@@ -38,8 +38,26 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         current = stage(_small_star(_large_star(current)).distinct(), f"{purpose}-round")
 
 
+def meetings(members: DataFrame, size: int) -> DataFrame:
+    """head, x, y, block, node, group: the circles (head, node, group) cut into blocks of about ``size`` nodes that meet in cells (x, y).
+
+    The largest group of a circle and all others are cut apart. Blocks of others meet one another and those of the largest
+    group, so every pair between two groups has a cell, and no cell holds more than two blocks.
+    """
+    by_group = members.groupBy("head", "group").count()
+    shape = by_group.groupBy("head").agg(F.max_by("group", F.struct("count", "group")).alias("main"), F.max("count").alias("most"), F.sum("count").alias("total"))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(size))).cast("int")
+    shape = shape.select("head", "main", blocks(F.col("total") - F.col("most")).alias("others"), blocks(F.col("most")).alias("mains"))
+    rows = members.select("head", "node", "group").join(shape, "head").withColumn("main", F.col("group") == F.col("main"))
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    rows = rows.withColumn("block", F.when(F.col("main"), F.col("others") + part("mains")).otherwise(part("others")).cast("int"))
+    last = F.when(F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return cells.select("head", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "group")
+
+
 def link_groups(
-    keys: DataFrame, traits: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, between: Callable[[DataFrame, str], DataFrame] | None = None
+    keys: DataFrame, traits: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, between: Callable[[DataFrame, str], DataFrame]
 ) -> DataFrame:
     """node and root of all nodes linked to another one; nodes are candidates if they share a key.
 
@@ -48,33 +66,20 @@ def link_groups(
     pairs (a, b) that are truly linked.
 
     In each list every node is first tested against its head, the smallest one. Only lists whose nodes are then still in
-    different groups go on, and only with their pairs between groups: as rows that ``near`` lets through, or by
-    ``between(members, purpose)``, which gets the lists of each head as one circle (head, node, group) and returns links. So
-    a group of alike nodes costs its size, not its square, and no link that could join two groups stays untested.
+    different groups go on, to ``between(members, purpose)``, which gets the lists of each head as one circle (head, node,
+    group) and returns links. So a group of alike nodes costs its size, not its square, and no link that could join two
+    groups stays untested.
     """
     kept = [c for c in traits.columns if c != "node"]
     with_traits = lambda pairs, s: pairs.join(traits.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in kept)), s)
     heads = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1").select("key", "a")
-    lists = stage(keys.join(heads, "key").select("key", "a", "node"), f"{purpose}-lists")
-    star = stage(lists.where("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{purpose}-star")
+    star = stage(keys.join(heads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{purpose}-star")
     links = stage(links_of(near(with_traits(with_traits(star, "b"), "a")).select("a", "b"), f"{purpose}-star"), f"{purpose}-links")
     root = keys.select("node", F.col("node").alias("root")).limit(0) if links.isEmpty() else components(links, purpose)
-    grouped_by = lambda rows: rows.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node")).drop("linked_node", "root")
-    mixed_of = lambda rows, key: rows.groupBy(key).agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where("low < high and members > 2").select(key)
-    if between is None:
-        grouped = grouped_by(lists)
-        rest = stage(grouped.join(mixed_of(grouped, "key"), "key"), f"{purpose}-mixed")
-        if rest.isEmpty():
-            return root
-        members = rest.join(traits, "node")
-        side = lambda s: members.select("key", F.col("a").alias("head"), F.col("node").alias(s), F.col("group").alias(f"group_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in kept))
-        pairs = near(side("a").join(side("b").drop("head"), "key").where("a < b and group_a <> group_b and a <> head"))
-        further = links_of(stage(pairs.select("a", "b").distinct(), f"{purpose}-pairs"), f"{purpose}-between")
-        further = stage(further, f"{purpose}-further")
-        return root if further.isEmpty() else components(links.union(further), f"{purpose}-all")
     circles = star.select(F.col("a").alias("head"), F.col("b").alias("node")).union(star.select(F.col("a").alias("head"), F.col("a").alias("node")).distinct())
-    grouped = grouped_by(circles)
-    rest = stage(grouped.join(mixed_of(grouped, "head"), "head"), f"{purpose}-mixed")
+    grouped = circles.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node")).drop("linked_node", "root")
+    mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where("low < high and members > 2").select("head")
+    rest = stage(grouped.join(mixed, "head"), f"{purpose}-mixed")
     if rest.isEmpty():
         return root
     further = stage(between(rest, f"{purpose}-between"), f"{purpose}-further")

@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, map_arrow, stage
-from .components import link_groups
+from .components import link_groups, meetings
+from .near_dedup import shared_counts
 from .words import Words, _power, mix, range_hash
 
 SHORT = 0  # no line is compared within its document only
@@ -36,6 +37,7 @@ BLOCKS = (13, 13, 13, 13, 12)
 SIMILARITY = 0.9
 EXACT = 49
 GRAM, ROWS, BANDS = 6, 3, 12
+BLOCK = 256  # lines of a block that is compared in place
 
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[:48] = _NORMAL[58:65] = _NORMAL[91:97] = _NORMAL[123:128] = 32
@@ -214,9 +216,9 @@ def edit_within(x: str, y: str, most: int) -> bool:
     return distance <= most
 
 
-def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
-    """The pairs of marks whose normalised lines are similar enough."""
-    wanted = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct().join(classes.select("mark", "first"), "mark")
+def line_texts(marks: DataFrame, classes: DataFrame, docs: DataFrame, purpose: str) -> DataFrame:
+    """mark and normal (the normalised line) of the classes in ``marks``, read from their first places."""
+    wanted = marks.distinct().join(classes.select("mark", "first"), "mark")
     places = wanted.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "mark")).alias("places"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(places, "doc_id").select("text", "places")
 
@@ -231,17 +233,83 @@ def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: f
                         lines.append(b" ".join(split[p["line"]].split()).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(lines, pa.string())], ["mark", "normal"])
 
-    lines = stage(map_arrow(rows, run, "mark long, normal string"), f"{purpose}-lines")
+    # A document of several rows gives a mark several texts, of which at least one has the line.
+    return stage(map_arrow(rows, run, "mark long, normal string"), f"{purpose}-texts")
+
+
+def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
+    """The pairs of marks whose normalised lines are similar enough."""
+    lines = line_texts(pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))), classes, docs, purpose)
     both = pairs.join(lines.select(F.col("mark").alias("a"), F.col("normal").alias("x")), "a").join(lines.select(F.col("mark").alias("b"), F.col("normal").alias("y")), "b")
 
     def verify(batches):
         for batch in batches:
-            fine = [i for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())) if edit_within(x, y, int(max(len(x), len(y)) * (1 - similarity) + 1e-9))]
+            fine = [i for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())) if edit_within(x, y, allowed(max(len(x), len(y)), similarity))]
             yield batch.select(["a", "b"]).take(pa.array(fine, pa.int64()))
 
     return map_arrow(both.select("a", "b", "x", "y"), verify, "a long, b long").distinct()
 
 
+def trigrams(text: str) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    return np.unique(points[:-2] << np.uint64(42) | points[1:-1] << np.uint64(21) | points[2:])
+
+
+def cell_links(rows: list[dict], similarity: float) -> list[tuple[int, int]]:
+    """Links between groups of one cell, enough of them to connect all groups that its pairs connect.
+
+    One edit takes at most three trigrams from a line, so pairs that lack more of each other's than the edits allow are not tested.
+    """
+    low, high = min(r["block"] for r in rows), max(r["block"] for r in rows)
+    left, right = [r for r in rows if r["block"] == low], [r for r in rows if r["block"] == high]
+    size = [np.array([len(r["normal"]) for r in side]) for side in (left, right)]
+    grams = [[trigrams(r["normal"]) for r in side] for side in (left, right)]
+    few = len(left) * len(right) <= 64
+    shared = np.array([[len(np.intersect1d(x, y, True)) for y in grams[1]] for x in grams[0]]) if few else shared_counts(*grams)
+    edits = np.floor(np.maximum.outer(*size) * (1 - similarity) + 1e-9)
+    held = [np.array([len(g) for g in side]) for side in grams]
+    fine = (np.abs(np.subtract.outer(*size)) <= edits) & (np.maximum.outer(*held) - shared <= 3 * edits) & (edits > 0)
+    root = {r["group"]: r["group"] for r in rows}
+
+    def find(g):
+        while root[g] != g:
+            root[g] = g = root[root[g]]
+        return g
+
+    found = []
+    for i, j in np.argwhere(fine).tolist():
+        a, b = find(left[i]["group"]), find(right[j]["group"])
+        if a != b and edit_within(left[i]["normal"], right[j]["normal"], int(edits[i, j])):
+            root[a] = b
+            found.append((left[i]["node"], right[j]["node"]))
+    return found
+
+
+def links_between(members: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
+    """Links that join different groups of one circle. Cells of two blocks are compared in place; no pair becomes a row."""
+    lines = line_texts(members.select(F.col("node").alias("mark")), classes, docs, purpose)
+    cells = meetings(members, BLOCK).join(lines.select(F.col("mark").alias("node"), "normal"), "node")
+    cells = cells.select("head", "x", "y", "block", "node", "group", "normal").repartition("head", "x", "y").sortWithinPartitions("head", "x", "y")
+
+    def run(batches):
+        rows, cell = [], None
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                mine = row["head"], row["x"], row["y"]
+                if mine != cell:
+                    found += cell_links(rows, similarity) if rows else []
+                    rows, cell = [], mine
+                rows.append(row)
+            yield links(found)
+        yield links(cell_links(rows, similarity) if rows else [])
+
+    def links(found):
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+    return map_arrow(cells, run, "a long, b long")
+
+
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str, ...] = (), purpose: str = "lines", short: int = SHORT) -> DataFrame:
     """doc_id, text without the repeated lines, n_lines, n_removed, and the columns named in ``keep``."""
     lines = stage(line_table(docs, similarity, short), f"{purpose}-table")
@@ -251,7 +319,9 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str
     # One edit changes at most four of a line's character pairs, so neither test drops a pair that is similar enough.
     edits = F.floor(F.greatest("size_a", "size_b") * F.lit(1 - similarity) + F.lit(1e-9))
     near = lambda pairs: pairs.where((F.abs(F.col("size_a") - F.col("size_b")) <= edits) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 4 * edits))
-    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "parity"), near, lambda pairs, name: similar(pairs, classes, docs, similarity, name), purpose)
+    links = lambda pairs, name: similar(pairs, classes, docs, similarity, name)
+    between = lambda members, name: links_between(members, classes, docs, similarity, name)
+    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "parity"), near, links, purpose, between)
     # A group's keeper is the least first occurrence of its classes, its root's own class included.
     tied = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
     tied = classes.select("mark", "first").join(tied, F.col("mark") == F.col("node")).select("mark", "root", "first")

@@ -37,7 +37,7 @@ BLOCKS = (13, 13, 13, 13, 12)
 SIMILARITY = 0.9
 EXACT = 49
 GRAM, ROWS, BANDS = 6, 3, 12
-BLOCK = 256  # lines of a block that is compared in place
+BLOCK = 512  # lines of a block that is compared in place
 
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[:48] = _NORMAL[58:65] = _NORMAL[91:97] = _NORMAL[123:128] = 32
@@ -321,7 +321,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str
     near = lambda pairs: pairs.where((F.abs(F.col("size_a") - F.col("size_b")) <= edits) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 4 * edits))
     links = lambda pairs, name: similar(pairs, classes, docs, similarity, name)
     between = lambda members, name: links_between(members, classes, docs, similarity, name)
-    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "parity"), near, links, purpose, between)
+    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "parity"), near, links, purpose, between, by_list=True)
     # A group's keeper is the least first occurrence of its classes, its root's own class included.
     tied = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
     tied = classes.select("mark", "first").join(tied, F.col("mark") == F.col("node")).select("mark", "root", "first")

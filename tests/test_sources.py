@@ -1,6 +1,6 @@
 """File and feed sources on small files."""
 
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -101,3 +101,23 @@ def test_registers_of_two_layouts(spark):
     (p.parent / "b.csv").write_text("Category,Memo,Vendor,Total,Check Number\n,\"say \"\"hi\"\", x\",Bob,2,#2\n")
     got = sorted(tuple(r) for r in files.read_check_register(spark, str(p.parent)).collect())
     assert got == [("1", "Acme", 1000.0, None, "Rent"), ("2", "Bob", 2.0, 'say "hi", x', None)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_punches_stay_where_they_are_read(spark):
+    """Employees and jobs are small stored tables: punches are neither shuffled nor sorted by the few guids they share."""
+    line = '{"guid":"1","employeeReference":{"guid":"e"},"jobReference":{"guid":"j"},"inDate":"2026-04-20T18:00:00.000+0100","outDate":"2026-04-20T18:00:00Z"}'
+    names = spark.range(200_000).selectExpr("concat('e', nullif(id % 40, 0)) AS guid", "'x' AS name")
+    labor = feeds.labor_entries(feeds.read_json(spark, land(spark, "l.json", line), feeds.LABOR_SCHEMA), names.union(spark.createDataFrame([("e", "Ann")], "guid string, name string")), spark.createDataFrame([("j", "Cook")], "guid string, title string"))
+    r = labor.first()
+    assert (r.employee_name, r.job_title, r.clock_out - r.clock_in) == ("Ann", "Cook", timedelta(hours=1))
+    assert "SortMergeJoin" not in plan(labor) and "hashpartitioning" not in plan(labor)
+
+
+def test_iso_layouts(spark):
+    texts = ["2026-04-20T01:02:03.000+0000", "2026-04-20T01:02:03.000Z", "2026-04-20T02:02:03+01:00", "2026-04-20T01:02:03+0000", "2026-04-20T01:02:03Z", "later", "1:2", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", feeds.utc_timestamp(F.col("t")).cast("long").alias("s")).orderBy("i").collect()
+    assert [r.s for r in got] == [1776646923] * 5 + [None] * 3

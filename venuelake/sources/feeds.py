@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sinks import stage
+
 LABOR_SCHEMA = (
     "guid string, employeeReference struct<guid:string>, jobReference struct<guid:string>, inDate string, outDate string, businessDate string, "
     "regularHours string, overtimeHours string, hourlyWage string"
@@ -22,8 +24,12 @@ def read_json(spark: SparkSession, paths: str | list[str], schema: str) -> DataF
 
 
 def utc_timestamp(c: Column) -> Column:
-    """ISO text with an offset as an instant, NULL when it does not parse."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in ISO])
+    """ISO text with an offset as an instant, NULL when it does not parse.
+
+    A failed parse costs far more than a good one, so layouts are tried only on texts that have their colons and, or not, their point.
+    """
+    tried = lambda point: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in ISO if ("." in f) == point])
+    return F.when(c.contains(":"), F.when(c.contains("."), tried(True)).otherwise(tried(False)))
 
 
 def text_or_null(c: Column) -> Column:
@@ -31,9 +37,14 @@ def text_or_null(c: Column) -> Column:
 
 
 def labor_entries(raw: DataFrame, employees: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Punches with employee and job names looked up; missing numbers are 0, missing names empty."""
+    """Punches with employee and job names looked up; missing numbers are 0, missing names empty.
+
+    The lookups are stored, so their size is known: small ones are broadcast and the punches, which share few jobs, stay where they are read.
+    """
     e = employees.select(F.col("guid").alias("_e"), F.col("name").alias("employee_name")).groupBy("_e").agg(F.max("employee_name").alias("employee_name"))
+    e = stage(e, "employees")
     j = jobs.select(F.col("guid").alias("_j"), F.col("title").alias("job_title")).groupBy("_j").agg(F.max("job_title").alias("job_title"))
+    j = stage(j, "jobs")
     num = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
     x = raw.withColumns({"employee_guid": F.coalesce("employeeReference.guid", F.lit("")), "job_guid": F.coalesce("jobReference.guid", F.lit(""))})
     x = x.join(e, F.col("employee_guid") == F.col("_e"), "left").join(j, F.col("job_guid") == F.col("_j"), "left")

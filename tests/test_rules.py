@@ -121,3 +121,11 @@ def test_processor_and_deposit_rows_are_parameters(spark):
     assert got == {("ACME PAY DES:IN 1", 5.0): "Acme", ("ACME PAY DES:IN 1", -5.0): "Acme", ("TOAST DES:DEP", 5.0): "TOAST DES:DEP"}
     kinds = bank.select(cl.deposit_type(F.col("description"), F.col("amount"), [("ACME", True, 1, "settlement")]).alias("k"))
     assert sorted(str(r.k) for r in kinds.collect()) == ["None", "None", "settlement"]
+
+
+def test_rows_are_not_shuffled_for_few_texts(spark):
+    """Rows meet the hits of their texts as a small stored table, however many rows there are."""
+    df = spark.range(0, 3_000_000, 1, 8).selectExpr("id", "concat('tab ', id % 20) AS t")
+    got = first_match(df, spark.createDataFrame([("b 1", 1, "X")], "keyword string, priority int, label string"), "t", ["label"])
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.groupBy("label").count().where("label = 'X'").first()["count"] == 11 * 150_000

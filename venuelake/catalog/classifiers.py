@@ -178,7 +178,7 @@ def _(t):
 
 @query("r_comp_final", f"SELECT check_id, item_selection_id, coalesce({TAB_SQL}, {ITEM_SQL}, {REASON_SQL}) AS bucket, round(sum(discount), 2) AS discount FROM (SELECT i.*, c.reason FROM v_check_items i JOIN (SELECT check_id, reason FROM v_checks) c ON c.check_id = i.check_id) GROUP BY 1, 2, 3")
 def _(t):
-    i = t.check_items.join(t.checks.select("check_id", "reason"), "check_id")
+    i = t.check_items.select("check_id", "processing_date", "item_selection_id", "menu_item", "tab_name", "discount").join(t.checks.select("check_id", "reason"), "check_id")
     i = cl.match_cap(i, caps(t))
     b = cl.comp_final(cl.comp_tab(F.col("tab_name"), OWNERS, F.col("cap_key")), cl.comp_item(F.col("menu_item")), cl.comp_reason(F.col("reason")))
     return i.groupBy("check_id", "item_selection_id", b.alias("bucket")).agg(F.round(F.sum("discount"), 2).alias("discount"))

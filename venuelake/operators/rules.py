@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import stage
+
 _EDGE = "\u0001"
 #: Characters of a keyword that are looked up, of a piece at least, and words of 64 bits in the table of hashed prefixes.
 PREFIX, PIECE, WORDS = 8, 128, 1 << 14
@@ -64,7 +66,8 @@ def first_match(df: DataFrame, rules: DataFrame, text_col: str, outputs: list[st
     ``mode`` is 'contains' or 'word', both ignoring case. ``equal`` maps a rule column to a
     column of ``df`` that must be equal too (a weekday, say). ``repeated`` tells that many rows share a text, so texts are
     made distinct first; without it long texts are not shuffled. The answer is the same. The rules are read several times:
-    stage them if they are costly to make.
+    stage them if they are costly to make. The hits of the texts are staged, so their size is known: few texts are broadcast
+    to the rows, which then keep their place and order. ``df`` is read twice.
     """
     equal = equal or {}
     r = rules.filter(F.trim(keyword) != "").select(
@@ -75,6 +78,7 @@ def first_match(df: DataFrame, rules: DataFrame, text_col: str, outputs: list[st
     texts = (texts.distinct() if repeated else texts).select(_text_key(F.col("_x")).alias("_j"), _prepared(F.col("_x"), mode, False).alias("_t"))
     hits = _hit_places(texts, r).join(r, "_k").where(F.startswith("_tail", "_rk"))
     best = hits.groupBy("_j", *[f"_e_{c}" for c in equal]).agg(F.min(F.struct("_p", "_rk", *[f"_o_{c}" for c in outputs])).alias("_hit"))
+    best = stage(best, "rule-hits")
     # NULL texts get keys that match nothing and are spread over the tasks.
     key = F.coalesce(_text_key(F.col(text_col)), F.concat(F.lit(_EDGE), F.xxhash64(*df.columns).cast("string")))
     on = F.col("_key") == F.col("_j")

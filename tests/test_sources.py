@@ -107,6 +107,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_headers_in_one_pass(spark):
+    """A file's header is found without sorting, shuffling or reading the lines again."""
+    from venuelake.sources import delimited
+    p = land(spark, "20250115/OrderDetails.csv", "Order Id,Amount\n1,2\n")
+    heads = delimited.headers(delimited.file_lines(spark, p))
+    assert plan(heads).count("Scan text") == 1 and "Join" not in plan(heads)
+    assert [(r.header, r.utf8) for r in heads.collect()] == [("Order Id,Amount", True)]
+
+
 def test_punches_stay_where_they_are_read(spark):
     """Employees and jobs are small stored tables: punches are neither shuffled nor sorted by the few guids they share."""
     line = '{"guid":"1","employeeReference":{"guid":"e"},"jobReference":{"guid":"j"},"inDate":"2026-04-20T18:00:00.000+0100","outDate":"2026-04-20T18:00:00Z"}'

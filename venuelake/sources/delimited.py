@@ -22,24 +22,27 @@ def headers(lines: DataFrame, is_head: Column | None = None) -> DataFrame:
     """file, header, head_at and utf8 of each file with a line that is not blank.
 
     The header is the first line for which ``is_head`` holds, else the first line. ``utf8`` tells whether all lines of the file are valid UTF-8.
-    Only places, which are numbers, are aggregated; the few lines found are then fetched, so no line is sorted or shuffled.
+    One pass: each block of a file keeps its candidate and the set of its lines' validity, so no line is sorted, shuffled or read
+    again. (Beside a set, Spark aggregates in a hash table of objects; text alone would be sorted.)
     """
     own = F.lit(True) if is_head is None else is_head
     block, line = F.col("at.block"), F.col("at.line")
+    owned = F.when(own, line)
     of_block = lines.where(F.trim("value") != "").groupBy("file", block.alias("block")).agg(
-        F.min(F.when(own, line)).alias("own"), F.min(line).alias("any"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    owned = F.when(F.col("own").isNotNull(), F.col("block"))
-    found = of_block.groupBy("file").agg(F.min(owned).alias("own_block"), F.min_by("own", owned).alias("own"), F.min("block").alias("any_block"), F.min_by("any", "block").alias("any"), F.bool_and("utf8").alias("utf8"))
-    place = F.when(F.col("own").isNotNull(), F.struct(F.col("own_block").alias("block"), F.col("own").alias("line"))).otherwise(F.struct(F.col("any_block").alias("block"), F.col("any").alias("line")))
-    found = found.select("file", place.alias("head_at"), "utf8")
-    return lines.join(found, "file").where(F.col("at") == F.col("head_at")).select("file", F.col("value").alias("header"), "head_at", "utf8")
+        F.min(owned).alias("own"), F.min_by("value", owned).alias("own_text"), F.min(line).alias("any"), F.min_by("value", line).alias("any_text"),
+        F.collect_set(F.is_valid_utf8("value")).alias("valid"))
+    place = lambda of: F.struct(F.col("block"), F.col(of).alias("line"))
+    first = lambda of: F.min(F.when(F.col(of).isNotNull(), F.struct(place(of).alias("at"), F.col(f"{of}_text").alias("text"))))
+    found = of_block.groupBy("file").agg(F.coalesce(first("own"), first("any")).alias("head"), F.bool_and(~F.array_contains("valid", False)).alias("utf8"))
+    return found.select("file", F.col("head.text").alias("header"), F.col("head.at").alias("head_at"), "utf8")
 
 
 def rows_below(lines: DataFrame, heads: DataFrame, preamble: bool = False) -> DataFrame:
     """The lines of each file that are neither blank nor its header, with the columns of ``heads``. Files that are not UTF-8 are Latin-1.
 
-    Places are comparable within one frame of lines only. So with a ``preamble`` ``heads`` must come from ``lines`` itself, and the
-    lines up to the header go; else lines equal to the header go, wherever they stand, and ``heads`` may be a stored table.
+    ``heads`` should be a stored table: its size is then known, and lines meet it where they are read. Places are comparable within one
+    frame of lines only. So with a ``preamble`` ``lines`` must be stored too and ``heads`` come from them, and the
+    lines up to the header go; else lines equal to the header go, wherever they stand.
     """
     below = F.col("at") > F.col("head_at") if preamble else F.col("value") != F.col("header")
     body = lines.join(heads, "file").where(below & (F.trim("value") != ""))
@@ -48,11 +51,11 @@ def rows_below(lines: DataFrame, heads: DataFrame, preamble: bool = False) -> Da
 
 def csv_cells(line: Column) -> Column:
     """The cells of a CSV line of any width: quotes taken off, doubled quotes undone."""
-    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',(?:\s*"(?:[^"]|"")*"[^,]*|[^,]*)'), F.lit(0))
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',(?:\s*"[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'), F.lit(0))
 
     def plain(cell: Column) -> Column:
         body = F.substring(cell, F.lit(2), F.length(cell))
-        quoted = F.regexp_extract(body, r'^\s*"((?:[^"]|"")*)"', 1)
+        quoted = F.regexp_extract(body, r'^\s*"([^"]*(?:""[^"]*)*)"', 1)
         return F.when(F.startswith(F.ltrim(body), F.lit('"')), F.replace(quoted, F.lit('""'), F.lit('"'))).otherwise(body)
 
     return F.transform(cells, plain)

@@ -85,3 +85,15 @@ def test_wire_phone_name_lists(spark):
     got = values(spark, rows, "w string, p string, n string, l string, k string", text.wire_party(F.col("w")).alias("a"), text.clean_phone(F.col("p")).alias("b"),
                  text.first_name(F.col("n")).alias("c"), text.rest_of_name(F.col("n")).alias("d"), text.first_of_list(F.col("l")).alias("e"), text.int_list(F.col("k")).alias("f"))
     assert got == [("ACME INC.", "+15125550100", "Ann", "Lee Ray", "Bar", [12, 7])]
+
+
+def test_shapes_of_layouts(spark):
+    """A layout is tried on every text it fits and on few others."""
+    from venuelake.functions import dates
+    formats = ["M/d/yy h:mm a", "M/d/yyyy h:mm a", "yyyy-MM-dd HH:mm:ss", "M/d/yy", "M/d/yyyy", "yyyy-MM-dd", "yyyyMMdd", "yyyy-MM-dd'T'HH:mm:ss"]
+    texts = ["1/2/25", "01/02/2025", "001/2/25", "1/2/25 3:04 pm", "1/2/2025 3:04 PM", "2025-01-02", "2025-01-02 03:04:05", "20250102", "-2025-01-02", "+12025-01-02", "2025-01-02T03:04:05", "x", "", "1/2/25 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for f in formats:
+        plain = F.try_to_timestamp("t", F.lit(f)).cast("timestamp_ntz")
+        assert df.where(~plain.eqNullSafe(dates.first_timestamp(F.col("t"), [f]))).count() == 0, f
+    assert df.where(F.col("t").rlike(dates.layout_shape("M/d/yy"))).count() == 2

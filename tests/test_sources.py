@@ -116,6 +116,15 @@ def test_headers_in_one_pass(spark):
     assert [(r.header, r.utf8) for r in heads.collect()] == [("Order Id,Amount", True)]
 
 
+def test_rows_stay_where_they_are_read(spark):
+    """Rows meet headers as small stored tables: nothing that grows with the rows is shuffled or sorted."""
+    statement = files.read_bank_csv(spark, land(spark, "s.csv", "Summary,,\nDate,Description,Amount\n1/6/25,\"say \"\"a, b\"\"\",1\n1/7/2025,c,2\n"))
+    assert sorted((r.description, r.amount, r.transaction_date) for r in statement.collect()) == [("c", 2.0, date(2025, 1, 7)), ('say "a, b"', 1.0, date(2025, 1, 6))]
+    register = files.read_check_register(spark, land(spark, "r.csv", "Chk #,Pay To,Amt\n7,Acme,1\n"))
+    for df in (statement, register):
+        assert "SortMergeJoin" not in plan(df) and "hashpartitioning" not in plan(df)
+
+
 def test_punches_stay_where_they_are_read(spark):
     """Employees and jobs are small stored tables: punches are neither shuffled nor sorted by the few guids they share."""
     line = '{"guid":"1","employeeReference":{"guid":"e"},"jobReference":{"guid":"j"},"inDate":"2026-04-20T18:00:00.000+0100","outDate":"2026-04-20T18:00:00Z"}'

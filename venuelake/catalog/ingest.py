@@ -85,7 +85,7 @@ def _land_statements(t):
     top = ["\ufeffAccount summary,,", "Total credits,1.00", "", "Date,Description,Amount,Running Bal."]
     head = b.select("file").distinct().select("file", F.posexplode(F.array(*[F.lit(x) for x in top])).alias("pos", "value"))
     path = shared_dir(t.spark, "statements")
-    head.unionByName(body).repartition("file").sortWithinPartitions("file", "pos", "value").drop("pos").write.partitionBy("file").text(path)
+    head.unionByName(body).repartition("file").sortWithinPartitions("file", "pos").drop("pos").write.partitionBy("file").text(path)
     return path
 
 

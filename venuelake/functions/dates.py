@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import calendar
+import re
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,9 +48,21 @@ def bracketed_business_range(df: DataFrame, ts: str, load_date: str, start: str,
         business_date(F.col(ts), cutoff_hour).between(lo, hi))
 
 
+def layout_shape(layout: str) -> str:
+    """A regular expression that every text of the layout fits; others may fit it too."""
+    if set(layout) & set("'[]{}#"):
+        return ""
+    fields = {"yy": r"\d{2}", "yyyy": r"[+-]?\d{4,}"} | dict.fromkeys("M MM d dd H HH h hh m mm s ss".split(), r"-?\d+")
+    parts = [m.group() for m in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", layout)]
+    return "(?s)^" + "".join(fields.get(p, ".*") if p[0].isalpha() else re.escape(p) for p in parts) + "$"
+
+
 def first_timestamp(c: Column, formats: list[str]) -> Column:
-    """First format that parses, as a timestamp without zone, else NULL."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    """First format that parses, as a timestamp without zone, else NULL.
+
+    A failed parse costs far more than a good one, so a format is tried only on texts of its shape.
+    """
+    return F.coalesce(*[F.when(c.rlike(layout_shape(f)), F.try_to_timestamp(c, F.lit(f))) for f in formats]).cast("timestamp_ntz")
 
 
 def clock_hour(c: Column) -> Column:

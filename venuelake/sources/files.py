@@ -127,7 +127,7 @@ def read_bank_csv(spark: SparkSession, paths: str) -> DataFrame:
 
     Output: transaction_date, description, amount, running_balance, transaction_type, abs_amount, source_file.
     """
-    return parse_bank_lines(delimited.file_lines(spark, paths))
+    return parse_bank_lines(stage(delimited.file_lines(spark, paths), "lines"))
 
 
 def parse_bank_text(files: DataFrame) -> DataFrame:
@@ -137,13 +137,16 @@ def parse_bank_text(files: DataFrame) -> DataFrame:
 
 
 def parse_bank_lines(lines: DataFrame) -> DataFrame:
-    """Rows of statement lines (``value``, ``file``, ``at``): the header is the first line that begins with a date column, else the first line."""
+    """Rows of statement lines (``value``, ``file``, ``at``): the header is the first line that begins with a date column, else the first line.
+
+    ``lines`` are read twice and must have the same places each time. Headers are stored.
+    """
     is_head = F.startswith(F.lower(F.trim("value")), F.lit("date,"))
     cells = F.transform(F.split(F.lower("header"), ","), lambda x: F.trim(x))
     where = lambda test: F.array_position(F.transform(cells, test), True).cast("int")
-    heads = delimited.headers(lines, is_head).select(
+    heads = stage(delimited.headers(lines, is_head).select(
         "file", "head_at", "utf8", where(lambda x: x.contains("date") & ~x.contains("post")).alias("_d"), where(lambda x: x.contains("desc")).alias("_s"), where(lambda x: x.contains("amount")).alias("_a"),
-        where(lambda x: x.contains("bal")).alias("_b"))
+        where(lambda x: x.contains("bal")).alias("_b")), "headers")
     row = delimited.rows_below(lines, heads, preamble=True).withColumn("_c", delimited.csv_cells(F.col("value")))
     pick = lambda i: F.get("_c", F.col(i) - 1)
     amount = clean.to_number(pick("_a"))
@@ -157,7 +160,7 @@ def read_check_register(spark: SparkSession, paths: str | list[str]) -> DataFram
     """Registers of any column order: each file's columns are found by its own header spellings."""
     lines = delimited.file_lines(spark, paths)
     spelled = F.transform(delimited.csv_cells(F.col("header")), lambda x: F.lower(F.trim(x)))
-    heads = delimited.headers(lines).select("file", "header", "utf8", *[delimited.position(spelled, s).alias(f"_{c}") for c, s in REGISTER_HEADERS.items()])
+    heads = stage(delimited.headers(lines).select("file", "header", "utf8", *[delimited.position(spelled, s).alias(f"_{c}") for c, s in REGISTER_HEADERS.items()]), "headers")
     row = delimited.rows_below(lines, heads).withColumn("_c", delimited.csv_cells(F.col("value")))
     return normalize_register(row.select(*[F.nullif(F.get("_c", F.col(f"_{c}") - 1), F.lit("")).alias(c) for c in REGISTER_HEADERS]))
 

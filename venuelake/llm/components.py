@@ -57,7 +57,7 @@ def meetings(members: DataFrame, size: int) -> DataFrame:
 
 
 def link_groups(
-    keys: DataFrame, traits: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, between: Callable[[DataFrame, str], DataFrame], by_list: bool = False
+    keys: DataFrame, traits: DataFrame, near: Callable[[DataFrame], DataFrame], links_of: Callable[[DataFrame, str], DataFrame], purpose: str, between: Callable[[DataFrame, str], DataFrame]
 ) -> DataFrame:
     """node and root of all nodes linked to another one; nodes are candidates if they share a key.
 
@@ -66,29 +66,20 @@ def link_groups(
     pairs (a, b) that are truly linked.
 
     In each list every node is first tested against its head, the smallest one. Only lists whose nodes are then still in
-    different groups go on, to ``between(members, purpose)``, which gets circles (head, node, group) and returns links: the
-    lists of each head as one circle, or with ``by_list`` each list without its head as one (named by its key; of lists with
-    the same nodes one is kept), which leaves out nodes that share a head and no key. So a group of alike nodes costs its size, not its square,
-    and no link that could join two groups stays untested.
+    different groups go on, to ``between(members, purpose)``, which gets circles (head, node, group), the lists of each head as
+    one, and returns links. So a group of alike nodes costs its size, not its square, and no link that could join two groups
+    stays untested.
     """
     kept = [c for c in traits.columns if c != "node"]
     with_traits = lambda pairs, s: pairs.join(traits.select(F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in kept)), s)
     heads = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1").select("key", "a")
     lists = keys.join(heads, "key").select("key", "a", "node")
-    if by_list:
-        lists = stage(lists, f"{purpose}-lists")
     star = stage(lists.where("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{purpose}-star")
     links = stage(links_of(near(with_traits(with_traits(star, "b"), "a")).select("a", "b"), f"{purpose}-star"), f"{purpose}-links")
     root = keys.select("node", F.col("node").alias("root")).limit(0) if links.isEmpty() else components(links, purpose)
-    if by_list:
-        nodes = [F.count("*").alias("members"), *(F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"nodes_{i}") for i in range(2))]
-        alike = lists.groupBy("key").agg(*nodes).where("members > 2").groupBy("members", "nodes_0", "nodes_1").agg(F.min("key").alias("key"))
-        # The head has met every node of its list.
-        circles = stage(lists.where("node <> a").join(alike.select("key"), "key").select(F.col("key").alias("head"), "node"), f"{purpose}-circles")
-    else:
-        circles = star.select(F.col("a").alias("head"), F.col("b").alias("node")).union(star.select(F.col("a").alias("head"), F.col("a").alias("node")).distinct())
+    circles = star.select(F.col("a").alias("head"), F.col("b").alias("node")).union(star.select(F.col("a").alias("head"), F.col("a").alias("node")).distinct())
     grouped = circles.join(root.withColumnRenamed("node", "linked_node"), F.col("linked_node") == F.col("node"), "left").withColumn("group", F.coalesce("root", "node")).drop("linked_node", "root")
-    mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where(f"low < high and members > {1 if by_list else 2}").select("head")
+    mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("members")).where("low < high and members > 2").select("head")
     rest = stage(grouped.join(mixed, "head"), f"{purpose}-mixed")
     if rest.isEmpty():
         return root

@@ -5,7 +5,7 @@ class, however short. Two classes are linked if the edit similarity (1 - edit di
 normalised lines) is at least ``SIMILARITY``. Of each connected group the occurrence with the smallest (doc_id, line number)
 stays and all others go. Lines without a letter or digit always stay.
 
-Candidates are lines that share a key. Lines of at most ``EXACT`` characters have keys that miss nothing: the shorter line of a
+Candidates are lines that share a key and whose sizes allow a link. Lines of at most ``EXACT`` characters have keys that miss nothing: the shorter line of a
 pair is cut into one piece more than the edits allowed, so a piece is whole in the longer one, near its place. Longer
 lines have ``BANDS`` MinHash keys of ``ROWS`` minima over runs of ``GRAM`` characters; README has the measured recall.
 
@@ -17,7 +17,9 @@ compared and stay whole. Rows that share a doc_id are one document: what goes fr
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import lru_cache
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -25,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, map_arrow, stage
-from .components import link_groups, meetings
-from .near_dedup import shared_counts
-from .words import Words, _power, mix, range_hash
+from .common import BATCH_ROWS, chunks, map_arrow, stage
+from .components import components, meetings
+from .words import _power, mix, range_hash
 
 SHORT = 0  # no line is compared within its document only
 LONG = 0  # lines of any number of words are compared by similarity
@@ -38,6 +39,11 @@ SIMILARITY = 0.9
 EXACT = 49
 GRAM, ROWS, BANDS = 6, 3, 12
 BLOCK = 512  # lines of a block that is compared in place
+TABLE = 4096  # characters of lines whose distance tables are filled together
+ANCHOR = 8  # characters of a run that is looked for in the other line
+TRIGRAMS = 1024  # classes of hashed trigrams that are counted
+PARTS = 12  # bits of a key that name its part of the key range
+PACK = 1 << 20  # keys of a task that are packed at once
 
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[:48] = _NORMAL[58:65] = _NORMAL[91:97] = _NORMAL[123:128] = 32
@@ -46,6 +52,7 @@ _NORMAL[48:58] = 48
 _NORMAL[65:91] += 32
 _TABLE = _NORMAL.tobytes()
 _MINIMA = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)).astype(np.uint32) | np.uint32(1)
+_POINTS = mix(np.arange(1, 1 << 16, dtype=np.uint64))
 _SPREAD = np.array([sum(1 << (8 * k) for k in range(8) if b >> k & 1) for b in range(256)], np.uint64)
 
 
@@ -100,19 +107,28 @@ def pieces(size: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.nda
     return start, end, tag
 
 
-def line_keys(lines: list[bytes], similarity: float) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Characters of each normalised line, the parity of its hashed character pairs, and its keys. No line is empty."""
+def point_hashes(points: np.ndarray) -> np.ndarray:
+    """A hash of each code point; those of the basic plane are looked up."""
+    if points.max(initial=0) < len(_POINTS):
+        return _POINTS[points]
+    return mix(points.astype(np.uint64) + np.uint64(1))
+
+
+def line_keys(lines: list[bytes], similarity: float, pairs: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Characters of each normalised line, the parity of its hashed character pairs (0 without ``pairs``), and its keys. No line is empty."""
     points = np.frombuffer((b"\n".join(lines) + b"\n").decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     end = np.flatnonzero(points == 10)
     start = np.concatenate([[0], end[:-1] + 1])
     size = end - start
     prefix = np.zeros(len(points) + GRAM + 1, np.uint64)
-    np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * _power("up", len(points))[: len(points)], out=prefix[1 : len(points) + 1])
+    np.cumsum(point_hashes(points) * _power("up", len(points))[: len(points)], out=prefix[1 : len(points) + 1])
     prefix[len(points) + 1 :] = prefix[len(points)]
-    at = np.arange(len(points))
-    pair = np.uint64(1) << (range_hash(prefix, at, at + 2) >> np.uint64(58))
-    # Ranges are every other part; a line of one character has no pair.
-    parity = np.where(size > 1, np.bitwise_xor.reduceat(pair, np.stack([start, end - (size > 1)], 1).ravel())[::2], np.uint64(0))
+    grams = lambda n: mix((prefix[n : n + len(points)] - prefix[: len(points)]) * _power("down", len(points))[: len(points)] + np.uint64(n))
+    parity = np.zeros(len(lines), np.uint64)
+    if pairs:
+        pair = np.uint64(1) << (grams(2) >> np.uint64(58))
+        # Ranges are every other part; a line of one character has no pair.
+        parity = np.where(size > 1, np.bitwise_xor.reduceat(pair, np.stack([start, end - (size > 1)], 1).ravel())[::2], parity)
     of, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for n in np.unique(size[size <= EXACT]).tolist():
         mine = np.flatnonzero(size == n)
@@ -122,7 +138,7 @@ def line_keys(lines: list[bytes], similarity: float) -> tuple[np.ndarray, np.nda
             of.append(np.repeat(mine, len(tag)))
     long = np.flatnonzero((size >= GRAM) & (size >= EXACT + 1 - allowed(EXACT + 1, similarity)))
     if long.size:
-        gram = (range_hash(prefix, at, at + GRAM) >> np.uint64(32)).astype(np.uint32)
+        gram = (grams(GRAM) >> np.uint64(32)).astype(np.uint32)
         bounds = np.stack([start[long], end[long] - GRAM + 1], 1).ravel()
         for band in range(BANDS):
             key = np.full(len(long), band + 1, np.uint64)
@@ -136,44 +152,41 @@ def line_keys(lines: list[bytes], similarity: float) -> tuple[np.ndarray, np.nda
 
 
 def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
-    """doc_id, line, mark, size, parity of each line with a word, and the keys of each mark at least once.
+    """doc_id, line, mark, size of each line with a word, and the keys of each mark at least once.
 
     Lines under ``short`` words have marks of their own document and no keys.
     """
 
     def run(batches):
         for batch, texts in chunks(batches):
-            normal = [normalise(t) for t in texts]
-            w = Words(normal, fold=False)
-            breaks = np.flatnonzero(w.buf == 10)
-            start, end = breaks[:-1] + 1, breaks[1:]
-            bounds = np.searchsorted(w.start, np.append(start, len(w.buf)))
-            count = np.diff(bounds)
-            doc = np.searchsorted(w.doc_start, start, "right") - 1
-            number = np.arange(len(start)) - np.searchsorted(start, w.doc_start)[doc]
-            keep = np.flatnonzero(count)
-            if not keep.size:
-                continue
-            count, doc, number = count[keep], doc[keep], number[keep]
-            bounds = np.concatenate([[0], np.cumsum(count)])
-            place = np.arange(len(w)) - np.repeat(bounds[:-1], count)
-            chain = mix(w.hash + place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chain, dtype=np.uint64)])
-            ids = np.array(batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)[doc]
-            mark = mix(total[bounds[1:]] - total[bounds[:-1]])
-            mark = np.where(count < short, mix(mark ^ mix(ids.view(np.uint64) + np.uint64(1))), mark)
+            doc, number, place, keyed, lines = [], [], [], [], []
             # Repeats within the batch share the keys of one of them.
-            _, one, back = np.unique(mark, return_index=True, return_inverse=True)
-            every = [x for t in normal for line in t.split(b"\n") if (x := line.split())]
-            size, parity, held = line_keys([b" ".join(every[i]) for i in one], similarity)
-            place = np.full(len(mark), -1)
-            place[one] = np.where(count[one] < short, -1, np.arange(len(one)))
-            keys = held.take(pa.array(place, mask=place < 0))
-            size, parity = size[back], parity[back]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(number.astype(np.int32)), pa.array(mark.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(parity.view(np.int64)), keys], ["doc_id", "line", "mark", "size", "parity", "keys"])
+            known: dict[bytes, int] = {}
+            ids = batch.column("doc_id").to_pylist()
+            for d, text in zip(ids, texts):
+                for i, line in enumerate(normalise(text).split(b"\n")):
+                    words = line.split()
+                    if words:
+                        doc.append(d)
+                        number.append(i)
+                        few = len(words) < short
+                        line = b" ".join(words)
+                        place.append(known.setdefault(b"%d\n%s" % (d, line) if few else line, len(known)))
+                        if len(known) > len(keyed):
+                            keyed.append(not few)
+                            lines.append(line)
+            if not doc:
+                continue
+            place, keyed = np.array(place), np.array(keyed)
+            marks = np.array([int.from_bytes(blake2b(x, digest_size=8).digest(), "little") for x in known], np.uint64).view(np.int64)
+            size, _, keys = line_keys(lines, similarity, pairs=False)
+            once = np.zeros(len(place), bool)
+            once[np.unique(place, return_index=True)[1]] = True
+            keys = keys.take(pa.array(place, mask=~(once & keyed[place])))
+            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(number, pa.int32()), pa.array(marks[place]), pa.array(size[place].astype(np.int32)), keys], ["doc_id", "line", "mark", "size", "keys"])
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, run, "doc_id long, line int, mark long, size int, parity long, keys array<long>")
+    return map_arrow(rows, run, "doc_id long, line int, mark long, size int, keys array<long>")
 
 
 def block_keys(simhash: Column) -> Column:
@@ -184,21 +197,47 @@ def block_keys(simhash: Column) -> Column:
     return F.array(*(F.shiftleft(block[i], 32).bitwiseOR(F.shiftleft(F.lit(n).cast("long"), 58)).bitwiseOR(block[j]) for n, (i, j) in enumerate(pairs)))
 
 
+def trimmed(x: str, y: str) -> tuple[str, str]:
+    """Both without their equal ends."""
+    short = min(len(x), len(y))
+    start, step = 0, 64
+    while step:
+        while start + step <= short and x[start : start + step] == y[start : start + step]:
+            start += step
+        step >>= 1
+    x, y, short = x[start:], y[start:], short - start
+    end, step = 0, 64
+    while step:
+        while end + step <= short and x[len(x) - end - step : len(x) - end] == y[len(y) - end - step : len(y) - end]:
+            end += step
+        step >>= 1
+    return x[: len(x) - end], y[: len(y) - end]
+
+
+def edits_at_most(x: str, y: str, most: int) -> int:
+    """An upper bound of the edit distance: runs of x that stand in y near their place cut both into parts, which are changed whole."""
+    x, y = trimmed(x, y)
+    whole = max(len(x), len(y))
+    if min(len(x), len(y)) < 2 * ANCHOR:
+        return whole
+    for part in (2, 4, 1):
+        at = len(x) * part // 6
+        found = y.find(x[at : at + ANCHOR], max(0, at - most), at + most + ANCHOR)
+        if found >= 0 and at + ANCHOR <= len(x):
+            left = edits_at_most(x[:at], y[:found], most)
+            return min(whole, left + edits_at_most(x[at + ANCHOR :], y[found + ANCHOR :], most))
+    return whole
+
+
 def edit_within(x: str, y: str, most: int) -> bool:
-    """Whether the edit distance is at most ``most``: equal ends are cut off, then a column of the distance table is kept as bits."""
+    """Whether the edit distance is at most ``most``: if a quick upper bound does not tell, a column of the distance table is kept as bits."""
     if abs(len(x) - len(y)) > most:
         return False
-    if x == y:
-        return True
-    start, end = 0, 0
-    short = min(len(x), len(y))
-    while start < short and x[start] == y[start]:
-        start += 1
-    while end < short - start and x[-1 - end] == y[-1 - end]:
-        end += 1
-    x, y = x[start : len(x) - end], y[start : len(y) - end]
+    x, y = trimmed(x, y)
     if not x or not y:
         return max(len(x), len(y)) <= most
+    if edits_at_most(x, y, most) <= most:
+        return True
     places: dict[str, int] = {}
     for i, c in enumerate(x):
         places[c] = places.get(c, 0) | 1 << i
@@ -216,78 +255,159 @@ def edit_within(x: str, y: str, most: int) -> bool:
     return distance <= most
 
 
-def line_texts(marks: DataFrame, classes: DataFrame, docs: DataFrame, purpose: str) -> DataFrame:
-    """mark and normal (the normalised line) of the classes in ``marks``, read from their first places."""
-    wanted = marks.distinct().join(classes.select("mark", "first"), "mark")
-    places = wanted.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "mark")).alias("places"))
+def all_within(pairs: list[tuple[str, str]], most: list[int]) -> list[bool]:
+    """``edit_within`` for many pairs: their distance tables are filled together, by antidiagonals of the band that ``most`` allows."""
+    parts = [trimmed(x, y) for x, y in pairs]
+    size = [max(len(x), len(y)) for x, y in parts]
+    out, left = [False] * len(pairs), []
+    for i, (x, y) in enumerate(parts):
+        if size[i] <= TABLE and x and y and max(max(x), max(y)) < "\ufff0":
+            if abs(len(x) - len(y)) <= most[i]:
+                left.append(i)
+        else:
+            out[i] = edit_within(x, y, most[i])
+    left.sort(key=size.__getitem__)
+    for first in range(0, len(left), 128):
+        some = left[first : first + 128]
+        band, long, wide = max(most[i] for i in some), size[some[-1]], len(some)
+        table = [np.full((long + 2 * band + 4, wide), none, np.uint16) for none in (0xFFFE, 0xFFFF)]
+        ends: dict[int, list[int]] = {}
+        for k, i in enumerate(some):
+            for side, text in zip(table, parts[i]):
+                side[band + 1 : band + 1 + len(text), k] = np.frombuffer(text.encode("utf-16-le"), np.uint16)
+            ends.setdefault(len(parts[i][0]) + len(parts[i][1]), []).append(k)
+        # The second text stands backwards, so that an antidiagonal is a slice of both.
+        x, y = table[0], table[1][::-1].copy()
+        # Diagonals -band, -band + 2 ... and those between with one more on each side. Cells outside the table stay large.
+        outer, inner = np.full((band + 1, wide), 16000, np.int16), np.full((band + 2, wide), 16000, np.int16)
+        (inner if band % 2 else outer)[(band + band % 2) // 2] = 0
+        one, unlike, beside = np.uint16(1), np.empty((band + 1, wide), np.uint16), np.empty((band + 1, wide), np.int16)
+        for s in range(1, max(ends) + 1):
+            between = (s + band) % 2
+            low, n = between - band, band + 1 - between
+            new, near = (inner[1:-1], outer) if between else (outer, inner)
+            i, j = (s + low) // 2 + band, len(y) - 1 - ((s - low) // 2 + band)
+            np.minimum(np.bitwise_xor(x[i : i + n], y[j : j + n], out=unlike[:n]), one, out=unlike[:n])
+            np.minimum(near[:-1], near[1:], out=beside[:n])
+            beside[:n] += 1
+            new += unlike[:n].view(np.int16)
+            np.minimum(new, beside[:n], out=new)
+            for k in ends.get(s, ()):
+                a, b = parts[some[k]]
+                out[some[k]] = bool(new[(len(a) - len(b) - low) // 2, k] <= most[some[k]])
+    return out
+
+
+def list_texts(lists: DataFrame, classes: DataFrame, docs: DataFrame, purpose: str) -> DataFrame:
+    """head, node, names (its lists of at most ``BLOCK`` nodes), normal (the normalised line): the lines are read from the classes' first places."""
+    wanted = lists.groupBy("head", "node").agg(F.collect_list(F.when(F.col("members") <= BLOCK, F.col("name"))).alias("names")).join(classes.select(F.col("mark").alias("node"), "first"), "node")
+    places = wanted.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "head", "node", "names")).alias("places"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(places, "doc_id").select("text", "places")
 
     def run(batches):
         for batch, texts in chunks(batches):
-            marks, lines = [], []
+            found = []
             for text, places in zip(texts, batch.column("places").to_pylist()):
                 split = normalise(text).split(b"\n")
-                for p in places:
-                    if p["line"] < len(split):
-                        marks.append(p["mark"])
-                        lines.append(b" ".join(split[p["line"]].split()).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(lines, pa.string())], ["mark", "normal"])
+                found += [(p["head"], p["node"], p["names"], b" ".join(split[p["line"]].split()).decode("utf-8", "replace")) for p in places if p["line"] < len(split)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string()))], ["head", "node", "names", "normal"])
 
     # A document of several rows gives a mark several texts, of which at least one has the line.
-    return stage(map_arrow(rows, run, "mark long, normal string"), f"{purpose}-texts")
+    return stage(map_arrow(rows, run, "head long, node long, names array<long>, normal string"), f"{purpose}-texts")
 
 
-def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
+def similar(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The pairs of marks whose normalised lines are similar enough."""
-    lines = line_texts(pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))), classes, docs, purpose)
     both = pairs.join(lines.select(F.col("mark").alias("a"), F.col("normal").alias("x")), "a").join(lines.select(F.col("mark").alias("b"), F.col("normal").alias("y")), "b")
 
     def verify(batches):
         for batch in batches:
-            fine = [i for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())) if edit_within(x, y, allowed(max(len(x), len(y)), similarity))]
+            x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
+            at = np.arange(len(x))
+            left, right, edits = within_reach(x + y, at, at + len(x), similarity)
+            left, right, edits = left.tolist(), right.tolist(), edits.tolist()
+            fine = [i for i, good in zip(left, all_within([(x[i], y[j - len(x)]) for i, j in zip(left, right)], edits)) if good]
             yield batch.select(["a", "b"]).take(pa.array(fine, pa.int64()))
 
     return map_arrow(both.select("a", "b", "x", "y"), verify, "a long, b long").distinct()
 
 
-def trigrams(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    return np.unique(points[:-2] << np.uint64(42) | points[1:-1] << np.uint64(21) | points[2:])
-
+def within_reach(texts: list[str], left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs (indexes of texts) that lengths and trigrams do not rule out, and the edits allowed to each.
 
-def cell_links(rows: list[dict], similarity: float) -> list[tuple[int, int]]:
-    """Links between groups of one cell, enough of them to connect all groups that its pairs connect.
-
-    One edit takes at most three trigrams from a line, so pairs that lack more of each other's than the edits allow are not tested.
+    One edit takes at most three trigrams from a line and adds three, so counts in ``TRIGRAMS`` classes differ by at most that either way.
     """
-    low, high = min(r["block"] for r in rows), max(r["block"] for r in rows)
-    left, right = [r for r in rows if r["block"] == low], [r for r in rows if r["block"] == high]
-    size = [np.array([len(r["normal"]) for r in side]) for side in (left, right)]
-    grams = [[trigrams(r["normal"]) for r in side] for side in (left, right)]
-    few = len(left) * len(right) <= 64
-    shared = np.array([[len(np.intersect1d(x, y, True)) for y in grams[1]] for x in grams[0]]) if few else shared_counts(*grams)
-    edits = np.floor(np.maximum.outer(*size) * (1 - similarity) + 1e-9)
-    held = [np.array([len(g) for g in side]) for side in grams]
-    fine = (np.abs(np.subtract.outer(*size)) <= edits) & (np.maximum.outer(*held) - shared <= 3 * edits) & (edits > 0)
-    root = {r["group"]: r["group"] for r in rows}
+    size = np.array([len(t) for t in texts], np.int64)
+    edits = np.floor(np.maximum(size[left], size[right]) * (1 - similarity) + 1e-9).astype(np.int64)
+    fine = np.flatnonzero((np.abs(size[left] - size[right]) <= edits) & (edits > 0))
+    left, right, edits = left[fine], right[fine], edits[fine]
+    if not len(fine):
+        return left, right, edits
+    held, back = np.unique(np.concatenate([left, right]), return_inverse=True)
+    points = np.frombuffer("".join([texts[i] for i in held.tolist()]).encode("utf-32-le"), np.uint32)
+    line = np.repeat(np.arange(len(held)), size[held])
+    inside = np.flatnonzero(line[2:] == line[:-2])
+    gram = (points[:-2] * np.uint32(0x9E3779B1) ^ points[1:-1] * np.uint32(0x85EBCA77) ^ points[2:] * np.uint32(0xC2B2AE3D))[inside] * np.uint32(0x27D4EB2F) >> np.uint32(22)
+    count = np.minimum(np.bincount(line[inside] * TRIGRAMS + gram, minlength=len(held) * TRIGRAMS), 32767).astype(np.int16).reshape(-1, TRIGRAMS)
+    x, y = back[: len(left)], back[len(left) :]
+    reach = [np.zeros(0, bool)]
+    for k in range(0, len(left), 2048):
+        apart = count[x[k : k + 2048]] - count[y[k : k + 2048]]
+        more = np.maximum(apart, 0).sum(axis=1, dtype=np.int64)
+        reach.append(np.maximum(more, more - apart.sum(axis=1, dtype=np.int64)) <= 3 * edits[k : k + 2048])
+    reach = np.concatenate(reach)
+    return left[reach], right[reach], edits[reach]
+
+
+def joined(nodes: list[int], labels: list, texts: list[str], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links (nodes) between rows of different labels, enough of them to connect all labels that the pairs connect."""
+    root = {g: g for g in labels}
 
     def find(g):
         while root[g] != g:
             root[g] = g = root[root[g]]
         return g
 
-    found = []
-    for i, j in np.argwhere(fine).tolist():
-        a, b = find(left[i]["group"]), find(right[j]["group"])
-        if a != b and edit_within(left[i]["normal"], right[j]["normal"], int(edits[i, j])):
+    found, open_pairs = [], []
+
+    def test(some):
+        some = [(i, j, e) for i, j, e in some if find(labels[i]) != find(labels[j])]
+        for (i, j, _), fine in zip(some, all_within([(texts[i], texts[j]) for i, j, _ in some], [e for _, _, e in some])):
+            if fine:
+                join(i, j)
+
+    def join(i, j):
+        a, b = find(labels[i]), find(labels[j])
+        if a != b:
             root[a] = b
-            found.append((left[i]["node"], right[j]["node"]))
+            found.append((nodes[i], nodes[j]))
+
+    left, right, edits = within_reach(texts, left, right, similarity)
+    for i, j, e in zip(left.tolist(), right.tolist(), edits.tolist()):
+        if find(labels[i]) != find(labels[j]):
+            if edits_at_most(texts[i], texts[j], e) <= e:
+                join(i, j)
+            else:
+                open_pairs.append((i, j, e))
+    for k in range(0, len(open_pairs), 256):
+        test(open_pairs[k : k + 256])
     return found
 
 
-def links_between(members: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
+def cell_links(rows: list[dict], similarity: float) -> list[tuple[int, int]]:
+    """Links between groups of one cell, enough of them to connect all groups that its pairs connect."""
+    low, high = min(r["block"] for r in rows), max(r["block"] for r in rows)
+    left, right = (np.array([i for i, r in enumerate(rows) if r["block"] == b]) for b in (low, high))
+    return joined([r["node"] for r in rows], [r["group"] for r in rows], [r["normal"] for r in rows], np.repeat(left, len(right)), np.tile(right, len(left)), similarity)
+
+
+def links_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+
+def links_between(members: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """Links that join different groups of one circle. Cells of two blocks are compared in place; no pair becomes a row."""
-    lines = line_texts(members.select(F.col("node").alias("mark")), classes, docs, purpose)
     cells = meetings(members, BLOCK).join(lines.select(F.col("mark").alias("node"), "normal"), "node")
     cells = cells.select("head", "x", "y", "block", "node", "group", "normal").repartition("head", "x", "y").sortWithinPartitions("head", "x", "y")
 
@@ -301,27 +421,146 @@ def links_between(members: DataFrame, classes: DataFrame, docs: DataFrame, simil
                     found += cell_links(rows, similarity) if rows else []
                     rows, cell = [], mine
                 rows.append(row)
-            yield links(found)
-        yield links(cell_links(rows, similarity) if rows else [])
-
-    def links(found):
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+            yield links_batch(found)
+        yield links_batch(cell_links(rows, similarity) if rows else [])
 
     return map_arrow(cells, run, "a long, b long")
 
 
+def links_within(texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between the nodes of each list of at most ``BLOCK`` nodes (see ``list_texts``), compared in place; no pair becomes a row.
+
+    The lists of a head are compared together, so a text comes once for all of them and a pair is tested once.
+    """
+    rows = texts.where("size(names) > 0").repartition("head").sortWithinPartitions("head", "node")
+
+    def compare(heads, nodes, names, texts):
+        name = np.concatenate([np.array(x, np.int64) for x in names])
+        row = np.repeat(np.arange(len(names)), [len(x) for x in names])
+        order = np.lexsort((row, name))
+        name, row = name[order], row[order]
+        starts = np.concatenate([[0], np.flatnonzero(name[1:] != name[:-1]) + 1, [len(name)]])
+        later = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(name)) - 1
+        left = np.repeat(np.arange(len(name)), later)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(later) - later, later)
+        pairs = np.unique(row[left] * len(names) + row[right])
+        return links_batch(joined(nodes, [*zip(heads, nodes)], texts, pairs // len(names), pairs % len(names), similarity))
+
+    def run(batches):
+        held = [[], [], [], []]
+        for batch in batches:
+            for x, c in zip(held, ("head", "node", "names", "normal")):
+                x += batch.column(c).to_pylist()
+            # The last head may go on in the next batch.
+            whole = bisect_left(held[0], held[0][-1]) if held[0] else 0
+            if whole >= BATCH_ROWS:
+                yield compare(*(x[:whole] for x in held))
+                held = [x[whole:] for x in held]
+        if held[0]:
+            yield compare(*held)
+
+    return map_arrow(rows, run, "a long, b long")
+
+
+def key_lists(lines: DataFrame, similarity: float) -> DataFrame:
+    """name, head (the smallest node), node, members: the lists of nodes that share a key and whose sizes allow a link, each set of nodes once.
+
+    The nodes of a key are put in the order of their sizes and cut where a size is too far from the next one: no pair across a cut
+    is similar enough. Most keys are met once, so rows travel packed, many keys of one part of the key range in a row.
+    """
+
+    def pack(batches):
+        keys, held = [], 0
+        for batch in batches:
+            lists = batch.column("keys")
+            count = np.diff(lists.offsets.to_numpy())
+            keys.append((lists.flatten().to_numpy(), np.repeat(batch.column("mark").to_numpy(), count), np.repeat(batch.column("size").to_numpy(), count)))
+            held += len(keys[-1][0])
+            if held >= PACK:
+                yield packed(keys)
+                keys, held = [], 0
+        if held:
+            yield packed(keys)
+
+    def packed(keys):
+        key, node, size = (np.concatenate(x) for x in zip(*keys))
+        part = (key.view(np.uint64) >> np.uint64(64 - PARTS)).astype(np.uint16)
+        order = np.argsort(part, kind="stable")
+        key, node, size, part = key[order], node[order], size[order], part[order]
+        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
+        raw = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]].astype(np.int32)), raw(key), raw(node), raw(size)], ["part", "key", "node", "size"])
+
+    def gather(batches):
+        held, part = [], None
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "node", "size"))):
+                if row[0] != part:
+                    if held:
+                        yield lists(held)
+                    held, part = [], row[0]
+                held.append(row[1:])
+        if held:
+            yield lists(held)
+
+    def lists(held):
+        key, node, size = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held), (np.int64, np.int64, np.int32)))
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        shared = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+        key, node, size = key[shared], node[shared], size[shared]
+        order = np.lexsort((node, size, key))
+        key, node, size = key[order], node[order], size[order]
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])[: len(key)]
+        key, node, size = key[once], node[once], size[once].astype(np.int64)
+        cut = (key[1:] != key[:-1]) | (size[1:] - size[:-1] > np.floor(size[1:] * (1 - similarity) + 1e-9))
+        start = np.concatenate([[0], np.flatnonzero(cut) + 1]) if len(key) else np.zeros(0, np.int64)
+        members = np.diff(np.append(start, len(key)))
+        # Lists of the same nodes have the same name.
+        name = mix(np.add.reduceat(mix(node.view(np.uint64)), start) + members.astype(np.uint64)) if len(key) else np.zeros(0, np.uint64)
+        many = np.repeat(members > 1, members)
+        head = np.minimum.reduceat(node, start) if len(key) else node
+        out = np.repeat(name.view(np.int64), members)[many], np.repeat(head, members)[many], node[many], np.repeat(members, members)[many]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["name", "head", "node", "members"])
+
+    rows = map_arrow(lines.where("size(keys) > 0").select("mark", "size", "keys"), pack, "part int, key binary, node binary, size binary")
+    return map_arrow(rows.repartition("part").sortWithinPartitions("part"), gather, "name long, head long, node long, members long").distinct()
+
+
+def line_groups(lines: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
+    """node and root of all classes that are linked to another one.
+
+    Lists of at most ``BLOCK`` nodes are compared whole. In a longer one every node is first tested against the smallest; only lists
+    whose nodes are then still in different groups go on, to cells of two blocks. So a group of alike nodes costs its size, not
+    its square, and no link that could join two groups stays untested.
+    """
+    lists = stage(key_lists(lines, similarity), f"{purpose}-lists")
+    texts = list_texts(lists, classes, docs, purpose)
+    links = links_within(texts, similarity)
+    large = lists.where(F.col("members") > BLOCK).select(F.col("name").alias("head"), F.col("head").alias("least"), "node")
+    some = not large.isEmpty()
+    if some:
+        star = large.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+        texts = texts.join(large.select("node").distinct(), "node").select(F.col("node").alias("mark"), "normal").distinct()
+        links = links.union(similar(star, texts, similarity))
+    links = stage(links, f"{purpose}-links")
+    if links.isEmpty() and not some:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    root = components(links, purpose)
+    if not some:
+        return root
+    grouped = large.join(root.withColumnRenamed("node", "linked"), F.col("linked") == F.col("node"), "left").select("head", "node", F.coalesce("root", "node").alias("group"))
+    mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("head")
+    rest = stage(grouped.join(mixed, "head"), f"{purpose}-mixed")
+    further = stage(links_between(rest, texts, similarity), f"{purpose}-further")
+    return root if further.isEmpty() else components(links.union(further), f"{purpose}-all")
+
+
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str, ...] = (), purpose: str = "lines", short: int = SHORT) -> DataFrame:
     """doc_id, text without the repeated lines, n_lines, n_removed, and the columns named in ``keep``."""
     lines = stage(line_table(docs, similarity, short), f"{purpose}-table")
-    classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first"), F.min("size").alias("size"), F.min("parity").alias("parity")), f"{purpose}-classes")
-    # Both uses of the keys read one exchange by key.
-    keys = lines.select(F.explode("keys").alias("key"), F.col("mark").alias("node")).repartition("key").distinct()
-    # One edit changes at most four of a line's character pairs, so neither test drops a pair that is similar enough.
-    edits = F.floor(F.greatest("size_a", "size_b") * F.lit(1 - similarity) + F.lit(1e-9))
-    near = lambda pairs: pairs.where((F.abs(F.col("size_a") - F.col("size_b")) <= edits) & (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 4 * edits))
-    links = lambda pairs, name: similar(pairs, classes, docs, similarity, name)
-    between = lambda members, name: links_between(members, classes, docs, similarity, name)
-    root = link_groups(keys, classes.select(F.col("mark").alias("node"), "size", "parity"), near, links, purpose, between, by_list=True)
+    classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first")), f"{purpose}-classes")
+    root = line_groups(lines, classes, docs, similarity, purpose)
     # A group's keeper is the least first occurrence of its classes, its root's own class included.
     tied = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
     tied = classes.select("mark", "first").join(tied, F.col("mark") == F.col("node")).select("mark", "root", "first")

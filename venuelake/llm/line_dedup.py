@@ -7,7 +7,8 @@ stays and all others go. Lines without a letter or digit always stay.
 
 Candidates are lines that share a key and whose sizes allow a link. Lines of at most ``EXACT`` characters have keys that miss nothing: the shorter line of a
 pair is cut into one piece more than the edits allowed, so a piece is whole in the longer one, near its place. Longer
-lines have ``BANDS`` MinHash keys of ``ROWS`` minima over runs of ``GRAM`` characters; README has the measured recall.
+lines have ``BANDS`` MinHash keys of ``ROWS`` minima over runs of ``GRAM`` characters; README has the measured recall. With such a key go the
+places of its minima: lines that share it are a pair only if the edits allowed can have moved the runs from their places in one line to those in the other.
 
 ``short`` is for callers only: lines under so many words are then compared within their document.
 
@@ -44,6 +45,7 @@ ANCHOR = 8  # characters of a run that is looked for in the other line
 TRIGRAMS = 1024  # classes of hashed trigrams that are counted
 PARTS = 12  # bits of a key that name its part of the key range
 PACK = 1 << 20  # keys of a task that are packed at once
+CACHED = 1 << 16  # characters of lines whose runs are hashed at once
 
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[:48] = _NORMAL[58:65] = _NORMAL[91:97] = _NORMAL[123:128] = 32
@@ -52,6 +54,7 @@ _NORMAL[48:58] = 48
 _NORMAL[65:91] += 32
 _TABLE = _NORMAL.tobytes()
 _MINIMA = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)).astype(np.uint32) | np.uint32(1)
+ANYWHERE = sum(255 << 8 * (ROWS + row) for row in range(ROWS))  # spots of a key that does not tell its place
 _POINTS = mix(np.arange(1, 1 << 16, dtype=np.uint64))
 _SPREAD = np.array([sum(1 << (8 * k) for k in range(8) if b >> k & 1) for b in range(256)], np.uint64)
 
@@ -114,8 +117,38 @@ def point_hashes(points: np.ndarray) -> np.ndarray:
     return mix(points.astype(np.uint64) + np.uint64(1))
 
 
+def least_runs(gram: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least value of the runs that begin in each range, by each of the ``ROWS * BANDS`` factors; its low byte is the place (in
+    256 parts of the range) where the run stands first, in the second table the place from the end where it stands last.
+    """
+    first, last = (np.empty((len(_MINIMA), len(start)), np.uint32) for _ in range(2))
+    cut = 0
+    while cut < len(start):  # some lines at a time, so that the values stay in the cache
+        stop = max(int(np.searchsorted(end, start[cut] + CACHED)), cut + 1)
+        low, high = start[cut], end[stop - 1]
+        count = (end - start)[cut:stop]
+        bounds = np.stack([start[cut:stop], end[cut:stop]], 1).ravel() - low
+        bounds = bounds[:-1]  # the last range ends with the values
+        place = np.zeros(high - low, np.uint32)
+        inside = np.repeat(start[cut:stop] - low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        place[inside] = (inside - np.repeat(start[cut:stop] - low, count)) * 256 // np.repeat(count, count)
+        some, value = gram[low:high], np.empty(high - low, np.uint32)
+        for k, factor in enumerate(_MINIMA):
+            np.bitwise_and(np.multiply(some, factor, out=value), np.uint32(0xFFFFFF00), out=value)
+            first[k, cut:stop] = np.minimum.reduceat(np.bitwise_or(value, place, out=value), bounds)[::2]
+            last[k, cut:stop] = np.minimum.reduceat(np.bitwise_xor(value, np.uint32(255), out=value), bounds)[::2]
+        cut = stop
+    return first, last
+
+
 def line_keys(lines: list[bytes], similarity: float, pairs: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Characters of each normalised line, the parity of its hashed character pairs (0 without ``pairs``), and its keys. No line is empty."""
+    return placed_keys(lines, similarity, pairs)[:3]
+
+
+def placed_keys(lines: list[bytes], similarity: float, pairs: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
+    """``line_keys``, and the spots of each key: for each minimum a byte with the place (in 256 parts of the line) where its run stands
+    first, then for each a byte with the parts from there to where it stands last. Keys of pieces have their place in them; their spots are anywhere."""
     points = np.frombuffer((b"\n".join(lines) + b"\n").decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     end = np.flatnonzero(points == 10)
     start = np.concatenate([[0], end[:-1] + 1])
@@ -129,37 +162,44 @@ def line_keys(lines: list[bytes], similarity: float, pairs: bool = True) -> tupl
         pair = np.uint64(1) << (grams(2) >> np.uint64(58))
         # Ranges are every other part; a line of one character has no pair.
         parity = np.where(size > 1, np.bitwise_xor.reduceat(pair, np.stack([start, end - (size > 1)], 1).ravel())[::2], parity)
-    of, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    of, keys, spots = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for n in np.unique(size[size <= EXACT]).tolist():
         mine = np.flatnonzero(size == n)
         first, last, tag = pieces(n, similarity)
         if len(tag):
             keys.append(mix(range_hash(prefix, (start[mine, None] + first).ravel(), (start[mine, None] + last).ravel()) ^ np.tile(mix(tag.astype(np.uint64)), len(mine))))
             of.append(np.repeat(mine, len(tag)))
+            spots.append(np.full(len(of[-1]), ANYWHERE))
     long = np.flatnonzero((size >= GRAM) & (size >= EXACT + 1 - allowed(EXACT + 1, similarity)))
     if long.size:
         gram = (grams(GRAM) >> np.uint64(32)).astype(np.uint32)
-        bounds = np.stack([start[long], end[long] - GRAM + 1], 1).ravel()
+        first, last = least_runs(gram, start[long], end[long] - GRAM + 1)
         for band in range(BANDS):
-            key = np.full(len(long), band + 1, np.uint64)
-            for factor in _MINIMA[band * ROWS : (band + 1) * ROWS]:
-                key = mix((key << np.uint64(1)) + np.minimum.reduceat(gram * factor, bounds)[::2])
+            key, spot = np.full(len(long), band + 1, np.uint64), np.zeros(len(long), np.int64)
+            for row in range(ROWS):
+                x, y = first[band * ROWS + row], last[band * ROWS + row]
+                key = mix((key << np.uint64(1)) + (x >> np.uint32(8)))
+                begin = (x & np.uint32(255)).astype(np.int64)
+                spot |= begin << 8 * row | 255 - begin - (y & np.uint32(255)) << 8 * (ROWS + row)
             keys.append(key)
             of.append(long)
-    of, keys = np.concatenate(of), np.concatenate(keys)
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(lines)))]).astype(np.int32)
-    return size, parity, pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[np.argsort(of, kind="stable")].view(np.int64)))
+            spots.append(spot)
+    of, keys, spots = np.concatenate(of), np.concatenate(keys), np.concatenate(spots)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(lines)))]).astype(np.int32))
+    order = np.argsort(of, kind="stable")
+    return size, parity, pa.ListArray.from_arrays(offsets, pa.array(keys[order].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(spots[order]))
 
 
-def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHORT) -> DataFrame:
-    """doc_id, line, mark, size of each line with a word, and the keys of each mark at least once.
+def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHORT, keyed: bool = True) -> DataFrame:
+    """doc_id, line, mark of each line with a word; with ``keyed`` also its size, and the keys and spots of each mark at least once.
 
     Lines under ``short`` words have marks of their own document and no keys.
     """
+    columns = {"doc_id": "long", "line": "int", "mark": "long"} | ({"size": "int", "keys": "array<long>", "spots": "array<long>"} if keyed else {})
 
     def run(batches):
         for batch, texts in chunks(batches):
-            doc, number, place, keyed, lines = [], [], [], [], []
+            doc, number, place, met, lines = [], [], [], [], []
             # Repeats within the batch share the keys of one of them.
             known: dict[bytes, int] = {}
             ids = batch.column("doc_id").to_pylist()
@@ -172,21 +212,24 @@ def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHO
                         few = len(words) < short
                         line = b" ".join(words)
                         place.append(known.setdefault(b"%d\n%s" % (d, line) if few else line, len(known)))
-                        if len(known) > len(keyed):
-                            keyed.append(not few)
+                        if len(known) > len(met):
+                            met.append(not few)
                             lines.append(line)
             if not doc:
                 continue
-            place, keyed = np.array(place), np.array(keyed)
+            place = np.array(place)
             marks = np.array([int.from_bytes(blake2b(x, digest_size=8).digest(), "little") for x in known], np.uint64).view(np.int64)
-            size, _, keys = line_keys(lines, similarity, pairs=False)
-            once = np.zeros(len(place), bool)
-            once[np.unique(place, return_index=True)[1]] = True
-            keys = keys.take(pa.array(place, mask=~(once & keyed[place])))
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(number, pa.int32()), pa.array(marks[place]), pa.array(size[place].astype(np.int32)), keys], ["doc_id", "line", "mark", "size", "keys"])
+            out = [pa.array(doc, pa.int64()), pa.array(number, pa.int32()), pa.array(marks[place])]
+            if keyed:
+                size, _, keys, spots = placed_keys(lines, similarity, pairs=False)
+                once = np.zeros(len(place), bool)
+                once[np.unique(place, return_index=True)[1]] = True
+                held = pa.array(place, mask=~(once & np.array(met)[place]))
+                out += [pa.array(size[place].astype(np.int32)), keys.take(held), spots.take(held)]
+            yield pa.RecordBatch.from_arrays(out, [*columns])
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, run, "doc_id long, line int, mark long, size int, keys array<long>")
+    return map_arrow(rows, run, ", ".join(f"{c} {kind}" for c, kind in columns.items()))
 
 
 def block_keys(simhash: Column) -> Column:
@@ -409,7 +452,8 @@ def links_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
 def links_between(members: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """Links that join different groups of one circle. Cells of two blocks are compared in place; no pair becomes a row."""
     cells = meetings(members, BLOCK).join(lines.select(F.col("mark").alias("node"), "normal"), "node")
-    cells = cells.select("head", "x", "y", "block", "node", "group", "normal").repartition("head", "x", "y").sortWithinPartitions("head", "x", "y")
+    cells = cells.select("head", "x", "y", "block", "node", "group", "normal")
+    cells = spread(cells, "head", "x", "y").sortWithinPartitions("head", "x", "y")
 
     def run(batches):
         rows, cell = [], None
@@ -427,12 +471,17 @@ def links_between(members: DataFrame, lines: DataFrame, similarity: float) -> Da
     return map_arrow(cells, run, "a long, b long")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt by the keys to as many tasks as a shuffle has; these are not joined for their small size, as their rows cost more than their bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def links_within(texts: DataFrame, similarity: float) -> DataFrame:
     """Links between the nodes of each list of at most ``BLOCK`` nodes (see ``list_texts``), compared in place; no pair becomes a row.
 
     The lists of a head are compared together, so a text comes once for all of them and a pair is tested once.
     """
-    rows = texts.where("size(names) > 0").repartition("head").sortWithinPartitions("head", "node")
+    rows = spread(texts.where("size(names) > 0"), "head").sortWithinPartitions("head", "node")
 
     def compare(heads, nodes, names, texts):
         name = np.concatenate([np.array(x, np.int64) for x in names])
@@ -462,20 +511,85 @@ def links_within(texts: DataFrame, similarity: float) -> DataFrame:
     return map_arrow(rows, run, "a long, b long")
 
 
+def can_link(size: np.ndarray, low: np.ndarray, high: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the sizes, and the bounds of the places of the runs that both rows share, allow a link of the rows ``left`` and ``right``.
+
+    An unchanged run with places p and q has at least |p - q| edits before it and those behind it that the sizes and p - q still ask for.
+    """
+    longer = size[left] - size[right]
+    slack = np.floor(np.maximum(size[left], size[right]) * (1 - similarity) + 1e-9) - np.abs(longer)
+    fine = np.flatnonzero(slack >= 0)
+    left, right, longer, slack = left[fine], right[fine], longer[fine], slack[fine]
+    before, behind = np.minimum(longer, 0), np.maximum(longer, 0)
+    for row in range(ROWS):
+        apart = np.maximum(low[row][left] - high[row][right] - behind, before - high[row][left] + low[row][right])
+        kept = np.flatnonzero(2 * apart <= slack)
+        fine, left, right, slack, before, behind = fine[kept], left[kept], right[kept], slack[kept], before[kept], behind[kept]
+    return fine
+
+
+def halves(rows: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray, similarity: float) -> list[np.ndarray]:
+    """The rows of a long list in lists of at most ``BLOCK`` rows, as far as sizes and places tell them apart; any two that can be linked have one in common."""
+    if len(rows) <= BLOCK:
+        return [rows]
+    least = size[rows].min()
+    reach = (1 - similarity) / similarity * least / max(least - GRAM, 1)  # of places, as parts of the line
+    runs = np.maximum(size[rows] - GRAM + 1, 1)
+    log = np.log(np.maximum(size[rows], 1))
+    best = None
+    for first, last, wide in [(log, log, -np.log(similarity)), *((low[row][rows] / runs, high[row][rows] / runs, reach) for row in range(ROWS))]:
+        middle = np.median((first + last) / 2)
+        two = rows[first <= middle + wide / 2 + 1e-6], rows[last >= middle - wide / 2 - 1e-6]
+        if best is None or max(map(len, two)) < max(map(len, best)):
+            best = two
+    if max(map(len, best)) > 0.9 * len(rows):
+        return [rows]
+    return [x for half in best for x in halves(half, size, low, high, similarity)]
+
+
+def related(starts: np.ndarray, rows: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray, similarity: float) -> np.ndarray:
+    """For each place of ``rows``, lists of at most ``BLOCK`` rows that begin at ``starts``, the first place of those that pairs that can be linked connect with it."""
+    members = np.diff(np.append(starts, len(rows)))
+    later = np.repeat(starts + members, members) - np.arange(len(rows)) - 1
+    total = np.concatenate([[0], np.cumsum(later)])
+    left, right, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while at < len(rows):
+        end = max(int(np.searchsorted(total, total[at] + PACK, "right")) - 1, at + 1)
+        x = np.repeat(np.arange(at, end), later[at:end])
+        y = x + 1 + np.arange(len(x)) - (total[x] - total[at])
+        fine = can_link(size, low, high, rows[x], rows[y], similarity)
+        left.append(x[fine])
+        right.append(y[fine])
+        at = end
+    left, right, label = np.concatenate(left), np.concatenate(right), np.arange(len(rows))
+    while True:
+        least, new = np.minimum(label[left], label[right]), label.copy()
+        np.minimum.at(new, left, least)
+        np.minimum.at(new, right, least)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new
+
+
 def key_lists(lines: DataFrame, similarity: float) -> DataFrame:
-    """name, head (the smallest node), node, members: the lists of nodes that share a key and whose sizes allow a link, each set of nodes once.
+    """name, head (the smallest node), node, members: the lists of nodes that share a key and that sizes and places (``can_link``) connect, each set of nodes once.
 
     The nodes of a key are put in the order of their sizes and cut where a size is too far from the next one: no pair across a cut
-    is similar enough. Most keys are met once, so rows travel packed, many keys of one part of the key range in a row.
+    is similar enough. What is left is cut into the nodes that pairs connect, long lists into shorter ones first.
+    Most keys are met once, so rows travel packed, many keys of one part of the key range in a row, bytes that are mostly 0 apart.
     """
+    placed = "spots" in lines.columns
 
     def pack(batches):
         keys, held = [], 0
         for batch in batches:
             lists = batch.column("keys")
             count = np.diff(lists.offsets.to_numpy())
-            keys.append((lists.flatten().to_numpy(), np.repeat(batch.column("mark").to_numpy(), count), np.repeat(batch.column("size").to_numpy(), count)))
-            held += len(keys[-1][0])
+            key = lists.flatten().to_numpy()
+            spot = batch.column("spots").flatten().to_numpy() if placed else np.full(len(key), ANYWHERE)
+            keys.append((key, np.repeat(batch.column("mark").to_numpy(), count), np.repeat(batch.column("size").to_numpy(), count), spot))
+            held += len(key)
             if held >= PACK:
                 yield packed(keys)
                 keys, held = [], 0
@@ -483,47 +597,79 @@ def key_lists(lines: DataFrame, similarity: float) -> DataFrame:
             yield packed(keys)
 
     def packed(keys):
-        key, node, size = (np.concatenate(x) for x in zip(*keys))
+        key, node, size, spot = (np.concatenate(x) for x in zip(*keys))
         part = (key.view(np.uint64) >> np.uint64(64 - PARTS)).astype(np.uint16)
         order = np.argsort(part, kind="stable")
-        key, node, size, part = key[order], node[order], size[order], part[order]
+        key, node, size, spot, part = key[order], node[order], size[order], spot[order], part[order]
         cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
-        raw = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]].astype(np.int32)), raw(key), raw(node), raw(size)], ["part", "key", "node", "size"])
+        columns = key.view(np.uint8).reshape(-1, 8)[:, :6], node, size.astype(np.int32).view(np.uint16)[::2], size.astype(np.int32).view(np.uint16)[1::2], *(spot.view(np.uint8)[k::8] for k in range(2 * ROWS))
+        raw = [pa.array([b"".join(x[a:b].tobytes() for x in columns) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]].astype(np.int32)), *raw], ["part", "held"])
+
+    def unpacked(raw):
+        n = len(raw) // (18 + 2 * ROWS)
+        at = np.cumsum([0, 6 * n, 8 * n, 2 * n, 2 * n] + [n] * (2 * ROWS)).tolist()
+        key, spot = np.zeros((n, 8), np.uint8), np.zeros((n, 8), np.uint8)
+        key[:, :6] = np.frombuffer(raw, np.uint8, 6 * n).reshape(-1, 6)
+        for k in range(2 * ROWS):
+            spot[:, k] = np.frombuffer(raw, np.uint8, n, at[4 + k])
+        size = np.frombuffer(raw, np.uint16, n, at[2]) | np.frombuffer(raw, np.uint16, n, at[3]).astype(np.int64) << 16
+        return key.view(np.int64).ravel(), np.frombuffer(raw, np.int64, n, at[1]), size, spot.view(np.int64).ravel()
 
     def gather(batches):
         held, part = [], None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "node", "size"))):
+            for row in zip(batch.column("part").to_pylist(), batch.column("held").to_pylist()):
                 if row[0] != part:
                     if held:
                         yield lists(held)
                     held, part = [], row[0]
-                held.append(row[1:])
+                held.append(row[1])
         if held:
             yield lists(held)
 
     def lists(held):
-        key, node, size = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held), (np.int64, np.int64, np.int32)))
+        key, node, size, spot = (np.concatenate(x) for x in zip(*map(unpacked, held)))
         order = np.argsort(key)
         same = key[order[1:]] == key[order[:-1]]
         shared = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-        key, node, size = key[shared], node[shared], size[shared]
+        key, node, size, spot = key[shared], node[shared], size[shared], spot[shared]
         order = np.lexsort((node, size, key))
-        key, node, size = key[order], node[order], size[order]
+        key, node, size, spot = key[order], node[order], size[order], spot[order]
         once = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])[: len(key)]
-        key, node, size = key[once], node[once], size[once].astype(np.int64)
+        key, node, size, spot = key[once], node[once], size[once], spot[once]
         cut = (key[1:] != key[:-1]) | (size[1:] - size[:-1] > np.floor(size[1:] * (1 - similarity) + 1e-9))
         start = np.concatenate([[0], np.flatnonzero(cut) + 1]) if len(key) else np.zeros(0, np.int64)
         members = np.diff(np.append(start, len(key)))
+        byte = lambda k: spot >> 8 * k & 255
+        part = np.maximum(size - GRAM + 1, 1) / 256
+        low = [byte(row) * part for row in range(ROWS)]
+        high = [(byte(row) + byte(ROWS + row) + 1) * part for row in range(ROWS)]
+        cells = [np.flatnonzero(np.repeat((members > 1) & (members <= BLOCK), members))]
+        starts, whole = [*np.cumsum([0, *members[(members > 1) & (members <= BLOCK)]])[:-1]], []
+        for k in np.flatnonzero(members > BLOCK).tolist():
+            for x in halves(np.arange(start[k], start[k] + members[k]), size, low, high, similarity):
+                if len(x) > BLOCK:
+                    whole.append(x)
+                elif len(x) > 1:
+                    starts.append(sum(map(len, cells)))
+                    cells.append(x)
+        rows = np.concatenate(cells)
+        label = related(np.array(starts, np.int64), rows, size, low, high, similarity)
+        order = np.argsort(label, kind="stable")
+        rows = np.concatenate([rows[order], *whole])
+        label = np.concatenate([label[order], *(np.full(len(x), -1 - k) for k, x in enumerate(whole))])
+        node = node[rows]
+        start = np.concatenate([[0], np.flatnonzero(label[1:] != label[:-1]) + 1]) if len(label) else np.zeros(0, np.int64)
+        members = np.diff(np.append(start, len(label)))
         # Lists of the same nodes have the same name.
-        name = mix(np.add.reduceat(mix(node.view(np.uint64)), start) + members.astype(np.uint64)) if len(key) else np.zeros(0, np.uint64)
+        name = mix(np.add.reduceat(mix(node.view(np.uint64)), start) + members.astype(np.uint64)) if len(node) else np.zeros(0, np.uint64)
         many = np.repeat(members > 1, members)
-        head = np.minimum.reduceat(node, start) if len(key) else node
+        head = np.minimum.reduceat(node, start) if len(node) else node
         out = np.repeat(name.view(np.int64), members)[many], np.repeat(head, members)[many], node[many], np.repeat(members, members)[many]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["name", "head", "node", "members"])
 
-    rows = map_arrow(lines.where("size(keys) > 0").select("mark", "size", "keys"), pack, "part int, key binary, node binary, size binary")
+    rows = map_arrow(lines.where("size(keys) > 0").select("mark", "size", "keys", *(["spots"] if placed else [])), pack, "part int, held binary")
     return map_arrow(rows.repartition("part").sortWithinPartitions("part"), gather, "name long, head long, node long, members long").distinct()
 
 
@@ -553,14 +699,14 @@ def line_groups(lines: DataFrame, classes: DataFrame, docs: DataFrame, similarit
     mixed = grouped.groupBy("head").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("head")
     rest = stage(grouped.join(mixed, "head"), f"{purpose}-mixed")
     further = stage(links_between(rest, texts, similarity), f"{purpose}-further")
-    return root if further.isEmpty() else components(links.union(further), f"{purpose}-all")
+    return root if further.isEmpty() else components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).union(further), f"{purpose}-all")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str, ...] = (), purpose: str = "lines", short: int = SHORT) -> DataFrame:
     """doc_id, text without the repeated lines, n_lines, n_removed, and the columns named in ``keep``."""
-    lines = stage(line_table(docs, similarity, short), f"{purpose}-table")
+    lines = stage(line_table(docs, similarity, short, keyed=False), f"{purpose}-table")
     classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first")), f"{purpose}-classes")
-    root = line_groups(lines, classes, docs, similarity, purpose)
+    root = line_groups(line_table(docs, similarity, short), classes, docs, similarity, purpose)
     # A group's keeper is the least first occurrence of its classes, its root's own class included.
     tied = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
     tied = classes.select("mark", "first").join(tied, F.col("mark") == F.col("node")).select("mark", "root", "first")

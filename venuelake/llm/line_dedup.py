@@ -19,6 +19,7 @@ compared and stay whole. Rows that share a doc_id are one document: what goes fr
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 from itertools import combinations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, chunks, map_arrow, stage
+from .common import BATCH_ROWS, CHUNK_BYTES, chunks, map_arrow, stage
 from .components import components, meetings
 from .words import _power, mix, range_hash
 
@@ -44,7 +45,9 @@ TABLE = 4096  # characters of lines whose distance tables are filled together
 ANCHOR = 8  # characters of a run that is looked for in the other line
 TRIGRAMS = 1024  # classes of hashed trigrams that are counted
 PARTS = 12  # bits of a key that name its part of the key range
-PACK = 1 << 20  # keys of a task that are packed at once
+PACK = 1 << 18  # keys of a task that are packed at once
+KEYED = 1 << 19  # bytes of text whose keys are made at once
+PAIRS = 1 << 17  # pairs whose sizes and places are compared at once
 CACHED = 1 << 16  # characters of lines whose runs are hashed at once
 
 _NORMAL = np.arange(256, dtype=np.uint8)
@@ -190,15 +193,12 @@ def placed_keys(lines: list[bytes], similarity: float, pairs: bool = True) -> tu
     return size, parity, pa.ListArray.from_arrays(offsets, pa.array(keys[order].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(spots[order]))
 
 
-def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHORT, keyed: bool = True) -> DataFrame:
-    """doc_id, line, mark of each line with a word; with ``keyed`` also its size, and the keys and spots of each mark at least once.
-
-    Lines under ``short`` words have marks of their own document and no keys.
-    """
+def line_rows(similarity: float, short: int, keyed: bool) -> tuple[dict[str, str], Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]]:
+    """The columns of ``line_table`` and what makes its rows of documents."""
     columns = {"doc_id": "long", "line": "int", "mark": "long"} | ({"size": "int", "keys": "array<long>", "spots": "array<long>"} if keyed else {})
 
     def run(batches):
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, limit=KEYED if keyed else CHUNK_BYTES):
             doc, number, place, met, lines = [], [], [], [], []
             # Repeats within the batch share the keys of one of them.
             known: dict[bytes, int] = {}
@@ -228,8 +228,20 @@ def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHO
                 out += [pa.array(size[place].astype(np.int32)), keys.take(held), spots.take(held)]
             yield pa.RecordBatch.from_arrays(out, [*columns])
 
-    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, run, ", ".join(f"{c} {kind}" for c, kind in columns.items()))
+    return columns, run
+
+
+def compared_rows(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def line_table(docs: DataFrame, similarity: float = SIMILARITY, short: int = SHORT, keyed: bool = True) -> DataFrame:
+    """doc_id, line, mark of each line with a word; with ``keyed`` also its size, and the keys and spots of each mark at least once.
+
+    Lines under ``short`` words have marks of their own document and no keys.
+    """
+    columns, run = line_rows(similarity, short, keyed)
+    return map_arrow(compared_rows(docs), run, ", ".join(f"{c} {kind}" for c, kind in columns.items()))
 
 
 def block_keys(simhash: Column) -> Column:
@@ -554,7 +566,7 @@ def related(starts: np.ndarray, rows: np.ndarray, size: np.ndarray, low: np.ndar
     total = np.concatenate([[0], np.cumsum(later)])
     left, right, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     while at < len(rows):
-        end = max(int(np.searchsorted(total, total[at] + PACK, "right")) - 1, at + 1)
+        end = max(int(np.searchsorted(total, total[at] + PAIRS, "right")) - 1, at + 1)
         x = np.repeat(np.arange(at, end), later[at:end])
         y = x + 1 + np.arange(len(x)) - (total[x] - total[at])
         fine = can_link(size, low, high, rows[x], rows[y], similarity)
@@ -572,22 +584,23 @@ def related(starts: np.ndarray, rows: np.ndarray, size: np.ndarray, low: np.ndar
         label = new
 
 
-def key_lists(lines: DataFrame, similarity: float) -> DataFrame:
+def key_lists(lines: DataFrame, similarity: float, made: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None) -> DataFrame:
     """name, head (the smallest node), node, members: the lists of nodes that share a key and that sizes and places (``can_link``) connect, each set of nodes once.
 
     The nodes of a key are put in the order of their sizes and cut where a size is too far from the next one: no pair across a cut
     is similar enough. What is left is cut into the nodes that pairs connect, long lists into shorter ones first.
     Most keys are met once, so rows travel packed, many keys of one part of the key range in a row, bytes that are mostly 0 apart.
+    With ``made``, ``lines`` are the rows of which it makes lines with keys, so that keys are packed where they are made.
     """
-    placed = "spots" in lines.columns
 
     def pack(batches):
         keys, held = [], 0
-        for batch in batches:
+        for batch in made(batches) if made else batches:
+            batch = batch.filter(batch.column("keys").is_valid())
             lists = batch.column("keys")
             count = np.diff(lists.offsets.to_numpy())
             key = lists.flatten().to_numpy()
-            spot = batch.column("spots").flatten().to_numpy() if placed else np.full(len(key), ANYWHERE)
+            spot = batch.column("spots").flatten().to_numpy() if "spots" in batch.schema.names else np.full(len(key), ANYWHERE)
             keys.append((key, np.repeat(batch.column("mark").to_numpy(), count), np.repeat(batch.column("size").to_numpy(), count), spot))
             held += len(key)
             if held >= PACK:
@@ -669,18 +682,18 @@ def key_lists(lines: DataFrame, similarity: float) -> DataFrame:
         out = np.repeat(name.view(np.int64), members)[many], np.repeat(head, members)[many], node[many], np.repeat(members, members)[many]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["name", "head", "node", "members"])
 
-    rows = map_arrow(lines.where("size(keys) > 0").select("mark", "size", "keys", *(["spots"] if placed else [])), pack, "part int, held binary")
+    rows = map_arrow(lines, pack, "part int, held binary")
     return map_arrow(rows.repartition("part").sortWithinPartitions("part"), gather, "name long, head long, node long, members long").distinct()
 
 
-def line_groups(lines: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, purpose: str) -> DataFrame:
+def line_groups(classes: DataFrame, docs: DataFrame, similarity: float, purpose: str, short: int = SHORT) -> DataFrame:
     """node and root of all classes that are linked to another one.
 
     Lists of at most ``BLOCK`` nodes are compared whole. In a longer one every node is first tested against the smallest; only lists
     whose nodes are then still in different groups go on, to cells of two blocks. So a group of alike nodes costs its size, not
     its square, and no link that could join two groups stays untested.
     """
-    lists = stage(key_lists(lines, similarity), f"{purpose}-lists")
+    lists = stage(key_lists(compared_rows(docs), similarity, line_rows(similarity, short, True)[1]), f"{purpose}-lists")
     texts = list_texts(lists, classes, docs, purpose)
     links = links_within(texts, similarity)
     large = lists.where(F.col("members") > BLOCK).select(F.col("name").alias("head"), F.col("head").alias("least"), "node")
@@ -706,7 +719,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, keep: tuple[str
     """doc_id, text without the repeated lines, n_lines, n_removed, and the columns named in ``keep``."""
     lines = stage(line_table(docs, similarity, short, keyed=False), f"{purpose}-table")
     classes = stage(lines.groupBy("mark").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "line")).alias("first")), f"{purpose}-classes")
-    root = line_groups(line_table(docs, similarity, short), classes, docs, similarity, purpose)
+    root = line_groups(classes, docs, similarity, purpose, short)
     # A group's keeper is the least first occurrence of its classes, its root's own class included.
     tied = root.unionByName(root.select(F.col("root").alias("node"), "root").distinct())
     tied = classes.select("mark", "first").join(tied, F.col("mark") == F.col("node")).select("mark", "root", "first")

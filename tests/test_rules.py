@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from venuelake.operators import classify as cl
+from venuelake.operators import rules as rule_module
 from venuelake.operators.rules import first_match
 
 RULES = [("SYSCO", "2. COGS/Food COGS", "Sysco"), ("RENT", "5. OPEX/Rent", "Landlord"), ("RENT A CAR", "5. OPEX/Travel", "Car Hire")]
@@ -129,3 +130,21 @@ def test_rows_are_not_shuffled_for_few_texts(spark):
     got = first_match(df, spark.createDataFrame([("b 1", 1, "X")], "keyword string, priority int, label string"), "t", ["label"])
     assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.groupBy("label").count().where("label = 'X'").first()["count"] == 11 * 150_000
+
+
+def test_places_that_begin_no_keyword_do_not_travel(spark):
+    import random
+
+    rng = random.Random(31)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    # Many keywords and texts that share their first letters with keywords but hold few whole ones.
+    keywords = sorted({word(9) + word(rng.randint(0, 6)) for _ in range(3000)})
+    texts = [" ".join(rng.choice(keywords)[:8] + word(6) for _ in range(30)) for _ in range(200)] + [f"{word(90)}{k}{word(90)}" for k in keywords[:50]] + [None, "", "é" * 40]
+    rules = spark.createDataFrame([(k, k, i) for i, k in enumerate(keywords)], "keyword string, label string, priority int")
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = {t: next((k for k in keywords if k in t), None) if t else None for t in texts}
+    assert {r.t: r.label for r in rule_module.first_match(df, rules, "t", ["label"]).collect()} == want
+    prepared = rules.select(F.upper("keyword").alias("_rk"), F.upper(F.substring("keyword", 1, rule_module.PREFIX)).alias("_k"))
+    places = rule_module._hit_places(df.where("t is not null").select(F.col("t").cast("binary").alias("_j"), F.upper("t").alias("_t")), prepared)
+    hits = sum(t[i : i + n].lower() in set(keywords) for t in texts if t for i in range(len(t)) for n in range(9, 16) if i + n <= len(t))
+    assert hits <= places.count() <= 1.5 * hits + 600

@@ -56,3 +56,15 @@ def test_a_text_comes_once_for_all_lists_of_a_head(spark):
     got = line_dedup.list_texts(lists, classes, docs, "test").collect()
     assert len(got) == len({(r.head, r.node) for r in got}) and {r.node for r in got} == {r.mark for r in lines.collect()}
     assert sum(len(r.names) for r in got) == lists.count()
+
+
+def test_pairs_that_cannot_end_within_the_bound_go_early():
+    rng = random.Random(9)
+    pairs, most = [], []
+    for _ in range(300):
+        x = "".join(rng.choice("abcd ") for _ in range(rng.choice([150, 220, 300])))
+        far = rng.random() < 0.8
+        pairs.append((x, changed(rng, x, rng.randint(40, 90) if far else rng.randint(1, 20))))
+        most.append(max(1, distance(*pairs[-1]) + rng.choice([-1, 0, 1]) if not far or rng.random() < 0.2 else 20))
+    want = [distance(x, y) <= m for (x, y), m in zip(pairs, most)]
+    assert line_dedup.all_within(pairs, most) == want and 30 < sum(want) < 270

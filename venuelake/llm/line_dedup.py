@@ -326,6 +326,8 @@ def all_within(pairs: list[tuple[str, str]], most: list[int]) -> list[bool]:
         some = left[first : first + 128]
         band, long, wide = max(most[i] for i in some), size[some[-1]], len(some)
         table = [np.full((long + 2 * band + 4, wide), none, np.uint16) for none in (0xFFFE, 0xFFFF)]
+        limit = np.array([most[i] for i in some], np.int16)
+        goal = np.array([len(parts[i][0]) - len(parts[i][1]) for i in some], np.int16)
         ends: dict[int, list[int]] = {}
         for k, i in enumerate(some):
             for side, text in zip(table, parts[i]):
@@ -348,8 +350,23 @@ def all_within(pairs: list[tuple[str, str]], most: list[int]) -> list[bool]:
             new += unlike[:n].view(np.int16)
             np.minimum(new, beside[:n], out=new)
             for k in ends.get(s, ()):
-                a, b = parts[some[k]]
-                out[some[k]] = bool(new[(len(a) - len(b) - low) // 2, k] <= most[some[k]])
+                out[some[k]] = bool(new[(goal[k] - low) // 2, k] <= limit[k])
+            if s % 64 == 0:
+                # A path has a cell on one of two antidiagonals that follow one another, and still has to come to its last diagonal.
+                reach = np.full(wide, 16000, np.int16)
+                for held, from_ in ((outer, -band), (inner[1:-1], 1 - band)):
+                    ahead = np.abs((from_ + 2 * np.arange(len(held), dtype=np.int16))[:, None] - goal)
+                    reach = np.minimum(reach, (held + ahead).min(axis=0, initial=16000))
+                alive = np.flatnonzero((reach <= limit) & (np.array([len(parts[i][0]) + len(parts[i][1]) for i in some]) > s))
+                if not len(alive):
+                    break
+                if len(alive) <= 0.7 * wide:
+                    some, limit, goal, wide = [some[k] for k in alive.tolist()], limit[alive], goal[alive], len(alive)
+                    x, y, outer, inner = (np.ascontiguousarray(t[:, alive]) for t in (x, y, outer, inner))
+                    unlike, beside = np.empty((band + 1, wide), np.uint16), np.empty((band + 1, wide), np.int16)
+                    ends = {}
+                    for k, i in enumerate(some):
+                        ends.setdefault(len(parts[i][0]) + len(parts[i][1]), []).append(k)
     return out
 
 
@@ -445,8 +462,8 @@ def joined(nodes: list[int], labels: list, texts: list[str], left: np.ndarray, r
                 join(i, j)
             else:
                 open_pairs.append((i, j, e))
-    for k in range(0, len(open_pairs), 256):
-        test(open_pairs[k : k + 256])
+    for k in range(0, len(open_pairs), 2048):
+        test(open_pairs[k : k + 2048])
     return found
 
 
